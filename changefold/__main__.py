@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
         result = run_load(
             lambda: read_csv_history(spark, args.source, multiline=not args.single_line), store, params
         )
-        checksum = state_digest(store.target(), PRODUCTS)
+        checksum = state_digest(store.target(), PRODUCTS).first()["state_checksum"]
         print(result_document(result.as_frame(spark), checksum, pretty=True).first()[0])
         return 0
     except Exception as error:

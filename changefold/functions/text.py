@@ -1,8 +1,16 @@
-"""Text cell → typed value, as column expressions. Every parser gives (value, error text or null)."""
+"""Text cell → typed value, as column expressions.
+
+A parser works in steps: each step adds helper columns that the next ones refer to by name, so
+that no expression is written into the plan twice. Its last columns are the value and the text of
+the first broken rule, null when none is.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from changefold.spec import MONEY
 
@@ -14,111 +22,162 @@ WHITESPACE = (
 )
 
 # ISO-8601 with a mandatory offset. The first form is what Spark's own cast reads.
-_TIMESTAMP_PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
-_TIMESTAMP_ANY = (
-    r"^(?!0000)(\d{4})-?(\d{2})-?(\d{2})[T ](\d{2})(?::?(\d{2}))?(?::?(\d{2}))?(?:\.(\d+))?"
-    r"(Z|[+-]\d{2}(?::?\d{2})?)$"
-)
-# Separators must be used throughout the date and the time, or not at all.
+_TIMESTAMP_PLAIN = r"^(?!0000)\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
+# Separators must be used throughout the date, the time and the offset, or not at all in each.
 _TIMESTAMP_SHAPE = (
-    r"^(\d{4}-\d{2}-\d{2}|\d{8})[T ](\d{2}|\d{2}:\d{2}|\d{2}:\d{2}:\d{2}(\.\d+)?|\d{4}|\d{6}(\.\d+)?)"
+    r"^(?!0000)(\d{4}-\d{2}-\d{2}|\d{8})[T ](\d{2}|\d{2}:\d{2}|\d{2}:\d{2}:\d{2}(\.\d+)?|\d{4}|\d{6}(\.\d+)?)"
     r"(Z|[+-](\d{2}|\d{4}|\d{2}:\d{2}))$"
 )
+_TIMESTAMP_PARTS = (
+    r"^(\d{4})-?(\d{2})-?(\d{2})[T ](\d{2}):?(\d{2})?:?(\d{2})?(?:\.(\d+))?"
+    r"(?:Z|([+-]\d{2}):?(\d{2})?)$"
+)
 _INTEGER = r"^[+-]?\d+(_\d+)*$"
-_DECIMAL = r"^([+-]?)(?=\.?\d)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?$"
+_MONEY_PLAIN = r"^\+?\d{1,16}(\.\d{0,2}0*)?$"
+_DECIMAL = r"^[+-]?(?=\.?\d)\d*\.?\d*([eE][+-]?\d+)?$"
 _NOT_FINITE = r"^(?i)[+-]?(inf|infinity|s?nan\d*)$"
 
 
+@dataclass(frozen=True)
+class Parse:
+    """Steps of helper columns, then the value and the error."""
+
+    steps: tuple[dict[str, Column], ...]
+    value: Column
+    error: Column
+
+
+def run_steps(rows: DataFrame, parses: list[Parse]) -> DataFrame:
+    """Adds the helper columns of all parses, the same step of each at once."""
+    for depth in range(max((len(parse.steps) for parse in parses), default=0)):
+        added = {k: v for parse in parses if depth < len(parse.steps) for k, v in parse.steps[depth].items()}
+        rows = rows.withColumns(added)
+    return rows
+
+
 def strip(cell: Column) -> Column:
     """Trim Unicode white space at both ends."""
     return F.btrim(cell, F.lit(WHITESPACE))
 
 
-def is_blank(cell: Column) -> Column:
-    return cell.isNull() | (strip(cell) == "")
-
-
 def first_error(*checks: tuple[Column, str]) -> Column:
     """Text of the first check that holds, else null."""
     return F.coalesce(*(F.when(broken, F.lit(text)) for broken, text in checks))
 
 
-def parse_text(cell: Column, name: str) -> tuple[Column, Column]:
-    return strip(cell), first_error((is_blank(cell), f"{name} must not be blank"))
+def _helper(name: str) -> Callable[[str], str]:
+    return lambda part: f"__{name}_{part}"
 
 
-def parse_timestamp(cell: Column, name: str) -> tuple[Column, Column]:
+def _blank(text: Column, name: str) -> tuple[Column, str]:
+    return text.isNull() | (text == ""), f"{name} must not be blank"
+
+
+def parse_text(cell: Column, name: str) -> Parse:
+    h = _helper(name)
+    text = F.col(h("text"))
+    return Parse(({h("text"): strip(cell)},), text, first_error(_blank(text, name)))
+
+
+def parse_timestamp(cell: Column, name: str) -> Parse:
     """Instant of ISO-8601 text that carries an offset. Naive text is an error."""
-    text = strip(cell)
+    h = _helper(name)
+    text, plain, value = (F.col(h(part)) for part in ("text", "plain", "value"))
 
-    def part(group: int, default: str) -> Column:
-        found = F.regexp_extract(text, _TIMESTAMP_ANY, group)
-        return F.when(found == "", default).otherwise(found)
+    def part(group: int, width: int) -> Column:
+        return F.rpad(F.regexp_extract(text, _TIMESTAMP_PARTS, group), width, "0")
 
-    offset = F.regexp_replace(part(8, "Z"), r"^([+-]\d{2}):?(\d{2})?$", "$1:$2")
+    offset_hours = F.regexp_extract(text, _TIMESTAMP_PARTS, 8)
+    offset = F.when(offset_hours == "", "Z").otherwise(F.concat(offset_hours, F.lit(":"), part(9, 2)))
+    pieces = (part(1, 4), "-", part(2, 2), "-", part(3, 2), "T", part(4, 2), ":", part(5, 2), ":", part(6, 2))
     rewritten = F.concat(
-        part(1, "x"), F.lit("-"), part(2, ""), F.lit("-"), part(3, ""),
-        F.lit("T"), part(4, ""), F.lit(":"), part(5, "00"), F.lit(":"), part(6, "00"),
-        F.lit("."), part(7, "0"),
-        F.when(offset.endswith(":"), F.concat(offset, F.lit("00"))).otherwise(offset),
+        *(F.lit(piece) if isinstance(piece, str) else piece for piece in pieces), F.lit("."), part(7, 6), offset
     )
-    value = F.when(
-        text.rlike(_TIMESTAMP_PLAIN) & ~text.startswith("0000"), text.try_cast("timestamp")
-    ).when(text.rlike(_TIMESTAMP_SHAPE), rewritten.try_cast("timestamp"))
-    return value, first_error(
-        (is_blank(cell), f"{name} must not be blank"),
-        (value.isNull(), f"{name} must be a timezone-aware timestamp"),
+    readable = F.when(plain, text).when(text.rlike(_TIMESTAMP_SHAPE), rewritten)
+    steps = (
+        {h("text"): strip(cell)},
+        {h("plain"): text.rlike(_TIMESTAMP_PLAIN)},
+        {h("value"): readable.try_cast("timestamp")},
     )
+    error = first_error(_blank(text, name), (value.isNull(), f"{name} must be a timezone-aware timestamp"))
+    return Parse(steps, value, error)
 
 
-def parse_sequence(cell: Column, name: str) -> tuple[Column, Column]:
+def parse_sequence(cell: Column, name: str) -> Parse:
     """Integer of at least 0."""
-    text = strip(cell)
-    value = F.when(text.rlike(_INTEGER), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
-    return value, first_error(
-        (is_blank(cell), f"{name} must not be blank"),
+    h = _helper(name)
+    text, value = F.col(h("text")), F.col(h("value"))
+    digits = F.replace(text, F.lit("_"), F.lit(""))
+    steps = (
+        {h("text"): strip(cell)},
+        {h("value"): F.when(text.rlike(_INTEGER), digits.try_cast("bigint"))},
+    )
+    error = first_error(
+        _blank(text, name),
         (value.isNull(), f"{name} must be an integer"),
         (value < 0, f"{name} must be non-negative"),
     )
+    return Parse(steps, value, error)
 
 
-def parse_money(cell: Column, name: str) -> tuple[Column, Column]:
+def parse_money(cell: Column, name: str) -> Parse:
     """decimal(18, 2) of at least 0 whose text is exact at two decimals.
 
-    Exactness is read off the digits, since casting rounds: the last non-zero digit must not
-    lie past the second decimal once the exponent is applied.
+    Casting rounds, so text that is no plain amount is read with 18 decimals and its digits are
+    counted. With up to 17 significant digits nothing can hide behind the 18th decimal of an
+    amount that is whole in cents; 18 digits fit only the largest amounts, more fit none.
     """
-    text = F.replace(strip(cell), F.lit("_"), F.lit(""))
-    digits = F.concat(F.regexp_extract(text, _DECIMAL, 2), F.regexp_extract(text, _DECIMAL, 3))
-    significant = F.rtrim(digits, F.lit("0"))
-    is_zero = significant == ""
-    exponent_text = F.regexp_extract(text, _DECIMAL, 4)
-    exponent = F.when(exponent_text == "", 0).when(
-        exponent_text.rlike(r"^[+-]?\d{1,9}$"), exponent_text.try_cast("int")
+    h = _helper(name)
+    stripped, text, plain, wide, digits, value = (
+        F.col(h(part)) for part in ("stripped", "text", "plain", "wide", "digits", "value")
     )
-    last_digit_at = (
-        exponent - F.length(F.regexp_extract(text, _DECIMAL, 3)) + F.length(digits) - F.length(significant)
+    significant = F.btrim(F.regexp_replace(text, r"[+.-]|[eE].*$", ""), F.lit("0"))
+    whole_cents = (wide == wide.try_cast(MONEY)) & (
+        (digits == 0) | ((digits <= 17) & (wide != 0)) | ((digits == 18) & (wide >= 10**15))
     )
-    wide = F.when(is_zero, F.lit(0).cast("decimal(38,18)")).otherwise(text.try_cast("decimal(38,18)"))
-    value = wide.try_cast(MONEY)
-    negative = text.startswith("-") & ~is_zero
-    # A tiny number has no exact decimal(38,18), yet its fault is its decimals and not its size.
-    too_fine = ~is_zero & (F.coalesce(last_digit_at, F.lit(-3)) < -2) & ~exponent_text.rlike(r"^\+?\d{10,}$")
-    too_big = F.coalesce(wide > F.lit("9999999999999999.99").cast("decimal(38,18)"), ~too_fine)
-    return value, first_error(
-        (is_blank(cell), f"{name} must not be blank"),
-        (text.rlike(_NOT_FINITE), f"{name} must fit decimal(18, 2) and be non-negative"),
-        (~text.rlike(_DECIMAL), f"{name} must be a decimal"),
-        (negative | too_big, f"{name} must fit decimal(18, 2) and be non-negative"),
-        (too_fine, f"{name} must have at most two decimal places"),
+    steps = (
+        {h("stripped"): strip(cell)},
+        {h("text"): F.replace(stripped, F.lit("_"), F.lit(""))},
+        {h("plain"): text.rlike(_MONEY_PLAIN)},
+        {
+            h("wide"): F.when(~plain & text.rlike(_DECIMAL), text.try_cast("decimal(38,18)")),
+            h("digits"): F.when(~plain, F.length(significant)),
+        },
+        {h("value"): F.when(plain, text.try_cast(MONEY)).when((wide >= 0) & whole_cents, wide.cast(MONEY))},
     )
+    # Without a wide value the number is too large, or its exponent too low for any decimal.
+    limit = F.lit("9999999999999999.99").cast("decimal(38,18)")
+    too_large = F.coalesce(wide > limit, ~text.rlike(r"[eE]-\d{9,}$"))
+    negative = text.startswith("-") & (digits > 0)
+    unfit = f"{name} must fit decimal(18, 2) and be non-negative"
+    error = F.when(value.isNull(), first_error(
+        _blank(stripped, name),
+        (text.rlike(_NOT_FINITE), unfit),
+        (~text.rlike(_DECIMAL), f"{name} must be a decimal"),
+        (negative | too_large, unfit),
+        (F.lit(True), f"{name} must have at most two decimal places"),
+    ))
+    return Parse(steps, value, error)
 
 
-def parse_flag(cell: Column, name: str) -> tuple[Column, Column]:
+def parse_flag(cell: Column, name: str) -> Parse:
     """``true`` or ``false`` in any case; Spark's own cast would accept more."""
-    text = F.lower(strip(cell))
-    value = F.when(text == "true", True).when(text == "false", False)
-    return value, first_error(
-        (cell.isNull(), f"{name} must not be blank"),
+    h = _helper(name)
+    text, value = F.col(h("text")), F.col(h("value"))
+    steps = (
+        {h("text"): F.lower(strip(cell))},
+        {h("value"): F.when(text == "true", True).when(text == "false", False)},
+    )
+    error = first_error(
+        (text.isNull(), f"{name} must not be blank"),
         (value.isNull(), f"{name} must be either true or false"),
     )
+    return Parse(steps, value, error)
+
+
+def parse_column(rows: DataFrame, name: str, parse: Callable[[Column, str], Parse]) -> DataFrame:
+    """Rows with column ``name`` parsed, null where it is in error, and an ``error`` column."""
+    parsed = parse(F.col(name), name)
+    value = F.when(parsed.error.isNull(), parsed.value).alias(name)
+    others = [column for column in rows.columns if column != name]
+    return run_steps(rows, [parsed]).select(*others, value, parsed.error.alias("error"))

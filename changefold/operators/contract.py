@@ -30,27 +30,25 @@ def require_columns(spec: TableSpec, names: list[str]) -> None:
         raise SourceDataError("missing required columns: " + ", ".join(missing))
 
 
-def _rule(name: str, kind: str, data_type: T.DataType) -> tuple[Column, Column]:
-    """(typed value, error) of one column; a column that is already typed is not parsed again."""
+def _rule(name: str, kind: str, data_type: T.DataType) -> text.Parse:
+    """How to get one column's value and error; a column that is already typed is not parsed again."""
     cell = F.col(name)
     blank = (cell.isNull(), f"{name} must not be blank")
-    if kind == "timestamp" and isinstance(data_type, T.TimestampType):
-        return cell, text.first_error(blank)
     if kind == "timestamp" and isinstance(data_type, T.TimestampNTZType):
         raise SourceDataError(f"{name} must be a timezone-aware timestamp")
-    if kind == "sequence" and isinstance(data_type, T.IntegralType):
-        return cell.cast("bigint"), text.first_error(
-            blank, (cell < 0, f"{name} must be non-negative")
-        )
     if kind == "money" and isinstance(data_type, T.DecimalType):
         value = cell.try_cast(MONEY)
-        return value, text.first_error(
+        error = text.first_error(
             blank,
             (value.isNull() | (cell < 0), f"{name} must fit decimal(18, 2) and be non-negative"),
             (value != cell, f"{name} must have at most two decimal places"),
         )
-    if kind == "flag" and isinstance(data_type, T.BooleanType):
-        return cell, text.first_error(blank)
+        return text.Parse((), value, error)
+    if kind == "sequence" and isinstance(data_type, T.IntegralType):
+        error = text.first_error(blank, (cell < 0, f"{name} must be non-negative"))
+        return text.Parse((), cell.cast("bigint"), error)
+    if kind in ("timestamp", "flag") and data_type == KIND_TYPES[kind]:
+        return text.Parse((), cell, text.first_error(blank))
     return _PARSERS[kind](cell if isinstance(data_type, T.StringType) else cell.cast("string"), name)
 
 
@@ -65,27 +63,29 @@ def validate(
     The event time is parsed on every row, so a bad one is an error wherever it stands; the
     other columns of a row before the window are never looked at. Extra columns are kept.
     """
-    require_columns(spec, rows.columns)
+    columns = rows.columns
+    require_columns(spec, columns)
     types = {field.name: field.dataType for field in rows.schema}
     rules = {name: _rule(name, kind, types[name]) for name, kind in spec.contract}
+    time = rules.pop(spec.event_time)
 
-    when, time_error = rules[spec.event_time]
+    rows = text.run_steps(rows, [time])
     if extraction_start is not None:
-        start = _instant(extraction_start)
-        if isinstance(types[spec.event_time], T.TimestampType):
-            # Said about the plain column, so that the bound reaches a Parquet scan.
-            rows = rows.filter(when.isNull() | (when >= start))
-        else:
-            rows = rows.filter(time_error.isNotNull() | (when >= start))
-
-    errors = [time_error]
+        # For a typed event time this is said about the plain column and reaches a Parquet scan.
+        rows = rows.filter(time.value.isNull() | (time.value >= _instant(extraction_start)))
+    rows = text.run_steps(rows, list(rules.values()))
+
+    errors = [time.error]
     if latest_allowed is not None:
-        too_late = (when > _instant(latest_allowed), f"{spec.event_time} exceeds allowed future skew")
+        too_late = (time.value > _instant(latest_allowed), f"{spec.event_time} exceeds allowed future skew")
         errors.append(text.first_error(too_late))
-    errors += [rules[name][1] for name, _ in spec.contract if name != spec.event_time]
+    errors += [rule.error for rule in rules.values()]
 
-    extra = [F.col(name) for name in rows.columns if name not in rules]
-    typed = [value.cast(KIND_TYPES[spec.kinds[name]]).alias(name) for name, (value, _) in rules.items()]
+    extra = [F.col(name) for name in columns if name not in spec.kinds]
+    typed = [
+        rule.value.cast(KIND_TYPES[spec.kinds[name]]).alias(name)
+        for name, rule in {spec.event_time: time, **rules}.items()
+    ]
     return rows.select(*extra, *typed, F.coalesce(*errors).alias(ERROR))
 
 

@@ -64,7 +64,8 @@ def fold(validated: DataFrame, table: VersionedTable, error: str | None = None)
     more: list[Column] = []
     if error:
         bad = F.col(error).isNotNull()
-        identity = [c for c in (SOURCE_FILE, *table.key, *table.version) if c in validated.columns]
+        known = set(validated.columns)
+        identity = [c for c in (SOURCE_FILE, *table.key, *table.version) if c in known]
         offender = F.struct(
             *(F.col(c).cast("string").alias(c) for c in identity),
             F.col(error).alias("message"),

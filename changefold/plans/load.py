@@ -17,7 +17,7 @@ from changefold.operators.contract import ERROR, validate
 from changefold.operators.fold import CONFLICT as CONTRADICTORY, FIRST_ERROR, ROWS, fold
 from changefold.operators.merge import apply_changes, changes
 from changefold.plans.store import TargetStore
-from changefold.session import configure
+from changefold.session import configure, one_row
 from changefold.spec import FAILED, RUN_SCHEMA, STATE_SCHEMA, SUCCESS, TableSpec
 
 #: Points of a load at which ``on_stage`` is called.
@@ -54,8 +54,7 @@ class RunRecord:
     error_message: str | None = None
 
     def as_frame(self, spark: SparkSession) -> DataFrame:
-        values = [tuple(getattr(self, name) for name in RUN_SCHEMA.names)]
-        return spark.createDataFrame(values, RUN_SCHEMA)
+        return one_row(spark, RUN_SCHEMA, {name: getattr(self, name) for name in RUN_SCHEMA.names})
 
 
 @dataclass(frozen=True)
@@ -72,16 +71,15 @@ class LoadResult:
         )
 
 
-def result_document(result: DataFrame, checksum: DataFrame, pretty: bool = False) -> DataFrame:
+def result_document(result: DataFrame, checksum: str, pretty: bool = False) -> DataFrame:
     """One JSON document: the result's fields, instants as UTC text, nulls kept, then the checksum."""
-    joined = result.crossJoin(F.broadcast(checksum.select("state_checksum")))
     fields = [
         instant_iso(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name)
         for f in result.schema
     ]
     options = {"ignoreNullFields": "false", "pretty": str(pretty).lower()}
-    document = F.struct(*fields, F.col("state_checksum").alias("business_state_checksum"))
-    return joined.select(F.to_json(document, options).alias("document"))
+    document = F.struct(*fields, F.lit(checksum).alias("business_state_checksum"))
+    return result.select(F.to_json(document, options).alias("document"))
 
 
 def run_load(
@@ -140,8 +138,7 @@ def _load(history, store, params, progress, clock, on_stage) -> LoadResult:
     base = store.snapshot()
 
     # One row: the mark, and the bound as a literal that a scan can be pruned with.
-    names = spark.createDataFrame([(params.pipeline_name,)], "pipeline_name string")
-    known = window.lookup_state(store.state(base), names)
+    known = window.lookup_state(store.state(base), spark.sql("SELECT :name AS pipeline_name", {"name": params.pipeline_name}))
     bounds = window.extraction_start(known, params.initial_start_at, params.overlap).first()
     previous = _utc_from_row(bounds["watermark"])
     progress.note(previous_watermark=previous)
@@ -181,8 +178,8 @@ def _load(history, store, params, progress, clock, on_stage) -> LoadResult:
     progress.note(status=SUCCESS, finished_at=finished_at, resulting_watermark=mark)
     state = store.state(base)
     if mark is not None:
-        reached = [(params.pipeline_name, mark, run.run_id, finished_at)]
-        state = window.upsert_state(state, spark.createDataFrame(reached, STATE_SCHEMA))
+        reached = dict(zip(STATE_SCHEMA.names, (params.pipeline_name, mark, run.run_id, finished_at), strict=True))
+        state = window.upsert_state(state, one_row(spark, STATE_SCHEMA, reached))
     on_stage(AFTER_STATE_ADVANCEMENT)
 
     record = progress.run.as_frame(spark)

@@ -72,21 +72,20 @@ class TargetStore:
     def state(self, snapshot: Snapshot | None = None) -> DataFrame:
         """Progress of every pipeline."""
         snapshot = snapshot or self.snapshot()
-        raw = T.StructType([T.StructField(f.name, T.StringType()) for f in STATE_SCHEMA])
-        rows = self.spark.createDataFrame([tuple(row[f.name] for f in raw) for row in snapshot.state], raw)
-        return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in STATE_SCHEMA))
+        listed = F.from_json(F.lit(json.dumps(snapshot.state)), T.ArrayType(STATE_SCHEMA))
+        return self.spark.sql("SELECT 1").select(F.inline(listed))
 
     def runs(self) -> DataFrame:
         """Record of every load that succeeded or failed."""
-        empty = self.spark.createDataFrame([], RUN_SCHEMA)
+        runs = self.spark.createDataFrame([], RUN_SCHEMA)
         fs, manifests = self._fs(f"{self.root}/manifests")
         if fs.exists(manifests):
             published = self.spark.read.schema(T.StructType([T.StructField("run", RUN_SCHEMA)]))
-            empty = empty.unionByName(published.json(manifests.toString()).select("run.*"))
+            runs = runs.unionByName(published.json(manifests.toString()).select("run.*"))
         failed = self._fs(f"{self.root}/failed_runs")[1]
         if fs.exists(failed):
-            empty = empty.unionByName(self.spark.read.schema(RUN_SCHEMA).json(failed.toString()))
-        return empty
+            runs = runs.unionByName(self.spark.read.schema(RUN_SCHEMA).json(failed.toString()))
+        return runs
 
     def bucket_of_key(self, n_buckets: int) -> Column:
         """Spark's own bucketing function, so that bucketed reads line up with it."""

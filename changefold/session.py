@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Settings every load relies on (UTC) or profits from (the rest), all settable at run time.
 SQL_SETTINGS = {
@@ -45,3 +45,9 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         shared = tempfile.mkdtemp(prefix="changefold-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def one_row(spark: SparkSession, schema: T.StructType, values: dict) -> DataFrame:
+    """One row of literals, which Spark evaluates while planning."""
+    literals = [F.lit(values[field.name]).cast(field.dataType).alias(field.name) for field in schema]
+    return spark.sql("SELECT 1").select(*literals)
