@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from changefold.operators.classify import INSERT, OUTCOME, UPDATE
@@ -22,7 +24,16 @@ def untouched(target: DataFrame, changed: DataFrame, table: VersionedTable) -> D
     return target.join(changed.select(*table.key), list(table.key), "left_anti")
 
 
-def apply_changes(target: DataFrame, changed: DataFrame, table: VersionedTable) -> DataFrame:
-    """The target after the load. A changed row is replaced whole, stamps included."""
+def apply_changes(
+    target: DataFrame,
+    changed: DataFrame,
+    table: VersionedTable,
+    place: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """The target after the load. A changed row is replaced whole, stamps included.
+
+    ``place`` may lay the changed rows out like the target before the two are put together.
+    """
     columns = [*table.columns, *LOAD_STAMP.names]
-    return untouched(target, changed, table).select(*columns).unionByName(changed.select(*columns))
+    kept = untouched(target, changed, table)
+    return kept.select(*columns).unionByName(place(changed).select(*columns))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from changefold.errors import ConflictingSourceVersionError, SourceDataError, TargetVersionConflictError
 from changefold.functions.canonical import instant_iso
@@ -16,9 +16,9 @@ from changefold.operators.classify import CONFLICT, INSERT, OUTCOME, classify, o
 from changefold.operators.contract import ERROR, validate
 from changefold.operators.fold import CONFLICT as CONTRADICTORY, FIRST_ERROR, ROWS, fold
 from changefold.operators.merge import apply_changes, changes
-from changefold.plans.store import TargetStore
+from changefold.plans.store import PipelineState, RunRecord, TargetStore
 from changefold.session import configure, one_row
-from changefold.spec import FAILED, RUN_SCHEMA, STATE_SCHEMA, SUCCESS, TableSpec
+from changefold.spec import FAILED, STATE_SCHEMA, SUCCESS, TableSpec
 
 #: Points of a load at which ``on_stage`` is called.
 AFTER_CLASSIFICATION = "after_classification"
@@ -34,29 +34,6 @@ class LoadParams:
     allowed_future_skew: timedelta = timedelta(minutes=5)
 
 
-@dataclass(frozen=True)
-class RunRecord:
-    """One row of the run audit."""
-
-    run_id: str
-    pipeline_name: str
-    started_at: datetime
-    finished_at: datetime | None = None
-    status: str = FAILED
-    previous_watermark: datetime | None = None
-    resulting_watermark: datetime | None = None
-    rows_received: int = 0
-    rows_after_deduplication: int = 0
-    rows_inserted: int = 0
-    rows_updated: int = 0
-    rows_ignored: int = 0
-    error_type: str | None = None
-    error_message: str | None = None
-
-    def as_frame(self, spark: SparkSession) -> DataFrame:
-        return one_row(spark, RUN_SCHEMA, {name: getattr(self, name) for name in RUN_SCHEMA.names})
-
-
 @dataclass(frozen=True)
 class LoadResult:
     run: RunRecord
@@ -114,7 +91,7 @@ def run_load(
             error_message=str(error)[:500],
         )
         try:
-            store.record_failure(failed.as_frame(store.spark))
+            store.record_failure(failed)
         except Exception as unrecorded:
             error.add_note(f"the failed run could not be recorded: {unrecorded}")
         raise
@@ -137,11 +114,11 @@ def _load(history, store, params, progress, clock, on_stage) -> LoadResult:
     spark, spec, run = store.spark, store.spec, progress.run
     base = store.snapshot()
 
-    # One row: the mark, and the bound as a literal that a scan can be pruned with.
-    known = window.lookup_state(store.state(base), spark.sql("SELECT :name AS pipeline_name", {"name": params.pipeline_name}))
-    bounds = window.extraction_start(known, params.initial_start_at, params.overlap).first()
-    previous = _utc_from_row(bounds["watermark"])
+    # The bound becomes a literal, so that the scan can be pruned with it.
+    previous = base.marks.get(params.pipeline_name)
     progress.note(previous_watermark=previous)
+    mark = one_row(spark, T.StructType([STATE_SCHEMA["watermark"]]), {"watermark": previous})
+    bounds = window.extraction_start(mark, params.initial_start_at, params.overlap).first()
     if previous is None and params.initial_start_at.utcoffset() is None:
         raise ValueError("initial_start_at must be timezone-aware")
     start = _utc_from_row(bounds["extraction_start"])
@@ -151,13 +128,10 @@ def _load(history, store, params, progress, clock, on_stage) -> LoadResult:
     rows = history() if callable(history) else history
     validated = validate(rows, spec, start, run.started_at + params.allowed_future_skew)
     winners = store.stage(fold(validated, spec, ERROR), run.run_id, "winners")
-    seen = _gate_source(winners, spec, progress)
+    seen, touched = _gate_source(winners, store.bucket_of_key(base.n_buckets), spec, progress)
     winners = winners.drop(CONTRADICTORY, FIRST_ERROR, ROWS)
 
-    # Buckets in which a winner falls, at most as many as the store has.
     if base.buckets:
-        bucket = store.bucket_of_key(base.n_buckets).alias("bucket")
-        touched = [row["bucket"] for row in winners.select(bucket).distinct().collect()]
         held = store.target(base, touched)
         classified = store.stage(classify(winners, held, spec), run.run_id, "classified")
     else:
@@ -168,7 +142,8 @@ def _load(history, store, params, progress, clock, on_stage) -> LoadResult:
     changed = changes(classified, spec, F.lit(run.started_at), F.lit(run.run_id))
     if rewritten:
         # Buckets without an insert or update stay as they are, load stamps included.
-        merged = apply_changes(store.target(base, rewritten), changed, spec)
+        held = store.target(base, rewritten)
+        merged = apply_changes(held, changed, spec, lambda rows: store.spread(rows, base.n_buckets))
         store.write_buckets(merged, run.run_id, base.n_buckets)
     progress.note(**counters)
     on_stage(AFTER_TARGET_WRITES)
@@ -176,22 +151,24 @@ def _load(history, store, params, progress, clock, on_stage) -> LoadResult:
     finished_at = _utc(clock())
     mark = max((m for m in (previous, seen) if m is not None), default=None)
     progress.note(status=SUCCESS, finished_at=finished_at, resulting_watermark=mark)
-    state = store.state(base)
-    if mark is not None:
-        reached = dict(zip(STATE_SCHEMA.names, (params.pipeline_name, mark, run.run_id, finished_at), strict=True))
-        state = window.upsert_state(state, one_row(spark, STATE_SCHEMA, reached))
+    reached = PipelineState(params.pipeline_name, mark, run.run_id, finished_at) if mark is not None else None
     on_stage(AFTER_STATE_ADVANCEMENT)
 
     record = progress.run.as_frame(spark)
     broken = audit.broken_rules(record, audit.run_rules()).first()
     if broken is not None:
         raise ValueError(f"run record is not sound: {broken['broken_rules']}")
-    store.publish(base, run.run_id, rewritten, state, record)
+    store.publish(base, run.run_id, rewritten, reached, progress.run)
     return LoadResult(progress.run, start)
 
 
-def _gate_source(winners: DataFrame, spec: TableSpec, progress: _Progress) -> datetime | None:
-    """Refuse rows in error and contradictory versions; give the newest event time seen.
+def _gate_source(
+    winners: DataFrame, bucket: Column, spec: TableSpec, progress: _Progress
+) -> tuple[datetime | None, list[int]]:
+    """Refuse rows in error and contradictory versions.
+
+    Gives the newest event time seen and the buckets in which winners fall, at most as many as
+    the store has.
 
     The newest event time of all rows is that of all winners, as it leads the version order.
     """
@@ -202,6 +179,7 @@ def _gate_source(winners: DataFrame, spec: TableSpec, progress: _Progress) -> da
         F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows_received"),
         F.count(F.lit(1)).alias("n_winners"),
         F.max(spec.event_time).alias("newest"),
+        F.collect_set(bucket).alias("buckets"),
     ).first()
     if seen["offender"] is not None:
         found = seen["offender"].asDict()
@@ -214,7 +192,7 @@ def _gate_source(winners: DataFrame, spec: TableSpec, progress: _Progress) -> da
             "source rows disagree for " + _name_version(spec, seen["clash"], seen["clash"][CONTRADICTORY])
         )
     progress.note(rows_after_deduplication=seen["n_winners"])
-    return _utc_from_row(seen["newest"])
+    return _utc_from_row(seen["newest"]), seen["buckets"]
 
 
 def _gate_target(

@@ -18,16 +18,51 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from changefold.errors import PublishConflictError
-from changefold.spec import RUN_SCHEMA, STATE_SCHEMA, TableSpec
+from changefold.session import one_row
+from changefold.spec import FAILED, RUN_SCHEMA, STATE_SCHEMA, TableSpec
 
 BUCKET = "bucket"
 
 
+@dataclass(frozen=True)
+class PipelineState:
+    """How far a pipeline got; one row of the state."""
+
+    pipeline_name: str
+    watermark: datetime
+    last_successful_run_id: str
+    updated_at: datetime
+
+
+@dataclass(frozen=True)
+class RunRecord:
+    """What one load did; one row of the run audit."""
+
+    run_id: str
+    pipeline_name: str
+    started_at: datetime
+    finished_at: datetime | None = None
+    status: str = FAILED
+    previous_watermark: datetime | None = None
+    resulting_watermark: datetime | None = None
+    rows_received: int = 0
+    rows_after_deduplication: int = 0
+    rows_inserted: int = 0
+    rows_updated: int = 0
+    rows_ignored: int = 0
+    error_type: str | None = None
+    error_message: str | None = None
+
+    def as_frame(self, spark: SparkSession) -> DataFrame:
+        return one_row(spark, RUN_SCHEMA, asdict(self))
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """One published state. Its size is bounded by the number of buckets and pipelines."""
@@ -35,7 +70,12 @@ class Snapshot:
     number: int = 0
     n_buckets: int = 0
     buckets: dict[int, str] = field(default_factory=dict)
-    state: list[dict] = field(default_factory=list)
+    state: dict[str, dict] = field(default_factory=dict)
+
+    @property
+    def marks(self) -> dict[str, datetime]:
+        """Mark of every pipeline."""
+        return {name: datetime.fromisoformat(row["watermark"]) for name, row in self.state.items()}
 
 
 class TargetStore:
@@ -61,7 +101,8 @@ class TargetStore:
         text = self.spark.read.text(self._manifest(max(numbers)), wholetext=True).first()[0]
         body = json.loads(text)
         live = {int(bucket): run for bucket, run in body["buckets"].items()}
-        return Snapshot(body["number"], body["n_buckets"], live, body["state"])
+        state = {row["pipeline_name"]: row for row in body["state"]}
+        return Snapshot(body["number"], body["n_buckets"], live, state)
 
     def target(self, snapshot: Snapshot | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
         """Target rows of a snapshot, all buckets or the named ones."""
@@ -72,7 +113,7 @@ class TargetStore:
     def state(self, snapshot: Snapshot | None = None) -> DataFrame:
         """Progress of every pipeline."""
         snapshot = snapshot or self.snapshot()
-        listed = F.from_json(F.lit(json.dumps(snapshot.state)), T.ArrayType(STATE_SCHEMA))
+        listed = F.from_json(F.lit(json.dumps(list(snapshot.state.values()))), T.ArrayType(STATE_SCHEMA))
         return self.spark.sql("SELECT 1").select(F.inline(listed))
 
     def runs(self) -> DataFrame:
@@ -103,37 +144,50 @@ class TargetStore:
         rows.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def spread(self, rows: DataFrame, n_buckets: int) -> DataFrame:
+        """Rows in one partition per bucket, laid out as a stored target is."""
+        return rows.repartition(n_buckets, *self.spec.key)
+
     def write_buckets(self, rows: DataFrame, run_id: str, n_buckets: int) -> None:
-        """Write the new content of whole buckets, one task and file per bucket."""
+        """Write the new content of whole buckets.
+
+        Rows read from a target and rows that were ``spread`` need no exchange: each task writes
+        one file of one bucket.
+        """
+        fs, folder = self._fs(self._data(run_id))
+        if fs.exists(folder):
+            raise ValueError(f"run {run_id} has written before")
         table = f"changefold_write_{uuid.uuid4().hex}"
-        placed = rows.withColumn(BUCKET, self.bucket_of_key(n_buckets)).repartition(n_buckets, *self.spec.key)
-        writer = placed.write.partitionBy(BUCKET).bucketBy(n_buckets, *self.spec.key)
+        writer = rows.withColumn(BUCKET, self.bucket_of_key(n_buckets)).write.partitionBy(BUCKET)
         try:
-            writer.format("parquet").option("path", self._data(run_id)).saveAsTable(table)
+            writer.bucketBy(n_buckets, *self.spec.key).format("parquet").option(
+                "path", self._data(run_id)
+            ).saveAsTable(table)
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
     def publish(
-        self, base: Snapshot, run_id: str, rewritten: Iterable[int], state: DataFrame, run: DataFrame
+        self, base: Snapshot, run_id: str, rewritten: Iterable[int], reached: PipelineState | None, run: RunRecord
     ) -> Snapshot:
         """Create the manifest that follows ``base``; refuse if somebody else already did.
 
-        ``state`` and ``run`` hold one row per pipeline and exactly one row.
+        ``reached`` takes the place of its pipeline's old state; without it no state changes.
         """
         live = {**base.buckets, **dict.fromkeys(rewritten, run_id)}
+        state = {**base.state, **({reached.pipeline_name: _plain(reached)} if reached else {})}
         body = {
             "number": base.number + 1,
             "n_buckets": base.n_buckets,
             "buckets": {str(bucket): live[bucket] for bucket in sorted(live)},
-            "state": [json.loads(row[0]) for row in state.select(_as_json(STATE_SCHEMA)).collect()],
-            "run": json.loads(run.select(_as_json(RUN_SCHEMA)).first()[0]),
+            "state": list(state.values()),
+            "run": _plain(run),
         }
         self._create(self._manifest(base.number + 1), json.dumps(body, ensure_ascii=False))
-        return Snapshot(base.number + 1, base.n_buckets, live, body["state"])
+        return Snapshot(base.number + 1, base.n_buckets, live, state)
 
-    def record_failure(self, run: DataFrame) -> None:
+    def record_failure(self, run: RunRecord) -> None:
         """Add the record of a failed load, apart from anything a snapshot holds."""
-        run.coalesce(1).write.mode("append").option("ignoreNullFields", False).json(f"{self.root}/failed_runs")
+        run.as_frame(self.spark).coalesce(1).write.mode("append").option("ignoreNullFields", False).json(f"{self.root}/failed_runs")
 
     def discard_staging(self, run_id: str) -> None:
         fs, folder = self._fs(f"{self.root}/staging/{run_id}")
@@ -199,6 +253,9 @@ class TargetStore:
             raise
 
 
-def _as_json(schema: T.StructType) -> Column:
-    stamps = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
-    return F.to_json(F.struct(*schema.names), stamps)
+def _plain(row: PipelineState | RunRecord) -> dict:
+    """Fields as JSON holds them."""
+    return {
+        name: value.isoformat(timespec="microseconds") if isinstance(value, datetime) else value
+        for name, value in asdict(row).items()
+    }

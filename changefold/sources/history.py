@@ -18,16 +18,35 @@ _WRITE_CSV = {
 
 
 def csv_header(spark: SparkSession, path: str, multiline: bool = True) -> list[str]:
+    """Column names of the history, read from its first file."""
     return spark.read.options(**_READ_CSV, multiLine=multiline).csv(path).columns
 
 
-def read_csv_history(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def has_line_breaks_in_cells(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted cell may run over the end of a line.
+
+    The line on which such a cell opens has an odd number of quotes.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(path).agg(F.max(quotes % 2)).first()[0] == 1
+
+
+def _holds_large_file(spark: SparkSession, path: str) -> bool:
+    split_size = spark.sql("SET spark.sql.files.maxPartitionBytes").first()["value"]
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    return (largest or 0) > int(split_size.rstrip("bB"))
+
+
+def read_csv_history(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """All CSV files below ``path`` as text columns named by their header.
 
     An explicit schema alone would map cells by position, so every file's header is compared
-    with it. ``multiline`` allows line breaks inside quoted cells, at the price that a file is
-    read by one task; a history of large files without such cells should turn it off.
+    with it. A file read with ``multiline`` is read by one task. Left open, it is turned off for
+    a history that has files larger than a split and no line breaks inside cells, which a scan
+    of its lines finds out.
     """
+    if multiline is None:
+        multiline = not _holds_large_file(spark, path) or has_line_breaks_in_cells(spark, path)
     names = csv_header(spark, path, multiline)
     if not names:
         return spark.createDataFrame([], T.StructType())

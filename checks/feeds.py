@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from changefold.operators.fold import newest_per_key
 from changefold.spec import PRODUCTS, VersionedTable
@@ -23,10 +23,15 @@ LINES = VersionedTable(("l_orderkey", "l_linenumber"), ("l_shipdate",), ("l_part
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A given table with its naive times taken as UTC."""
-    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    naive = {f.name for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"}
-    return rows.select(*(F.col(c).cast("timestamp").alias(c) if c in naive else c for c in rows.columns))
+    """A given table with its naive times read as UTC instants, so that bounds reach the scan."""
+    path = f"{sf_dir}/{table}.parquet"
+    found = spark.read.parquet(path).schema
+    zoned = [T.StructField(f.name, _instant_for(f.dataType)) for f in found]
+    return spark.read.schema(T.StructType(zoned)).parquet(path)
+
+
+def _instant_for(data_type: T.DataType) -> T.DataType:
+    return T.TimestampType() if isinstance(data_type, T.TimestampNTZType) else data_type
 
 
 def plain(rows: DataFrame) -> DataFrame:
