@@ -1,20 +1,20 @@
-"""Constraints as audit queries, since Parquet tables have none of their own."""
+"""Constraints as audit queries, since Parquet tables have none of their own.
 
-from __future__ import annotations
+A rule is a SQL condition that holds for a bad row, under the name it is reported by.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from changefold.spec import COUNTERS, FAILED, SUCCESS
 
+Rules = dict[str, str]
 
-def violations(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """(rule, violations) for every rule; a rule is a condition that marks a bad row.
 
-    All rules are counted in one pass.
-    """
-    counted = rows.agg(*(F.count_if(bad).alias(name) for name, bad in rules.items()))
+def violations(rows: DataFrame, rules: Rules) -> DataFrame:
+    """(rule, violations) for every rule, all counted in one pass."""
+    counted = rows.agg(*(F.expr(f"count_if({bad})").alias(name) for name, bad in rules.items()))
     return counted.unpivot([], list(rules), "rule", "violations")
 
 
@@ -26,35 +26,34 @@ def duplicate_keys(rows: DataFrame, *key: str) -> DataFrame:
     )
 
 
-def not_null_rules(*names: str) -> dict[str, Column]:
-    return {f"{name} is not null": F.col(name).isNull() for name in names}
+def not_null_rules(*names: str) -> Rules:
+    return {f"{name} is not null": f"`{name}` IS NULL" for name in names}
 
 
-def non_negative_rules(*names: str) -> dict[str, Column]:
-    return {f"{name} is not negative": F.col(name) < 0 for name in names}
+def non_negative_rules(*names: str) -> Rules:
+    return {f"{name} is not negative": f"`{name}` < 0" for name in names}
 
 
-def run_rules() -> dict[str, Column]:
+def run_rules() -> Rules:
     """What every run record must satisfy."""
-    classified = F.col("rows_inserted") + F.col("rows_updated") + F.col("rows_ignored")
     required = ("run_id", "pipeline_name", "started_at", "finished_at", "status", *COUNTERS)
     return {
         **not_null_rules(*required),
         **non_negative_rules(*COUNTERS),
-        "status is known": ~F.col("status").isin(SUCCESS, FAILED),
-        "run finishes after it starts": F.col("finished_at") < F.col("started_at"),
-        "winners do not exceed rows received": F.col("rows_after_deduplication") > F.col("rows_received"),
-        "outcomes add up on success": (F.col("status") == SUCCESS)
-        & (classified != F.col("rows_after_deduplication")),
-        "failed run has no mark": (F.col("status") == FAILED) & F.col("resulting_watermark").isNotNull(),
+        "status is known": f"status NOT IN ('{SUCCESS}', '{FAILED}')",
+        "run finishes after it starts": "finished_at < started_at",
+        "winners do not exceed rows received": "rows_after_deduplication > rows_received",
+        "outcomes add up on success": f"status = '{SUCCESS}' AND "
+        "rows_inserted + rows_updated + rows_ignored <> rows_after_deduplication",
+        "failed run has no mark": f"status = '{FAILED}' AND resulting_watermark IS NOT NULL",
     }
 
 
-def broken_rules(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
+def broken_rules(rows: DataFrame, rules: Rules) -> DataFrame:
     """Rows that break a rule, each with the names of all rules it breaks."""
-    marks = [F.when(bad, F.lit(name)) for name, bad in rules.items()]
-    any_broken = reduce(lambda a, b: a | b, (F.coalesce(bad, F.lit(False)) for bad in rules.values()))
-    return rows.filter(any_broken).withColumn("broken_rules", F.array_join(F.array(*marks), "; "))
+    named = ", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, bad in rules.items())
+    marked = rows.withColumn("broken_rules", F.expr(f"array_join(array({named}), '; ')"))
+    return marked.filter("broken_rules <> ''")
 
 
 def status_counts(runs: DataFrame) -> DataFrame:

@@ -206,7 +206,7 @@ def _gate_target(
         .agg(
             *outcome_counters(),
             F.min(F.when(F.col(OUTCOME) == CONFLICT, identity)).alias("clash"),
-            *(F.count_if(bad).alias(f"rule_{i}") for i, bad in enumerate(rules.values())),
+            *(F.expr(f"count_if({bad})").alias(f"rule_{i}") for i, bad in enumerate(rules.values())),
         )
         .collect()
     )
@@ -224,7 +224,7 @@ def _gate_target(
     return counters, rewritten
 
 
-def _row_rules(spec: TableSpec) -> dict:
+def _row_rules(spec: TableSpec) -> audit.Rules:
     signed = [name for name, kind in spec.contract if kind in ("sequence", "money")]
     return {**audit.not_null_rules(*spec.columns), **audit.non_negative_rules(*signed)}
 

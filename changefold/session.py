@@ -14,6 +14,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A stored target is always read bucket by bucket, so that rewriting it needs no exchange.
     "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+    # A task that writes one bucket needs no sort by bucket first.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # Lets a join with a stored bucket skip sorting it when the change side is small per bucket.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }

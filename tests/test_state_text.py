@@ -121,6 +121,6 @@ def test_run_rules(spark):
 
 def test_violations_and_duplicate_keys(spark):
     rows = spark.createDataFrame([(1, 5), (1, -1), (2, None), (2, 1), (3, 1)], "k int, n int")
-    rules = {"n is not null": F.col("n").isNull(), "n is not negative": F.col("n") < 0}
+    rules = {"n is not null": "n IS NULL", "n is not negative": "n < 0"}
     found = violations(rows, rules).unionByName(duplicate_keys(rows, "k")).collect()
     assert {r.rule: r.violations for r in found} == {"n is not null": 1, "n is not negative": 1, "key is unique": 2}
