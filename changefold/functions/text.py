@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,10 +29,15 @@ _TIMESTAMP_SHAPE = (
     r"^(?!0000)(\d{4}-\d{2}-\d{2}|\d{8})[T ](\d{2}|\d{2}:\d{2}|\d{2}:\d{2}:\d{2}(\.\d+)?|\d{4}|\d{6}(\.\d+)?)"
     r"(Z|[+-](\d{2}|\d{4}|\d{2}:\d{2}))$"
 )
-_TIMESTAMP_PARTS = (
-    r"^(\d{4})-?(\d{2})-?(\d{2})[T ](\d{2}):?(\d{2})?:?(\d{2})?(?:\.(\d+))?"
-    r"(?:Z|([+-]\d{2}):?(\d{2})?)$"
-)
+# What turns the other forms into the first one, in this order.
+_TIMESTAMP_REWRITES = [
+    (r"^(\d{4})(\d{2})(\d{2})(?=[T ])", "$1-$2-$3"),
+    (r"(?<=[T ]\d{2})(?=[Z+-])", ":00:00"),
+    (r"(?<=[T ]\d{2}):?(\d{2})(?=[Z+-])", ":$1:00"),
+    (r"(?<=[T ]\d{2})(\d{2})(\d{2})", ":$1:$2"),
+    (r"([+-]\d{2}):?(\d{2})?$", "$1:$2"),
+    (r"(?<=[+-]\d{2}:)$", "00"),
+]
 _INTEGER = r"^[+-]?\d+(_\d+)*$"
 _MONEY_PLAIN = r"^\+?\d{1,16}(\.\d{0,2}0*)?$"
 _DECIMAL = r"^[+-]?(?=\.?\d)\d*\.?\d*([eE][+-]?\d+)?$"
@@ -55,6 +61,15 @@ def run_steps(rows: DataFrame, parses: list[Parse]) -> DataFrame:
     return rows
 
 
+def computed_once(value: Column) -> Column:
+    """The same value, kept where it is.
+
+    Catalyst copies an expression into every filter above it, unless it depends on the partition
+    it runs in.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def strip(cell: Column) -> Column:
     """Trim Unicode white space at both ends."""
     return F.btrim(cell, F.lit(WHITESPACE))
@@ -84,20 +99,12 @@ def parse_timestamp(cell: Column, name: str) -> Parse:
     h = _helper(name)
     text, plain, value = (F.col(h(part)) for part in ("text", "plain", "value"))
 
-    def part(group: int, width: int) -> Column:
-        return F.rpad(F.regexp_extract(text, _TIMESTAMP_PARTS, group), width, "0")
-
-    offset_hours = F.regexp_extract(text, _TIMESTAMP_PARTS, 8)
-    offset = F.when(offset_hours == "", "Z").otherwise(F.concat(offset_hours, F.lit(":"), part(9, 2)))
-    pieces = (part(1, 4), "-", part(2, 2), "-", part(3, 2), "T", part(4, 2), ":", part(5, 2), ":", part(6, 2))
-    rewritten = F.concat(
-        *(F.lit(piece) if isinstance(piece, str) else piece for piece in pieces), F.lit("."), part(7, 6), offset
-    )
+    rewritten = reduce(lambda t, change: F.regexp_replace(t, *change), _TIMESTAMP_REWRITES, text)
     readable = F.when(plain, text).when(text.rlike(_TIMESTAMP_SHAPE), rewritten)
     steps = (
         {h("text"): strip(cell)},
         {h("plain"): text.rlike(_TIMESTAMP_PLAIN)},
-        {h("value"): readable.try_cast("timestamp")},
+        {h("value"): computed_once(readable.try_cast("timestamp"))},
     )
     error = first_error(_blank(text, name), (value.isNull(), f"{name} must be a timezone-aware timestamp"))
     return Parse(steps, value, error)

@@ -71,8 +71,9 @@ def validate(
 
     rows = text.run_steps(rows, [time])
     if extraction_start is not None:
-        # For a typed event time this is said about the plain column and reaches a Parquet scan.
-        rows = rows.filter(time.value.isNull() | (time.value >= _instant(extraction_start)))
+        late_enough = time.value >= _instant(extraction_start)
+        # About a stored event time this reaches a Parquet scan; a parsed one is parsed before.
+        rows = rows.filter(time.value.isNull() | late_enough)
     rows = text.run_steps(rows, list(rules.values()))
 
     errors = [time.error]
@@ -86,7 +87,7 @@ def validate(
         rule.value.cast(KIND_TYPES[spec.kinds[name]]).alias(name)
         for name, rule in {spec.event_time: time, **rules}.items()
     ]
-    return rows.select(*extra, *typed, F.coalesce(*errors).alias(ERROR))
+    return rows.select(*extra, *typed, text.computed_once(F.coalesce(*errors)).alias(ERROR))
 
 
 def _instant(value: datetime | Column) -> Column:
