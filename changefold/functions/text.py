@@ -71,8 +71,15 @@ def computed_once(value: Column) -> Column:
 
 
 def strip(cell: Column) -> Column:
-    """Trim Unicode white space at both ends."""
-    return F.btrim(cell, F.lit(WHITESPACE))
+    """Trim Unicode white space at both ends.
+
+    Looking for all kinds of it is slow, so it is done only where space alone does not lead to
+    printable ASCII at both ends.
+    """
+    text = F.trim(cell)
+    last = F.substring(text, -1, 1)
+    done = (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(done, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def first_error(*checks: tuple[Column, str]) -> Column:
@@ -135,32 +142,30 @@ def parse_money(cell: Column, name: str) -> Parse:
     amount that is whole in cents; 18 digits fit only the largest amounts, more fit none.
     """
     h = _helper(name)
-    stripped, text, plain, wide, digits, value = (
-        F.col(h(part)) for part in ("stripped", "text", "plain", "wide", "digits", "value")
-    )
-    significant = F.btrim(F.regexp_replace(text, r"[+.-]|[eE].*$", ""), F.lit("0"))
+    text, plain, wide, digits, value = (F.col(h(part)) for part in ("text", "plain", "wide", "digits", "value"))
+    number = F.replace(text, F.lit("_"), F.lit(""))
+    significant = F.btrim(F.regexp_replace(text, r"[+._-]|[eE].*$", ""), F.lit("0"))
     whole_cents = (wide == wide.try_cast(MONEY)) & (
         (digits == 0) | ((digits <= 17) & (wide != 0)) | ((digits == 18) & (wide >= 10**15))
     )
     steps = (
-        {h("stripped"): strip(cell)},
-        {h("text"): F.replace(stripped, F.lit("_"), F.lit(""))},
+        {h("text"): strip(cell)},
         {h("plain"): text.rlike(_MONEY_PLAIN)},
         {
-            h("wide"): F.when(~plain & text.rlike(_DECIMAL), text.try_cast("decimal(38,18)")),
+            h("wide"): F.when(~plain & number.rlike(_DECIMAL), number.try_cast("decimal(38,18)")),
             h("digits"): F.when(~plain, F.length(significant)),
         },
         {h("value"): F.when(plain, text.try_cast(MONEY)).when((wide >= 0) & whole_cents, wide.cast(MONEY))},
     )
     # Without a wide value the number is too large, or its exponent too low for any decimal.
     limit = F.lit("9999999999999999.99").cast("decimal(38,18)")
-    too_large = F.coalesce(wide > limit, ~text.rlike(r"[eE]-\d{9,}$"))
+    too_large = F.coalesce(wide > limit, ~number.rlike(r"[eE]-\d{9,}$"))
     negative = text.startswith("-") & (digits > 0)
     unfit = f"{name} must fit decimal(18, 2) and be non-negative"
     error = F.when(value.isNull(), first_error(
-        _blank(stripped, name),
-        (text.rlike(_NOT_FINITE), unfit),
-        (~text.rlike(_DECIMAL), f"{name} must be a decimal"),
+        _blank(text, name),
+        (number.rlike(_NOT_FINITE), unfit),
+        (~number.rlike(_DECIMAL), f"{name} must be a decimal"),
         (negative | too_large, unfit),
         (F.lit(True), f"{name} must have at most two decimal places"),
     ))

@@ -16,6 +16,8 @@ SQL_SETTINGS = {
     "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
     # A task that writes one bucket needs no sort by bucket first.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    # The JVM never compiles a longer method, and the contract of a wide table makes long ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Lets a join with a stored bucket skip sorting it when the change side is small per bucket.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
