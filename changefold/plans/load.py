@@ -128,6 +128,8 @@ def _load(history, store, params, progress, clock, on_stage) -> LoadResult:
     rows = history() if callable(history) else history
     validated = validate(rows, spec, start, run.started_at + params.allowed_future_skew)
     winners = store.stage(fold(validated, spec, ERROR), run.run_id, "winners")
+    if not base.n_buckets:
+        base = replace(base, n_buckets=store.choose_buckets(run.run_id, "winners"))
     seen, touched = _gate_source(winners, store.bucket_of_key(base.n_buckets), spec, progress)
     winners = winners.drop(CONTRADICTORY, FIRST_ERROR, ROWS)
 

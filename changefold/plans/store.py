@@ -28,6 +28,11 @@ from changefold.session import one_row
 from changefold.spec import FAILED, RUN_SCHEMA, STATE_SCHEMA, TableSpec
 
 BUCKET = "bucket"
+#: Size of a bucket to aim at, and the fewest buckets a store is given.
+BUCKET_BYTES = 512 * 1024 * 1024
+MIN_BUCKETS = 8
+#: Partitions declared by one catalog call.
+_CATALOG_BATCH = 500
 
 
 @dataclass(frozen=True)
@@ -65,7 +70,10 @@ class RunRecord:
 
 @dataclass(frozen=True)
 class Snapshot:
-    """One published state. Its size is bounded by the number of buckets and pipelines."""
+    """One published state. Its size is bounded by the number of buckets and pipelines.
+
+    ``n_buckets`` is 0 as long as nothing decided it.
+    """
 
     number: int = 0
     n_buckets: int = 0
@@ -79,13 +87,13 @@ class Snapshot:
 
 
 class TargetStore:
-    def __init__(self, spark: SparkSession, root: str, spec: TableSpec, n_buckets: int = 8) -> None:
-        """``n_buckets`` counts for a new store only; aim at 256 MB to 1 GB per bucket."""
+    def __init__(self, spark: SparkSession, root: str, spec: TableSpec, n_buckets: int | None = None) -> None:
+        """``n_buckets`` counts for a new store only; left open, the first rows to load decide it."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
-        self._new_buckets = n_buckets
-        self._tables: list[str] = []
+        self._new_buckets = n_buckets or 0
+        self._tables: dict[int, str] = {}
 
     # -- reading ---------------------------------------------------------------------------
 
@@ -107,8 +115,13 @@ class TargetStore:
     def target(self, snapshot: Snapshot | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
         """Target rows of a snapshot, all buckets or the named ones."""
         snapshot = snapshot or self.snapshot()
-        wanted = set(snapshot.buckets) if buckets is None else set(buckets) & set(snapshot.buckets)
-        return self._bucketed({b: snapshot.buckets[b] for b in wanted}, snapshot.n_buckets)
+        columns = self.spec.target_schema.names
+        if not snapshot.buckets:
+            return self.spark.createDataFrame([], self.spec.target_schema)
+        rows = self.spark.table(self._declare(snapshot))
+        if buckets is not None and not set(snapshot.buckets) <= set(buckets):
+            rows = rows.filter(F.col(BUCKET).isin(sorted(buckets)))
+        return rows.select(*columns)
 
     def state(self, snapshot: Snapshot | None = None) -> DataFrame:
         """Progress of every pipeline."""
@@ -144,6 +157,12 @@ class TargetStore:
         rows.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def choose_buckets(self, run_id: str, name: str) -> int:
+        """Bucket count for a staged table's rows: a power of two, with room to grow."""
+        fs, folder = self._fs(f"{self.root}/staging/{run_id}/{name}")
+        size = fs.getContentSummary(folder).getLength()
+        return max(MIN_BUCKETS, 1 << (size // BUCKET_BYTES).bit_length())
+
     def spread(self, rows: DataFrame, n_buckets: int) -> DataFrame:
         """Rows in one partition per bucket, laid out as a stored target is."""
         return rows.repartition(n_buckets, *self.spec.key)
@@ -196,27 +215,29 @@ class TargetStore:
     def forget_tables(self) -> None:
         """Drop the catalog entries of the tables read so far. Their data stays."""
         while self._tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._tables.popitem()[1]}")
 
     # -- details ---------------------------------------------------------------------------
 
-    def _bucketed(self, live: dict[int, str], n_buckets: int) -> DataFrame:
-        schema = self.spec.target_schema
-        if not live:
-            return self.spark.createDataFrame([], schema)
+    def _declare(self, snapshot: Snapshot) -> str:
+        """Name of the catalog table that stands for a snapshot's target."""
+        if snapshot.number in self._tables:
+            return self._tables[snapshot.number]
         table = f"changefold_read_{uuid.uuid4().hex}"
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spec.target_schema)
         keys = ", ".join(f"`{key}`" for key in self.spec.key)
         self.spark.sql(
-            f"CREATE TABLE {table} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
-            f"CLUSTERED BY ({keys}) INTO {n_buckets} BUCKETS LOCATION '{self.root}/tables/{table}'"
-        )
-        self._tables.append(table)
-        places = " ".join(
-            f"PARTITION ({BUCKET}={b}) LOCATION '{self._data(run)}/{BUCKET}={b}'" for b, run in sorted(live.items())
+            f"CREATE TABLE {table} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) CLUSTERED BY "
+            f"({keys}) INTO {snapshot.n_buckets} BUCKETS LOCATION '{self.root}/tables/{table}'"
         )
-        self.spark.sql(f"ALTER TABLE {table} ADD {places}")
-        return self.spark.table(table).select(*schema.names)
+        self._tables[snapshot.number] = table
+        places = [
+            f"PARTITION ({BUCKET}={bucket}) LOCATION '{self._data(run)}/{BUCKET}={bucket}'"
+            for bucket, run in sorted(snapshot.buckets.items())
+        ]
+        for first in range(0, len(places), _CATALOG_BATCH):
+            self.spark.sql(f"ALTER TABLE {table} ADD " + " ".join(places[first : first + _CATALOG_BATCH]))
+        return table
 
     def _data(self, run_id: str) -> str:
         return f"{self.root}/data/run={run_id}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Column that names the file a CSV row came from; error reports use it.
@@ -63,8 +64,8 @@ def append_csv_history(fragment: DataFrame, path: str) -> None:
     """
     try:
         names = csv_header(fragment.sparkSession, path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         names = fragment.columns
     fragment.select(*names).write.mode("append").options(**_WRITE_CSV).csv(path)

@@ -35,9 +35,11 @@ def _instant_for(data_type: T.DataType) -> T.DataType:
 
 
 def plain(rows: DataFrame) -> DataFrame:
-    """Result with UTC times without a zone, which compare the same everywhere."""
-    zoned = {f.name for f in rows.schema if f.dataType.typeName() == "timestamp"}
-    return rows.select(*(F.col(c).cast("timestamp_ntz").alias(c) if c in zoned else c for c in rows.columns))
+    """Result in types that compare the same everywhere: UTC times without a zone, amounts as text."""
+    compared = {T.TimestampType: "timestamp_ntz", T.DecimalType: "string"}
+    return rows.select(
+        *(F.col(f.name).cast(compared.get(type(f.dataType), f.dataType)).alias(f.name) for f in rows.schema)
+    )
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

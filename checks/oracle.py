@@ -108,11 +108,11 @@ LOADED = f"""history AS ({ORDER_PRODUCTS}),
         s.product_id IS NOT NULL AND (n.updated_at, n.source_sequence) > (s.updated_at, s.source_sequence) AS is_update
         FROM newest n LEFT JOIN seed s ON n.product_id = s.product_id),
     counted AS (SELECT (SELECT count(*) FROM reread) AS rows_received, count(*) AS rows_after_deduplication,
-        count_if(is_insert) AS rows_inserted, count_if(is_update) AS rows_updated,
-        count_if(NOT is_insert AND NOT is_update) AS rows_ignored FROM joined),
+        count(*) FILTER (WHERE is_insert) AS rows_inserted, count(*) FILTER (WHERE is_update) AS rows_updated,
+        count(*) FILTER (WHERE NOT is_insert AND NOT is_update) AS rows_ignored FROM joined),
     after AS (SELECT (SELECT mark FROM marks) AS mark, (SELECT start_at FROM marks) AS start_at,
         greatest((SELECT mark FROM marks), (SELECT max(updated_at) FROM reread)) AS new_mark)"""
-_BUSINESS = "product_id, updated_at, source_sequence, name, category, price, is_active"
+_BUSINESS = "product_id, updated_at, source_sequence, name, category, CAST(price AS VARCHAR) AS price, is_active"
 
 
 def target_after(run: str, started: str) -> str:
@@ -220,13 +220,13 @@ ORACLE_SQL: dict[str, str] = {
     "contract_errors": f"""SELECT o_orderkey, {RAW_ERROR} AS error FROM orders WHERE {RAW_ERROR} IS NOT NULL""",
     "contract_clean": f"""SELECT CAST(o_orderkey AS VARCHAR) AS product_id, o_orderdate AS updated_at,
         o_custkey AS source_sequence, {RAW_NAME} AS name, o_orderpriority AS category,
-        CAST(o_totalprice AS DECIMAL(18,2)) AS price, o_orderstatus <> 'F' AS is_active
+        {RAW_PRICE} AS price, o_orderstatus <> 'F' AS is_active
         FROM orders WHERE {RAW_ERROR} IS NULL""",
     "contract_gate": f"""SELECT count(*) AS rows_checked, count({RAW_ERROR}) AS rows_in_error,
         min(o_orderkey) FILTER (WHERE {RAW_ERROR} IS NOT NULL) AS o_orderkey,
         arg_min({RAW_ERROR}, o_orderkey) FILTER (WHERE {RAW_ERROR} IS NOT NULL) AS error FROM orders""",
-    "price_normalise": """SELECT o_orderkey,
-        CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2', '3') THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS price,
+    "price_normalise": f"""SELECT o_orderkey,
+        CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2', '3') THEN {RAW_PRICE} END AS price,
         CASE substr(o_orderpriority, 1, 1) WHEN '4' THEN 'price must have at most two decimal places'
             WHEN '5' THEN 'price must fit decimal(18, 2) and be non-negative' END AS error FROM orders""",
     "boolean_normalise": """SELECT o_orderkey,
@@ -237,7 +237,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT user_id, ts, event_id, event_type, "value", props, count(*) AS copies FROM twice GROUP BY ALL""",
     "source_conflicts": """SELECT l_orderkey, l_linenumber, l_shipdate, count(*) AS copies FROM lineitem
         GROUP BY l_orderkey, l_linenumber, l_shipdate HAVING count(DISTINCT (l_partkey, l_quantity)) > 1""",
-    "latest_by_key": """WITH seen AS (SELECT user_id, count(*) + count_if(event_type = 'error') AS rows_seen
+    "latest_by_key": """WITH seen AS (SELECT user_id, CAST(count(*) + count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS rows_seen
             FROM events GROUP BY user_id)
         SELECT e.user_id, ts, event_id, event_type, "value", props, rows_seen
         FROM events e JOIN seen USING (user_id)
@@ -259,16 +259,16 @@ ORACLE_SQL: dict[str, str] = {
         JOIN latest USING (o_custkey) WHERE target.o_orderkey = latest.o_orderkey""",
     "run_metrics": f"""WITH {TARGET}, {WINDOW}, {WINNERS}, {outcomes('winners', 'target')}
         SELECT (SELECT count(*) FROM in_window) AS rows_received, count(*) AS rows_after_deduplication,
-        count_if(outcome = 'insert') AS rows_inserted, count_if(outcome = 'update') AS rows_updated,
-        count_if(outcome IN ('stale', 'replay')) AS rows_ignored,
+        count(*) FILTER (WHERE outcome = 'insert') AS rows_inserted, count(*) FILTER (WHERE outcome = 'update') AS rows_updated,
+        count(*) FILTER (WHERE outcome IN ('stale', 'replay')) AS rows_ignored,
         (SELECT max(o_orderdate) FROM in_window) AS source_watermark FROM outcomes""",
-    "constraint_audit": """SELECT 'l_orderkey is not null' AS rule, count_if(l_orderkey IS NULL) AS violations FROM lineitem
-        UNION ALL SELECT 'l_linenumber is not null', count_if(l_linenumber IS NULL) FROM lineitem
-        UNION ALL SELECT 'l_shipdate is not null', count_if(l_shipdate IS NULL) FROM lineitem
-        UNION ALL SELECT 'l_partkey is not null', count_if(l_partkey IS NULL) FROM lineitem
-        UNION ALL SELECT 'l_quantity is not negative', count_if(l_quantity < 0) FROM lineitem
-        UNION ALL SELECT 'l_extendedprice is not negative', count_if(l_extendedprice < 0) FROM lineitem
-        UNION ALL SELECT 'ship date is before 2001', count_if(l_shipdate >= TIMESTAMP '2001-01-01') FROM lineitem
+    "constraint_audit": """SELECT 'l_orderkey is not null' AS rule, count(*) FILTER (WHERE l_orderkey IS NULL) AS violations FROM lineitem
+        UNION ALL SELECT 'l_linenumber is not null', count(*) FILTER (WHERE l_linenumber IS NULL) FROM lineitem
+        UNION ALL SELECT 'l_shipdate is not null', count(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem
+        UNION ALL SELECT 'l_partkey is not null', count(*) FILTER (WHERE l_partkey IS NULL) FROM lineitem
+        UNION ALL SELECT 'l_quantity is not negative', count(*) FILTER (WHERE l_quantity < 0) FROM lineitem
+        UNION ALL SELECT 'l_extendedprice is not negative', count(*) FILTER (WHERE l_extendedprice < 0) FROM lineitem
+        UNION ALL SELECT 'ship date is before 2001', count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '2001-01-01') FROM lineitem
         UNION ALL SELECT 'key is unique', count(*) FROM (SELECT 1 FROM lineitem
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""",
     "run_reconcile": f"""WITH {RUNS}, judged AS (SELECT run_id, {RUN_BREACHES} AS broken_rules FROM runs)
