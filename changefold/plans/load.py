@@ -77,6 +77,7 @@ def run_load(
     if not params.pipeline_name.strip():
         raise ValueError("pipeline_name must not be blank")
     configure(store.spark)
+    store = store.reopened()
     run = RunRecord(run_id or str(uuid.uuid4()), params.pipeline_name, started_at=_utc(clock()))
     progress = _Progress(run)
     try:

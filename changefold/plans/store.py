@@ -95,6 +95,10 @@ class TargetStore:
         self._new_buckets = n_buckets or 0
         self._tables: dict[int, str] = {}
 
+    def reopened(self) -> TargetStore:
+        """The same store with catalog entries of its own, to be forgotten without harm."""
+        return TargetStore(self.spark, self.root, self.spec, self._new_buckets)
+
     # -- reading ---------------------------------------------------------------------------
 
     def snapshot(self) -> Snapshot:
@@ -110,7 +114,7 @@ class TargetStore:
         body = json.loads(text)
         live = {int(bucket): run for bucket, run in body["buckets"].items()}
         state = {row["pipeline_name"]: row for row in body["state"]}
-        return Snapshot(body["number"], body["n_buckets"], live, state)
+        return Snapshot(body["number"], body["n_buckets"] or self._new_buckets, live, state)
 
     def target(self, snapshot: Snapshot | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
         """Target rows of a snapshot, all buckets or the named ones."""
@@ -196,7 +200,7 @@ class TargetStore:
         state = {**base.state, **({reached.pipeline_name: _plain(reached)} if reached else {})}
         body = {
             "number": base.number + 1,
-            "n_buckets": base.n_buckets,
+            "n_buckets": base.n_buckets if live else 0,
             "buckets": {str(bucket): live[bucket] for bucket in sorted(live)},
             "state": list(state.values()),
             "run": _plain(run),

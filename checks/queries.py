@@ -347,18 +347,18 @@ def state_checksum(spark, sf_dir):
 # -- whole loads -------------------------------------------------------------------------------
 
 
-def _load(store: TargetStore, history: DataFrame, run_id: str, **more) -> LoadResult:
+def fixed_load(store: TargetStore, history: DataFrame, run_id: str, **more) -> LoadResult:
     """A load whose run id and times are fixed; each look at the clock is a minute later."""
     times = (RUN_STARTS[run_id] + timedelta(minutes=minute) for minute in range(60))
     params = LoadParams("orders", BEGINNING, OVERLAP)
     return run_load(history, store, params, run_id=run_id, clock=lambda: next(times), **more)
 
 
-def _seeded_store(spark, sf_dir) -> tuple[TargetStore, DataFrame]:
+def seeded_store(spark, sf_dir) -> tuple[TargetStore, DataFrame]:
     """A store that holds the orders before the seed's end, and the whole history."""
     history = feeds.order_products(spark, sf_dir)
     store = TargetStore(spark, scratch_dir(spark, "store"), PRODUCTS, n_buckets=8)
-    _load(store, feeds.seeded(history, "updated_at"), "seed")
+    fixed_load(store, feeds.seeded(history, "updated_at"), "seed")
     return store, history
 
 
@@ -372,21 +372,21 @@ def _must_fail(expected: type[Exception], load: Callable[[], LoadResult]) -> Non
 
 @query
 def incremental_load(spark, sf_dir):
-    store, history = _seeded_store(spark, sf_dir)
-    return _load(store, history, "load").as_frame(spark)
+    store, history = seeded_store(spark, sf_dir)
+    return fixed_load(store, history, "load").as_frame(spark)
 
 
 @query
 def apply_load(spark, sf_dir):
-    store, history = _seeded_store(spark, sf_dir)
-    _load(store, history, "load")
+    store, history = seeded_store(spark, sf_dir)
+    fixed_load(store, history, "load")
     return store.target()
 
 
 @query
 def replay_noop(spark, sf_dir):
-    store, history = _seeded_store(spark, sf_dir)
-    _load(store, feeds.seeded(history, "updated_at"), "load")
+    store, history = seeded_store(spark, sf_dir)
+    fixed_load(store, feeds.seeded(history, "updated_at"), "load")
     return store.target()
 
 
@@ -396,40 +396,40 @@ class _Injected(RuntimeError):
 
 @query
 def retry_equivalence(spark, sf_dir):
-    store, history = _seeded_store(spark, sf_dir)
+    store, history = seeded_store(spark, sf_dir)
 
     def fail(stage: str) -> None:
         if stage == AFTER_TARGET_WRITES:
             raise _Injected(stage)
 
-    _must_fail(_Injected, lambda: _load(store, history, "broken", on_stage=fail))
-    _load(store, history, "retry")
+    _must_fail(_Injected, lambda: fixed_load(store, history, "broken", on_stage=fail))
+    fixed_load(store, history, "retry")
     return store.target()
 
 
 @query
 def run_audit(spark, sf_dir):
     """A seed, a load, and a load that meets two prices for every version."""
-    store, history = _seeded_store(spark, sf_dir)
-    _load(store, history, "load")
+    store, history = seeded_store(spark, sf_dir)
+    fixed_load(store, history, "load")
     contradictory = history.unionByName(history.withColumn("price", F.col("price") + 1))
-    _must_fail(ConflictingSourceVersionError, lambda: _load(store, contradictory, "broken"))
+    _must_fail(ConflictingSourceVersionError, lambda: fixed_load(store, contradictory, "broken"))
     return store.runs()
 
 
 @query
 def failed_run_audit(spark, sf_dir):
     """The history turns out to disagree with what was loaded from it."""
-    store, history = _seeded_store(spark, sf_dir)
+    store, history = seeded_store(spark, sf_dir)
     altered = feeds.seeded(history, "updated_at").withColumn("is_active", ~F.col("is_active"))
-    _must_fail(TargetVersionConflictError, lambda: _load(store, altered, "broken"))
+    _must_fail(TargetVersionConflictError, lambda: fixed_load(store, altered, "broken"))
     return store.runs().filter("status = 'FAILED'")
 
 
 @query
 def result_document_(spark, sf_dir):
-    store, history = _seeded_store(spark, sf_dir)
-    result = _load(store, history, "load")
+    store, history = seeded_store(spark, sf_dir)
+    result = fixed_load(store, history, "load")
     digest = checksum.state_digest(store.target(), PRODUCTS).first()["state_checksum"]
     return result_document(result.as_frame(spark), digest)
 
