@@ -22,6 +22,20 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# What a run record says about a broken rule.
+BLANK = "{} must not be blank"
+NOT_AN_INSTANT = "{} must be a timezone-aware timestamp"
+TOO_LATE = "{} exceeds allowed future skew"
+NOT_AN_INTEGER = "{} must be an integer"
+NEGATIVE = "{} must be non-negative"
+NOT_A_DECIMAL = "{} must be a decimal"
+UNFIT = "{} must fit decimal(18, 2) and be non-negative"
+TOO_FINE = "{} must have at most two decimal places"
+NOT_A_FLAG = "{} must be either true or false"
+
+# Fixed value: the largest amount.
+LARGEST_AMOUNT = "9999999999999999.99"
+
 # ISO-8601 with a mandatory offset. The first form is what Spark's own cast reads.
 _TIMESTAMP_PLAIN = r"^(?!0000)\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 # Separators must be used throughout the date, the time and the offset, or not at all in each.
@@ -92,7 +106,7 @@ def _helper(name: str) -> Callable[[str], str]:
 
 
 def _blank(text: Column, name: str) -> tuple[Column, str]:
-    return text.isNull() | (text == ""), f"{name} must not be blank"
+    return text.isNull() | (text == ""), BLANK.format(name)
 
 
 def parse_text(cell: Column, name: str) -> Parse:
@@ -113,7 +127,7 @@ def parse_timestamp(cell: Column, name: str) -> Parse:
         {h("plain"): text.rlike(_TIMESTAMP_PLAIN)},
         {h("value"): computed_once(readable.try_cast("timestamp"))},
     )
-    error = first_error(_blank(text, name), (value.isNull(), f"{name} must be a timezone-aware timestamp"))
+    error = first_error(_blank(text, name), (value.isNull(), NOT_AN_INSTANT.format(name)))
     return Parse(steps, value, error)
 
 
@@ -128,8 +142,8 @@ def parse_sequence(cell: Column, name: str) -> Parse:
     )
     error = first_error(
         _blank(text, name),
-        (value.isNull(), f"{name} must be an integer"),
-        (value < 0, f"{name} must be non-negative"),
+        (value.isNull(), NOT_AN_INTEGER.format(name)),
+        (value < 0, NEGATIVE.format(name)),
     )
     return Parse(steps, value, error)
 
@@ -158,16 +172,15 @@ def parse_money(cell: Column, name: str) -> Parse:
         {h("value"): F.when(plain, text.try_cast(MONEY)).when((wide >= 0) & whole_cents, wide.cast(MONEY))},
     )
     # Without a wide value the number is too large, or its exponent too low for any decimal.
-    limit = F.lit("9999999999999999.99").cast("decimal(38,18)")
+    limit = F.lit(LARGEST_AMOUNT).cast("decimal(38,18)")
     too_large = F.coalesce(wide > limit, ~number.rlike(r"[eE]-\d{9,}$"))
     negative = text.startswith("-") & (digits > 0)
-    unfit = f"{name} must fit decimal(18, 2) and be non-negative"
     error = F.when(value.isNull(), first_error(
         _blank(text, name),
-        (number.rlike(_NOT_FINITE), unfit),
-        (~number.rlike(_DECIMAL), f"{name} must be a decimal"),
-        (negative | too_large, unfit),
-        (F.lit(True), f"{name} must have at most two decimal places"),
+        (number.rlike(_NOT_FINITE), UNFIT.format(name)),
+        (~number.rlike(_DECIMAL), NOT_A_DECIMAL.format(name)),
+        (negative | too_large, UNFIT.format(name)),
+        (F.lit(True), TOO_FINE.format(name)),
     ))
     return Parse(steps, value, error)
 
@@ -181,8 +194,8 @@ def parse_flag(cell: Column, name: str) -> Parse:
         {h("value"): F.when(text == "true", True).when(text == "false", False)},
     )
     error = first_error(
-        (text.isNull(), f"{name} must not be blank"),
-        (value.isNull(), f"{name} must be either true or false"),
+        (text.isNull(), BLANK.format(name)),
+        (value.isNull(), NOT_A_FLAG.format(name)),
     )
     return Parse(steps, value, error)
 

@@ -33,19 +33,19 @@ def require_columns(spec: TableSpec, names: list[str]) -> None:
 def _rule(name: str, kind: str, data_type: T.DataType) -> text.Parse:
     """How to get one column's value and error; a column that is already typed is not parsed again."""
     cell = F.col(name)
-    blank = (cell.isNull(), f"{name} must not be blank")
+    blank = (cell.isNull(), text.BLANK.format(name))
     if kind == "timestamp" and isinstance(data_type, T.TimestampNTZType):
-        raise SourceDataError(f"{name} must be a timezone-aware timestamp")
+        raise SourceDataError(text.NOT_AN_INSTANT.format(name))
     if kind == "money" and isinstance(data_type, T.DecimalType):
         value = cell.try_cast(MONEY)
         error = text.first_error(
             blank,
-            (value.isNull() | (cell < 0), f"{name} must fit decimal(18, 2) and be non-negative"),
-            (value != cell, f"{name} must have at most two decimal places"),
+            (value.isNull() | (cell < 0), text.UNFIT.format(name)),
+            (value != cell, text.TOO_FINE.format(name)),
         )
         return text.Parse((), value, error)
     if kind == "sequence" and isinstance(data_type, T.IntegralType):
-        error = text.first_error(blank, (cell < 0, f"{name} must be non-negative"))
+        error = text.first_error(blank, (cell < 0, text.NEGATIVE.format(name)))
         return text.Parse((), cell.cast("bigint"), error)
     if kind in ("timestamp", "flag") and data_type == KIND_TYPES[kind]:
         return text.Parse((), cell, text.first_error(blank))
@@ -78,7 +78,7 @@ def validate(
 
     errors = [time.error]
     if latest_allowed is not None:
-        too_late = (time.value > _instant(latest_allowed), f"{spec.event_time} exceeds allowed future skew")
+        too_late = (time.value > _instant(latest_allowed), text.TOO_LATE.format(spec.event_time))
         errors.append(text.first_error(too_late))
     errors += [rule.error for rule in rules.values()]
 
