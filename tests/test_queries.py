@@ -4,15 +4,16 @@ import os
 
 import pytest
 
-import __spark_entry__ as driver
 from checks.compare import connect, differences
+from checks.oracle import ORACLE_SQL
+from checks.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,6 @@ def connection():
         yield opened
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, connection, name):
     assert differences(spark, SF_DIR, name, connection)[1] == []
