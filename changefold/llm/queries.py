@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changefold.llm import fingerprints, mixing, packing, quality
+from changefold.llm import fingerprints, mixing, near_dedup, packing, quality, substring_dedup, topk
 from changefold.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized, sources, pieces = mixing.mix(table(spark, sf_dir, "documents"))
     return mixing.taken(sized, sources, pieces).drop("copy")
@@ -41,6 +46,16 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(rows, rows.where(F.col("vec_id") % 20 == 0))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     length = (F.octet_length("ids") / 4).cast("long")
@@ -51,8 +66,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op3_near_dedup": op3_near_dedup,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_top_k": op9_top_k,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
