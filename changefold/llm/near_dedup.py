@@ -220,3 +220,17 @@ def _left_over(remaining, centres, known, compared, percent, first) -> DataFrame
     parts = left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_buckets = parts.where("low <> high").select("bucket")
     return left.join(open_buckets, "bucket", "left_semi").select("node", "bucket", "rank", "component")
+
+
+def one_of_each(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component, and all without words, repeated rows once."""
+    found = staged(near_duplicates(docs, words=words, percent=percent).where("kept"), "near-kept")
+    # Rows of one doc_id may differ in text, and those without one are told apart by their sets.
+    group = ["doc_id", F.when(F.col("doc_id").isNull(), F.col("set_key")), F.col("n_shingles") == 0]
+    chosen = found.groupBy(*group).agg(F.min("text_hash").alias("__hash")).select(F.col("doc_id").alias("__doc"), "__hash")
+    chosen = staged(chosen, "near-chosen")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
+    kept = docs.join(chosen, same, "left_semi")
+    if found.count() > chosen.count():
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changefold.llm import fingerprints, mixing, near_dedup, packing, quality, substring_dedup, topk
+from changefold.llm import chat, fingerprints, line_dedup, mixing, near_dedup, packing, pii, quality, substring_dedup, topk
 from changefold.llm.common import table
+from changefold.llm.oracle import ORACLE_SQL  # noqa: F401
 
 TOKENIZER = "word_bpe_49k.json"
 ACCEPT = 0.7
@@ -29,11 +30,25 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, pii.BASE), F.sha2(pii.written(base).cast("binary"), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"), pii.written(F.col("spans"), score=True).alias("scored_spans"),
+    )
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized, sources, pieces = mixing.mix(table(spark, sf_dir, "documents"))
     return mixing.taken(sized, sources, pieces).drop("copy")
@@ -46,6 +61,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -66,11 +85,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_pii": op2_pii,
     "op3_near_dedup": op3_near_dedup,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
+    "op7_line_dedup": op7_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_top_k": op9_top_k,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changefold.llm import mixing, packing, quality
+from changefold.llm import line_dedup, mixing, near_dedup, packing, quality
 from changefold.llm.common import staged, table
 from changefold.llm.queries import ACCEPT, tokenizer_path
 
@@ -22,6 +22,18 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return scored.where(F.col("score") >= ACCEPT).select(*COLUMNS)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand earlier in the corpus; those of which nothing is left go."""
+    found = line_dedup.without_repeated_lines(docs.select(*COLUMNS))
+    left = found.where("n_removed = 0 OR n_removed < n_lines")
+    return left.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that of the smallest doc_id."""
+    return near_dedup.one_of_each(docs.select(*COLUMNS))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of the sources by their weights; a document drawn in two rounds gives two rows."""
     docs = docs.select(*COLUMNS)
@@ -36,7 +48,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality classifier", filter_quality),
-    ("mixing", mix_sources),
+    ("line dedup", drop_repeated_lines),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("mixing sources to target weights", mix_sources),
     ("packing", pack_sequences),
 ]
 
