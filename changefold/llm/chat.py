@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changefold.llm.common import staged
+from changefold.llm.common import scan, staged
 
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 
@@ -45,13 +45,8 @@ def _before(a: Column, b: Column) -> Column:
 
 def prefix_hashes(turns: str | Column) -> Column:
     """For each turn the hash of the conversation up to it: of the hash before and the turn."""
-    begun = F.struct(F.lit("").alias("last"), F.array().cast("array<string>").alias("chain"))
-
-    def add(state: Column, turn: Column) -> Column:
-        link = F.sha2(F.concat(state["last"], _said(turn["role"], turn["text"])).cast("binary"), 256)
-        return F.struct(link.alias("last"), F.concat(state["chain"], F.array(link)).alias("chain"))
-
-    return F.aggregate(turns, begun, add)["chain"]
+    link = lambda last, said: F.sha2(F.concat(last, said).cast("binary"), 256)
+    return scan(F.transform(turns, lambda t: _said(t["role"], t["text"])), F.lit(""), link, "string")
 
 
 def maximal(rows: DataFrame) -> DataFrame:

@@ -46,6 +46,38 @@ def words_array(text: str | Column) -> Column:
     return F.filter(F.split(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), SPACES), lambda w: w != "")
 
 
+#: Values over which a scan builds one list at a time.
+STRETCH = 64
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often and how deep ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def scan(values: Column, begin: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """State after each of the values, from ``begin`` on; ``kind`` is the state's SQL type.
+
+    Lists grow by copying, so that they are built stretch by stretch and joined at the end.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def within(part: Column, start: Column) -> Column:
+        last = lambda done: F.when(F.size(done) == 0, start).otherwise(F.element_at(done, -1))
+        return F.aggregate(part, none, lambda done, value: F.concat(done, F.array(step(last(done), value))))
+
+    def stretch(values: Column, done: Column, k: Column) -> Column:
+        start = F.when(F.size(done) == 0, begin).otherwise(F.element_at(F.element_at(done, -1), -1))
+        return F.concat(done, F.array(within(F.slice(values, k * STRETCH + 1, F.lit(STRETCH)), start)))
+
+    def whole(values: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / STRETCH).cast("int"))
+        every = F.aggregate(places, F.array().cast(f"array<array<{kind}>>"), lambda done, k: stretch(values, done, k))
+        return F.when(F.size(values) == 0, none).otherwise(F.flatten(every))
+
+    return let(values, whole)
+
+
 # -- numpy ---------------------------------------------------------------------------------
 
 _IS_SPACE = np.zeros(256, bool)

@@ -23,11 +23,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changefold.llm.common import staged
+from changefold.llm.common import let, scan, staged
 
 MIN_WORDS = 8
-#: Places in a line over which running sums are taken at a time.
-STRETCH = 64
 
 
 def lines_of(text: str | Column) -> Column:
@@ -77,31 +75,18 @@ def sharing_halves(distinct: DataFrame) -> DataFrame:
 
 
 def running_xor(values: Column) -> Column:
-    """Sum without carry of all values before each place, stretch by stretch."""
-    zero = F.lit(0).cast("long")
-    starts = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / STRETCH).cast("int"))
+    """Sum without carry of all values before each place."""
     xor = lambda a, b: a.bitwiseXOR(b)
-
-    def before(part: Column) -> Column:
-        begun = F.struct(zero.alias("sum"), F.array().cast("array<bigint>").alias("all"))
-        add = lambda s, x: F.struct(xor(s["sum"], x).alias("sum"), F.concat(s["all"], F.array(s["sum"])).alias("all"))
-        return F.aggregate(part, begun, add)["all"]
-
-    parts = F.transform(starts, lambda k: F.slice(values, k * STRETCH + 1, F.lit(STRETCH)))
-    inner = F.transform(parts, before)
-    outer = before(F.transform(parts, lambda part: F.aggregate(part, zero, xor)))
-    return F.flatten(F.zip_with(inner, outer, lambda part, sum: F.transform(part, lambda x: xor(x, sum))))
+    return let(values, lambda own: F.zip_with(scan(own, F.lit(0).cast("long"), xor, "bigint"), own, xor))
 
 
 def variants(lines: DataFrame) -> DataFrame:
     """name, role and first of every variant needed; role 0: one word changed, 1: the line itself, 2: one word left out."""
     n = F.size("words")
-    lines = lines.withColumn("here", F.transform("words", lambda w, i: F.xxhash64(w, i)))
-    lines = lines.withColumn("moved", F.transform("words", lambda w, i: F.xxhash64(w, i - 1)))
-    zero = F.lit(0).cast("long")
-    total = lambda c: F.aggregate(c, zero, lambda a, b: a.bitwiseXOR(b))
-    lines = lines.withColumns({"all_here": total("here"), "all_moved": total("moved")})
-    lines = lines.withColumn("turned", running_xor(F.zip_with("here", "moved", lambda a, b: a.bitwiseXOR(b))))
+    here = F.transform("words", lambda w, i: F.xxhash64(w, i))
+    moved = F.transform("words", lambda w, i: F.xxhash64(w, i - 1))
+    xor = lambda a, b: a.bitwiseXOR(b)
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), xor)
     has = lambda half: F.array_contains("shared", half)
 
     def places(first: int, last: int, length: Column) -> Column:
@@ -110,9 +95,10 @@ def variants(lines: DataFrame) -> DataFrame:
         return lambda i: (has(first) & (i >= half)) | (has(last) & (i < n - half))
 
     changed, left_out = places(0, 1, n), places(2, 3, n - 1)
-    of_change = F.transform("here", lambda h, i: F.when(changed(i), F.xxhash64(F.lit(0), n, i, F.col("all_here").bitwiseXOR(h))))
-    base = F.when(has(0) | has(1), F.xxhash64(F.lit(1), n, F.col("all_here")))
-    less = F.zip_with("turned", "moved", lambda t, m: F.col("all_moved").bitwiseXOR(t).bitwiseXOR(m))
+    of_change = let(total(here), lambda all: F.transform(here, lambda h, i: F.when(changed(i), F.xxhash64(F.lit(0), n, i, xor(all, h)))))
+    base = F.when(has(0) | has(1), F.xxhash64(F.lit(1), n, total(here)))
+    turned = running_xor(F.zip_with(here, moved, xor))
+    less = let(total(moved), lambda all: F.zip_with(turned, moved, lambda t, m: xor(xor(all, t), m)))
     of_less = F.transform(less, lambda x, i: F.when(left_out(i), F.xxhash64(F.lit(1), n - 1, x)))
     roles = [(0, of_change), (1, F.array(base)), (2, F.array_distinct(of_less))]
 
@@ -170,12 +156,12 @@ def removed_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def without_repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with its text less the repeated lines, and n_lines and n_removed."""
+    """``docs`` with its text less the repeated lines, and n_lines and n_removed (columns of these names are replaced)."""
     gone = removed_lines(docs, min_words=min_words)
     gone = gone.select(F.col("doc_id").alias("__doc"), F.col("removed").alias("__removed"))
     joined = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")), "left")
     kept = F.filter(lines_of("text"), lambda line, i: ~F.array_contains("__removed", i))
     text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     counts = [F.coalesce(F.size(lines_of("text")), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("__removed"), F.lit(0)).cast("long").alias("n_removed")]
-    columns = [text.alias(c) if c == "text" else F.col(c) for c in docs.columns]
+    columns = [text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     return joined.select(*columns, *counts)

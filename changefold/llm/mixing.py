@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from changefold.llm.common import NOT_SPACES, staged
+from changefold.llm.common import NOT_SPACES, SPACES, staged
 
 #: Words of a block.
 BLOCK_WORDS = 256
@@ -34,9 +34,9 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(NOT_SPACES)), F.lit(0)).cast("long")
 
 
-def copy_number() -> Column:
-    """Tells rows of one doc_id apart. Rows equal in text are interchangeable."""
-    return F.row_number().over(W.partitionBy("doc_id").orderBy("text_hash")).cast("int")
+def copy_number(source: str = "source", text_hash: str = "text_hash") -> Column:
+    """Tells rows of one doc_id apart. Rows equal in source and text are interchangeable."""
+    return F.row_number().over(W.partitionBy("doc_id").orderBy(text_hash, source)).cast("int")
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -157,11 +157,11 @@ def mixed_documents(docs: DataFrame, pieces: DataFrame) -> DataFrame:
     A document drawn in two rounds gives two rows.
     """
     runs = pieces.groupBy("doc_id", "copy", "round").agg(F.min("from_word").alias("from_word"), F.max("to_word").alias("to_word"))
-    keyed = docs.withColumn("text_hash", F.xxhash64("text")).withColumn("copy", copy_number())
-    key = keyed["doc_id"].eqNullSafe(runs["doc_id"]) & (keyed["copy"] == runs["copy"])
-    joined = keyed.alias("d").join(runs.alias("r"), key)
-    whole = (F.col("r.from_word") == 0) & (F.col("r.to_word") == word_count("d.text"))
-    words = F.slice(F.filter(F.split("d.text", r"[\x20\x09-\x0D]+"), lambda w: w != ""), (F.col("r.from_word") + 1).cast("int"), (F.col("r.to_word") - F.col("r.from_word")).cast("int"))
-    text = F.when(whole, F.col("d.text")).otherwise(F.array_join(words, " "))
-    columns = [text.alias("text") if c == "text" else F.char_length(text).cast("long").alias(c) if c == "n_chars" else F.col(f"d.{c}") for c in docs.columns]
-    return joined.select(*columns)
+    keyed = docs.withColumn("__hash", F.xxhash64("text")).withColumn("__copy", copy_number(text_hash="__hash")).alias("d")
+    joined = keyed.join(runs.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.__copy") == F.col("r.copy")))
+    first, last = F.col("r.from_word").cast("int"), F.col("r.to_word").cast("int")
+    whole = (first == 0) & (last == word_count("d.text"))
+    words = F.filter(F.split("d.text", SPACES), lambda w: w != "")
+    text = F.when(whole, F.col("d.text")).otherwise(F.array_join(F.slice(words, first + 1, last - first), " "))
+    new = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return joined.select(*(new.get(c, F.col(f"d.{c}")).alias(c) for c in docs.columns))

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from changefold.llm.common import let, scan
+
 #: Characters before a span in which its kind's words count.
 NEARBY = 48
 
@@ -107,16 +109,14 @@ def _spans(kind: Kind, order: int, text: Column) -> Column:
     pattern = F.lit(rf"\G{kind.gap}({kind.match})")  # without \G a text's end would be searched from every place
     gaps = F.regexp_extract_all(text, pattern, F.lit(1))
     matches = F.regexp_extract_all(text, pattern, F.lit(2))
-    lengths = F.arrays_zip(F.transform(gaps, F.char_length).alias("gap"), matches.alias("match"))
-    begun = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,match:string>>").alias("found"))
 
-    def add(state: Column, one: Column) -> Column:
-        start = state["at"] + one["gap"]
-        stop = start + F.char_length(one["match"])
-        span = F.struct(start.alias("start"), stop.alias("stop"), one["match"].alias("match"))
-        return F.struct(stop.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
+    def place(matches: Column) -> Column:
+        lengths = F.zip_with(gaps, matches, lambda gap, match: F.char_length(gap) + F.char_length(match))
+        stops = scan(lengths, F.lit(0), lambda at, length: at + length, "int")
+        found = lambda stop, match: F.struct((stop - F.char_length(match)).alias("start"), stop.alias("stop"), match.alias("match"))
+        return F.zip_with(stops, matches, found)
 
-    placed = F.aggregate(lengths, begun, add)["found"]
+    placed = let(matches, place)
     confirmed = F.filter(placed, lambda s: _TESTS[kind.name](s["match"]))
 
     def scored(span: Column) -> Column:
@@ -136,11 +136,14 @@ def _spans(kind: Kind, order: int, text: Column) -> Column:
 
 
 def find(docs: DataFrame, *, text_column: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
-    """``docs`` with a column ``spans``: start, place, kind, stop and score, by start and then by kind as listed."""
+    """``docs`` with a column ``spans``: start, place, kind, stop and score, by start and then by kind as listed.
+
+    A column of that name is replaced.
+    """
     text = F.coalesce(F.col(text_column), F.lit(""))
     found = F.array_sort(F.concat(*(_spans(kind, order, text) for order, kind in enumerate(kinds))))
     # Exploding a list of one keeps the optimiser from working the spans out again for each use of them.
-    return docs.select("*", F.explode(F.array(found)).alias("spans"))
+    return docs.select(*(c for c in docs.columns if c != "spans"), F.explode(F.array(found)).alias("spans"))
 
 
 def written(spans: Column, score: bool = False) -> Column:

@@ -103,3 +103,49 @@ def token_ids(tokenizer, text: str | None, end_id: int = 1) -> list[int]:
 
 def crc(ids: list[int]) -> int:
     return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+BASE = ("email", "ip", "card", "phone")
+
+
+def luhn(text: str) -> bool:
+    digits = [int(c) for c in re.sub("[^0-9]", "", text)][::-1]
+    total = sum(d if i % 2 == 0 else 2 * d - 9 * (d > 4) for i, d in enumerate(digits))
+    return 14 <= len(digits) <= 19 and total % 10 == 0
+
+
+def base_spans(text: str | None) -> list[tuple]:
+    tests = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        (r"[0-9]([\x20-]?[0-9])+", luhn),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(re.sub("[^0-9]", "", m)) <= 15),
+    ]
+    found = []
+    for order, (pattern, sound) in enumerate(tests):
+        found += [(m.start(), order, BASE[order], m.end()) for m in re.finditer(pattern, text or "") if sound(m.group())]
+    return sorted(found)
+
+
+def written(spans: list[tuple]) -> str:
+    return ",".join(f"{kind}:{start}:{stop}" for start, _, kind, stop in spans)
+
+
+def held_out(doc_id: int | None) -> bool:
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def gapless(pieces: list[tuple[int, int]]) -> int:
+    """Length of pieces (begin, length) that follow each other from 0; fails at a gap or overlap."""
+    reached = 0
+    for begin, length in sorted(pieces):
+        assert begin == reached and length > 0
+        reached += length
+    return reached
+
+
+def one_edit(a: list[str], b: list[str]) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
