@@ -3,10 +3,13 @@
 Super-k-mers: neighbouring windows of a text whose smallest hashed run of MINIMISER words (the
 minimiser) is the same occurrence travel together, as one string of words, to the bucket that the
 minimiser names. Equal windows have equal minimisers, so each bucket can decide on its windows alone.
-Equal strings met by one task travel once, with the list of their places. A bucket's strings come
-sorted by their smallest doc_id and are read as a stream; what is kept of a bucket that is larger
-than one round of work is only its distinct windows. Windows are sorted and compared as pairs of
-64-bit hashes of which one names the bucket's minimiser.
+
+A task gathers GATHERED bytes of strings, equal ones once with the list of their places, and puts them
+out as one compressed block for each part (a number of buckets). The task that has a part sorts its
+windows and finds the smallest document of each distinct one, block group by block group, then goes
+over the blocks again for the places at which a window is not its first. Beside one group it holds a
+part's compressed blocks and its distinct windows; a passage that a third of all documents share is
+one string in each block. Windows are sorted and compared by 64-bit hashes, within one part.
 
 Back come only the spans of words to remove, gathered by document.
 
@@ -29,12 +32,16 @@ from changefold.llm.common import Words, find_words, map_arrow, mix, text_rounds
 WINDOW = 13
 MINIMISER = 3
 #: Bytes of strings a task gathers before it puts them out, and of those it compares in one round.
-GATHERED = 8 << 20
-COMPARED = 4 << 20
+GATHERED = 24 << 20
+COMPARED = 16 << 20
+#: Bytes that a block should have at least on average; parts are made accordingly, and at most so many
+#: for each partition of the shuffle.
+BLOCK_BYTES = 16 << 10
+FINENESS = 8
 _LAST = np.iinfo(np.int64).max
 _ROLE = np.random.default_rng(1313).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
-STRINGS = "bucket long, least long, docs array<long>, starts array<int>, words binary"
+BLOCKS = "part int, size long, block binary"
 SPANS = "doc_id long, from_word int, to_word int"
 
 
@@ -78,129 +85,160 @@ def super_kmers(words: Words, window: int, minimiser: int) -> tuple[np.ndarray,
     return text[first], first, last + window - 1, mix(grams[at[first]] ^ np.uint64(window)).view(np.int64)
 
 
-def _emit(window: int, minimiser: int):
-    def batch_of(found: dict[bytes, list]) -> pa.RecordBatch:
-        rows = found.values()
-        ends = np.append(0, np.cumsum([len(r[1]) for r in rows])).astype(np.int32)
-        offsets = pa.array(ends, pa.int32())
-        docs = np.array([d for r in rows for d in r[1]], np.int64)
-        starts = np.array([s for r in rows for s in r[2]], np.int32)
-        least = np.minimum.reduceat(docs, ends[:-1]) if len(docs) else docs
+def _block(strings: list[bytes], places: list[tuple[list[int], list[int]]]) -> bytes:
+    """Strings with the documents and places of each, compressed."""
+    counts = np.array([len(docs) for docs, _ in places], "<i4")
+    docs = np.array([d for own, _ in places for d in own], "<i8")
+    starts = np.array([s for _, own in places for s in own], "<i4")
+    head = np.array([len(counts), len(docs)], "<i8")
+    whole = b"".join([head.tobytes(), counts.tobytes(), docs.tobytes(), starts.tobytes(), b"\n".join(strings)])
+    return np.array([len(whole)], "<i8").tobytes() + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def _unblock(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """How often each string occurs, where, and the bytes of all strings, a line each."""
+    size = int(np.frombuffer(block, "<i8", 1)[0])
+    whole = pa.decompress(block[8:], size, codec="zstd", asbytes=True)
+    n, places = np.frombuffer(whole, "<i8", 2).tolist()
+    counts = np.frombuffer(whole, "<i4", n, 16)
+    docs = np.frombuffer(whole, "<i8", places, 16 + 4 * n)
+    starts = np.frombuffer(whole, "<i4", places, 16 + 4 * n + 8 * places)
+    return counts, docs, starts, np.frombuffer(whole, np.uint8, offset=16 + 4 * n + 12 * places)
+
+
+def _emit(window: int, minimiser: int, parts: int):
+    def blocks_of(found: dict[bytes, tuple]) -> pa.RecordBatch:
+        part = np.fromiter((row[0] for row in found.values()), np.int64, len(found))
+        order = np.argsort(part, kind="stable")
+        strings, places = list(found), [row[1:] for row in found.values()]
+        edges = np.flatnonzero(np.diff(part[order], prepend=-1, append=parts))
+        blocks, sizes = [], []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            own = order[a:b].tolist()
+            blocks.append(_block([strings[i] for i in own], [places[i] for i in own]))
+            sizes.append(sum(len(strings[i]) for i in own))
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array(least), pa.ListArray.from_arrays(offsets, pa.array(docs)),
-             pa.ListArray.from_arrays(offsets, pa.array(starts)), pa.array(list(found), pa.binary())],
-            ["bucket", "least", "docs", "starts", "words"],
-        )
+            [pa.array(part[order][edges[:-1]].astype(np.int32)), pa.array(sizes, pa.int64()), pa.array(blocks, pa.binary())], ["part", "size", "block"]
+        )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[bytes, list] = {}
+        found: dict[bytes, tuple] = {}
         held = 0
         for batch in batches:
             ids = batch.column(0).fill_null(_LAST).to_pylist()
             for row, data, offsets in text_rounds(batch.column(1)):
                 words = find_words(data, offsets)
                 text, first, last, bucket = super_kmers(words, window, minimiser)
-                if not len(text):
-                    continue
                 joined, begin, end = _single_spaced(words)
-                spans = zip(
-                    text.tolist(), (first - words.first[text]).tolist(), begin[first].tolist(), end[last].tolist(), bucket.tolist(), strict=True
-                )
+                part = (bucket.view(np.uint64) % np.uint64(parts)).tolist() if len(text) else []
+                spans = zip(text.tolist(), (first - words.first[text]).tolist(), begin[first].tolist(), end[last].tolist(), part, strict=True)
                 for k, start, a, b, name in spans:
                     string = joined[a:b]
                     known = found.get(string)
                     if known is None:
-                        found[string] = [name, [ids[row + k]], [start]]
+                        found[string] = (name, [ids[row + k]], [start])
                         held += b - a
                     else:
                         known[1].append(ids[row + k])
                         known[2].append(start)
                 if held > GATHERED:
-                    yield batch_of(found)
+                    yield blocks_of(found)
                     found, held = {}, 0
         if found:
-            yield batch_of(found)
+            yield blocks_of(found)
 
     return run
 
 
-class _Windows:
-    """Compares the windows of strings that come by bucket, and in it by smallest doc_id."""
-
-    def __init__(self, window: int) -> None:
-        self.window = window
-        self.bucket: int | None = None  # the last bucket, of which more may come
-        self.keys = np.zeros(0, np.uint64)  # its windows so far, sorted
-        self.least = np.zeros(0, np.int64)  # and the smallest document of each
+class _Group:
+    """Windows of some blocks' strings."""
 
-    def compare(self, bucket, least, docs, starts, occurrences, strings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __init__(self, blocks: list[bytes], window: int) -> None:
+        opened = [_unblock(block) for block in blocks]
+        self.counts, self.docs, self.starts = (np.concatenate([one[i] for one in opened]) for i in range(3))
+        codes, sizes = [], []
+        for _, _, _, data in opened:
+            offsets = np.concatenate(([0], np.flatnonzero(data == 10) + 1, [len(data)]))
+            words = find_words(data, offsets)
+            codes.append(words.hashes())
+            sizes.append(np.diff(words.first))
+        sizes = np.concatenate(sizes)
+        self.windows = sizes - window + 1  # of each string
+        self.first = np.cumsum(self.windows) - self.windows
+        place = np.repeat(np.cumsum(sizes) - sizes - self.first, self.windows) + np.arange(self.windows.sum())
+        self.keys = _rolled(np.concatenate(codes), window)[place]
+
+    def smallest(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct windows, sorted, and the smallest document of each."""
+        least = np.minimum.reduceat(self.docs, np.cumsum(self.counts) - self.counts)
+        return _least(self.keys, np.repeat(least, self.windows))
+
+    def repeated(self, keys: np.ndarray, least: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Documents, and spans of words in them, of windows that also start in a smaller document."""
-        pieces = [find_words(data, offsets) for _, data, offsets in text_rounds(strings)]
-        codes = np.concatenate([p.hashes() for p in pieces])
-        counts = np.concatenate([np.diff(p.first) for p in pieces])
-        windows = counts - self.window + 1  # of each string
-        ends = np.cumsum(counts)
-        first_window = np.cumsum(windows) - windows
-        place = np.repeat(ends - counts - first_window, windows) + np.arange(windows.sum())
-        row = np.repeat(np.arange(len(windows)), windows)
-        keys = mix(_rolled(codes, self.window)[place] ^ mix(bucket.view(np.uint64))[row])
-        unique, at, number = np.unique(keys, return_index=True, return_inverse=True)
-        smallest = least[row[at]]  # strings come by smallest document, so that the first has it
-        if self.bucket is not None and len(self.keys):
-            where = np.minimum(np.searchsorted(self.keys, unique), len(self.keys) - 1)
-            seen = (self.keys[where] == unique) & (bucket[row[at]] == self.bucket)
-            smallest[seen] = np.minimum(smallest[seen], self.least[where[seen]])
-        self._carry(bucket, unique, smallest, bucket[row[at]])
-        of_window = smallest[number]
+        of_window = least[np.searchsorted(keys, self.keys)]
         # Every place of a string has all of its windows.
-        string = np.repeat(np.arange(len(occurrences)), occurrences)
-        per = windows[string]
+        string = np.repeat(np.arange(len(self.counts)), self.counts)
+        per = self.windows[string]
         total = int(per.sum())
         before = np.cumsum(per) - per
         step = np.arange(total) - np.repeat(before, per)
-        repeated = np.repeat(docs, per) > of_window[np.repeat(first_window[string], per) + step]
-        opens, closes = repeated.copy(), repeated.copy()
+        again = np.repeat(self.docs, per) > of_window[np.repeat(self.first[string], per) + step]
         inner = np.ones(total + 1, bool)
         inner[before] = False
-        opens[1:] &= ~(repeated[:-1] & inner[1:total])
-        closes[:-1] &= ~(repeated[1:] & inner[1:total])
+        opens, closes = again.copy(), again.copy()
+        opens[1:] &= ~(again[:-1] & inner[1:total])
+        closes[:-1] &= ~(again[1:] & inner[1:total])
         a, b = np.flatnonzero(opens), np.flatnonzero(closes)
-        occurrence = np.searchsorted(before, a, "right") - 1
-        return docs[occurrence], starts[occurrence] + step[a], starts[occurrence] + step[b] + self.window
-
-    def _carry(self, bucket, unique, smallest, bucket_of) -> None:
-        last = int(bucket[-1])
-        own = bucket_of == last
-        keys, least = unique[own], smallest[own]
-        if last == self.bucket:
-            fresh = ~np.isin(keys, self.keys, assume_unique=True)
-            keys, least = np.append(self.keys, keys[fresh]), np.append(self.least, least[fresh])
-            order = np.argsort(keys)
-            keys, least = keys[order], least[order]
-        self.bucket, self.keys, self.least = last, keys, least
+        place = np.searchsorted(before, a, "right") - 1
+        start = self.starts[place].astype(np.int64)
+        return self.docs[place], start + step[a], start + step[b] + window
+
+
+def _least(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys, docs = keys[order], docs[order]
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[begins], np.minimum.reduceat(docs, begins) if len(keys) else docs
+
+
+def _part(blocks: list[bytes], sizes: list[int], window: int) -> Iterator[pa.RecordBatch]:
+    groups: list[list[bytes]] = [[]]
+    held = 0
+    for block, size in zip(blocks, sizes, strict=True):
+        if groups[-1] and held + size > COMPARED:
+            groups.append([])
+            held = 0
+        groups[-1].append(block)
+        held += size
+    keys, least, group = np.zeros(0, np.uint64), np.zeros(0, np.int64), None
+    for own in groups:
+        group = _Group(own, window)
+        new = group.smallest()
+        keys, least = _least(np.append(keys, new[0]), np.append(least, new[1])) if len(keys) else new
+    for own in groups:
+        group = group if len(groups) == 1 else _Group(own, window)
+        docs, from_word, to_word = group.repeated(keys, least, window)
+        if len(docs):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs), pa.array(from_word.astype(np.int32)), pa.array(to_word.astype(np.int32))], ["doc_id", "from_word", "to_word"]
+            )
 
 
 def _compare(window: int):
+    """Rows come by part."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = _Windows(window)
+        part, blocks, sizes = None, [], []
         for batch in batches:
-            size = np.cumsum(pc.binary_length(batch.column(4)).to_numpy())
-            row = 0
-            while row < batch.num_rows:
-                done = size[row - 1] if row else 0
-                last = max(row + 1, int(np.searchsorted(size, done + COMPARED, "right")))
-                part = batch.slice(row, last - row)
-                row = last
-                docs, starts = part.column(2), part.column(3)
-                counts = pc.list_value_length(docs).to_numpy()
-                found = state.compare(
-                    part.column(0).to_numpy(), part.column(1).to_numpy(), docs.flatten().to_numpy(),
-                    starts.flatten().to_numpy().astype(np.int64), counts, part.column(4),
-                )
-                if len(found[0]):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found[0]), pa.array(found[1].astype(np.int32)), pa.array(found[2].astype(np.int32))], ["doc_id", "from_word", "to_word"]
-                    )
+            for number, size, block in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if number != part:
+                    if blocks:
+                        yield from _part(blocks, sizes, window)
+                    part, blocks, sizes = number, [], []
+                blocks.append(block)
+                sizes.append(size)
+        if blocks:
+            yield from _part(blocks, sizes, window)
 
     return run
 
@@ -208,9 +246,10 @@ def _compare(window: int):
 def repeated_spans(docs: DataFrame, *, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
     """doc_id, from_word and to_word (exclusive) of words that windows of earlier documents cover."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    strings = map_arrow(rows, _emit(window, minimiser), STRINGS)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = strings.repartition(parts, "bucket").sortWithinPartitions("bucket", "least")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions * max(1, min(FINENESS, GATHERED // (BLOCK_BYTES * partitions)))
+    blocks = map_arrow(rows, _emit(window, minimiser, parts), BLOCKS)
+    dealt = blocks.repartition(partitions, "part").sortWithinPartitions("part")
     return map_arrow(dealt, _compare(window), SPANS)
 
 
