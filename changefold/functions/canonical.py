@@ -47,18 +47,30 @@ def instant_iso(ts: Column) -> Column:
 
 
 def json_value(column: Column, data_type: T.DataType) -> Column:
-    """JSON value of one business column; null stays the literal ``null``."""
+    """JSON value of one business column; null stays the literal ``null``.
+
+    Decimals keep the digits of their type, floating-point numbers are written as Spark writes them.
+    Binary and nested columns, and others without an agreed text, are refused.
+    """
     if isinstance(data_type, T.TimestampType):
-        value = F.concat(F.lit('"'), instant_micros(column), F.lit('"'))
-    elif isinstance(data_type, T.DecimalType):
-        value = F.concat(F.lit('"'), column.cast("decimal(38,2)").cast("string"), F.lit('"'))
+        value = _quoted(instant_micros(column))
+    elif isinstance(data_type, T.TimestampNTZType):
+        value = _quoted(F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    elif isinstance(data_type, (T.DecimalType, T.DateType)):
+        value = _quoted(column.cast("string"))
     elif isinstance(data_type, T.StringType):
         value = json_string(column)
-    else:
+    elif isinstance(data_type, (T.IntegralType, T.BooleanType, T.FractionalType)):
         value = column.cast("string")
+    else:
+        raise TypeError(f"no canonical text for {data_type.simpleString()}")
     return F.coalesce(value, F.lit("null"))
 
 
+def _quoted(text: Column) -> Column:
+    return F.concat(F.lit('"'), text, F.lit('"'))
+
+
 def json_line(fields: list[T.StructField]) -> Column:
     """Compact JSON object of the given columns in the given order, ended by a newline."""
     parts: list[Column] = []

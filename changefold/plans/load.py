@@ -21,9 +21,9 @@ from changefold.session import configure, one_row
 from changefold.spec import FAILED, STATE_SCHEMA, SUCCESS, TableSpec
 
 #: Points of a load at which ``on_stage`` is called.
-AFTER_CLASSIFICATION = "after_classification"
-AFTER_TARGET_WRITES = "after_target_writes"
-AFTER_STATE_ADVANCEMENT = "after_state_advancement"
+AFTER_CLASSIFICATION = "classified"
+AFTER_TARGET_WRITES = "target written"
+AFTER_STATE_ADVANCEMENT = "mark moved"
 
 
 @dataclass(frozen=True)
@@ -72,13 +72,15 @@ def run_load(
 
     Either target rows, progress mark and success record all become visible, or none of them and
     a failed record is kept. A failed or repeated load is simply run again with the same history.
-    ``history`` may be a function, so that a source which cannot be opened is recorded as well.
+    ``history`` may be a function, so that a source which cannot be opened is recorded as well. A
+    ``run_id`` can be used once; a blank, unfit or used one is refused and leaves no record.
     """
     if not params.pipeline_name.strip():
         raise ValueError("pipeline_name must not be blank")
     configure(store.spark)
     store = store.reopened()
-    run = RunRecord(run_id or str(uuid.uuid4()), params.pipeline_name, started_at=_utc(clock()))
+    run = RunRecord(str(uuid.uuid4()) if run_id is None else run_id, params.pipeline_name, started_at=_utc(clock()))
+    store.claim(run.run_id)
     progress = _Progress(run)
     try:
         return _load(history, store, params, progress, clock, on_stage)

@@ -3,6 +3,7 @@
     <root>/data/run=<run>/bucket=<n>/   rows of bucket n as that run left them
     <root>/manifests/<number>.json      bucket → run, state of every pipeline, that load's record
     <root>/failed_runs/                 records of failed loads
+    <root>/run_ids/<run>                an empty file for every run id ever used
     <root>/staging/<run>/               intermediate tables of a load, dropped when it ends
 
 Creating the next manifest is the one commit point: target rows, progress mark and success
@@ -16,10 +17,11 @@ and a load rewrites only the buckets it changes.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -28,6 +30,8 @@ from changefold.session import one_row
 from changefold.spec import FAILED, RUN_SCHEMA, STATE_SCHEMA, TableSpec
 
 BUCKET = "bucket"
+#: Run ids name folders and stand in SQL text.
+RUN_ID = re.compile(r"[A-Za-z0-9_-][A-Za-z0-9._-]{0,127}")
 #: Size of a bucket to aim at, and the fewest buckets a store is given.
 BUCKET_BYTES = 512 * 1024 * 1024
 MIN_BUCKETS = 8
@@ -139,7 +143,7 @@ class TargetStore:
         fs, manifests = self._fs(f"{self.root}/manifests")
         if fs.exists(manifests):
             published = self.spark.read.schema(T.StructType([T.StructField("run", RUN_SCHEMA)]))
-            runs = runs.unionByName(published.json(manifests.toString()).select("run.*"))
+            runs = runs.unionByName(published.json(manifests.toString()).where("run IS NOT NULL").select("run.*"))
         failed = self._fs(f"{self.root}/failed_runs")[1]
         if fs.exists(failed):
             runs = runs.unionByName(self.spark.read.schema(RUN_SCHEMA).json(failed.toString()))
@@ -149,6 +153,51 @@ class TargetStore:
         """Spark's own bucketing function, so that bucketed reads line up with it."""
         return F.pmod(F.hash(*self.spec.key), F.lit(n_buckets)).cast("int")
 
+    # -- maintenance -----------------------------------------------------------------------
+
+    def rebucket(self, n_buckets: int) -> Snapshot:
+        """Split every bucket into equal parts, so that the store has ``n_buckets``, a multiple of what it had.
+
+        A key of bucket b goes to b, b + old, b + 2 old and so on, so that each task reads one old
+        bucket and writes its parts, without an exchange.
+        """
+        base = self.snapshot()
+        if not base.n_buckets or n_buckets % base.n_buckets or n_buckets == base.n_buckets:
+            raise ValueError(f"{n_buckets} is no multiple of the store's {base.n_buckets} buckets")
+        run_id = f"rebucket-{uuid.uuid4()}"
+        written: list[int] = []
+        if base.buckets:
+            self.write_buckets(self.target(base), run_id, n_buckets)
+            fs, folder = self._fs(self._data(run_id))
+            names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
+            written = [int(name.split("=")[1]) for name in names if name.startswith(f"{BUCKET}=")]
+        wider = Snapshot(base.number, n_buckets, {}, base.state)
+        self._new_buckets = n_buckets
+        return self.publish(wider, run_id, written, None, None)
+
+    def vacuum(self, keep: int = 1, older_than: timedelta = timedelta(days=1)) -> list[str]:
+        """Delete data of runs that none of the last ``keep`` snapshots names; give their run ids.
+
+        Folders changed within ``older_than`` stay, as a load may be writing them. Readers of older
+        snapshots lose their data.
+        """
+        if keep < 1:
+            raise ValueError("keep must be at least 1")
+        newest = self.snapshot().number
+        used: set[str] = set()
+        for number in range(max(1, newest - keep + 1), newest + 1):
+            body = json.loads(self.spark.read.text(self._manifest(number), wholetext=True).first()[0])
+            used |= set(body["buckets"].values())
+        fs, folder = self._fs(f"{self.root}/data")
+        limit = (datetime.now(UTC) - older_than).timestamp() * 1000
+        gone = []
+        for entry in fs.listStatus(folder) if fs.exists(folder) else []:
+            run_id = entry.getPath().getName().removeprefix("run=")
+            if run_id not in used and entry.getModificationTime() <= limit:
+                fs.delete(entry.getPath(), True)
+                gone.append(run_id)
+        return sorted(gone)
+
     # -- writing ---------------------------------------------------------------------------
 
     def stage(self, rows: DataFrame, run_id: str, name: str) -> DataFrame:
@@ -190,7 +239,7 @@ class TargetStore:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
     def publish(
-        self, base: Snapshot, run_id: str, rewritten: Iterable[int], reached: PipelineState | None, run: RunRecord
+        self, base: Snapshot, run_id: str, rewritten: Iterable[int], reached: PipelineState | None, run: RunRecord | None
     ) -> Snapshot:
         """Create the manifest that follows ``base``; refuse if somebody else already did.
 
@@ -203,11 +252,20 @@ class TargetStore:
             "n_buckets": base.n_buckets if live else 0,
             "buckets": {str(bucket): live[bucket] for bucket in sorted(live)},
             "state": list(state.values()),
-            "run": _plain(run),
+            "run": _plain(run) if run else None,
         }
         self._create(self._manifest(base.number + 1), json.dumps(body, ensure_ascii=False))
         return Snapshot(base.number + 1, base.n_buckets, live, state)
 
+    def claim(self, run_id: str) -> None:
+        """Take a run id for good; refuse one that is blank, unfit for a file name, or taken."""
+        if not RUN_ID.fullmatch(run_id):
+            raise ValueError(f"run id {run_id!r} must be 1 to 128 of the characters A-Z a-z 0-9 . _ -, not a dot first")
+        try:
+            self._create(f"{self.root}/run_ids/{run_id}", "")
+        except PublishConflictError as taken:
+            raise ValueError(f"run id {run_id} has been used before") from taken
+
     def record_failure(self, run: RunRecord) -> None:
         """Add the record of a failed load, apart from anything a snapshot holds."""
         run.as_frame(self.spark).coalesce(1).write.mode("append").option("ignoreNullFields", False).json(f"{self.root}/failed_runs")
@@ -232,11 +290,11 @@ class TargetStore:
         keys = ", ".join(f"`{key}`" for key in self.spec.key)
         self.spark.sql(
             f"CREATE TABLE {table} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) CLUSTERED BY "
-            f"({keys}) INTO {snapshot.n_buckets} BUCKETS LOCATION '{self.root}/tables/{table}'"
+            f"({keys}) INTO {snapshot.n_buckets} BUCKETS LOCATION {_literal(f'{self.root}/tables/{table}')}"
         )
         self._tables[snapshot.number] = table
         places = [
-            f"PARTITION ({BUCKET}={bucket}) LOCATION '{self._data(run)}/{BUCKET}={bucket}'"
+            f"PARTITION ({BUCKET}={bucket}) LOCATION {_literal(f'{self._data(run)}/{BUCKET}={bucket}')}"
             for bucket, run in sorted(snapshot.buckets.items())
         ]
         for first in range(0, len(places), _CATALOG_BATCH):
@@ -278,6 +336,11 @@ class TargetStore:
             raise
 
 
+def _literal(text: str) -> str:
+    """Text as a SQL string."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _plain(row: PipelineState | RunRecord) -> dict:
     """Fields as JSON holds them."""
     return {

@@ -39,17 +39,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Temporary folder of each local application that names no shared one.
+_local_folders: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, the storage all executors share.
 
-    Only a local session may go without that setting; it gets a temporary folder of its own.
+    Only a local session may go without that setting; it gets a temporary folder of its own, and the
+    setting stays as it is.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="changefold-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        application = spark.sparkContext.applicationId
+        if application not in _local_folders:
+            _local_folders[application] = tempfile.mkdtemp(prefix="changefold-")
+        shared = _local_folders[application]
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

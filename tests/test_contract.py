@@ -12,7 +12,7 @@ from tests.products import HEADER, fragment
 
 START = datetime(2026, 1, 1, tzinfo=UTC)
 RUN_START = datetime(2026, 1, 2, tzinfo=UTC)
-GOOD = ("P001", "10:00", "1", "Drill", "Tools", "89.99", "true")
+GOOD = ("k-1", "10:00", "1", "Viola", "Strings", "410.75", "true")
 
 
 def changed(**cells):
@@ -147,13 +147,13 @@ def test_window_and_future_bound(spark):
 def test_clean_rows_are_normalised(spark):
     row = clean(
         validate(
-            fragment(spark, [(" P1 ", "2026-01-01T12:00:00+02:00", " 3", "　Drill\n", "T ools", "89.9", "FALSE")]),
+            fragment(spark, [("\tk 2 ", "2024-05-31T23:30:00-03:30", "7 ", "\u3000Bass drum\n", " Perc ussion", "12.5", "fAlSe")]),
             PRODUCTS,
         )
     ).first()
-    assert (row.product_id, row.source_sequence, row.name, row.category) == ("P1", 3, "Drill", "T ools")
+    assert (row.product_id, row.source_sequence, row.name, row.category) == ("k 2", 7, "Bass drum", "Perc ussion")
     assert (row.updated_at.astimezone(UTC), row.price, row.is_active) == (
-        datetime(2026, 1, 1, 10, tzinfo=UTC), Decimal("89.90"), False,
+        datetime(2024, 6, 1, 3, tzinfo=UTC), Decimal("12.50"), False,
     )
 
 

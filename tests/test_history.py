@@ -1,30 +1,70 @@
 """Reading and appending CSV histories."""
 
+import csv
+import io
+
 import pytest
 
 from changefold import append_csv_history, read_csv_history
-from changefold.sources.history import SOURCE_FILE, csv_header, has_line_breaks_in_cells
+from changefold.sources.history import SOURCE_FILE, csv_header
 from tests.products import fragment
 
-ROW = ("P001", "10:00", 1, 'a "b", c', " two\nlines ", "1.00", "true")
+ROW = ("K7", "10:00", 4, 'x "y", z', " one\ntwo ", "3.10", "false")
+HEADER = "product_id,updated_at,source_sequence,name,category,price,is_active"
+#: Rows of every awkward kind that fits on a line; line ends differ.
+LINES = [
+    'k1,2026-01-01T10:00:00Z,1,"a ""b"", c",d,1.00,true,beyond\r\n',
+    "\r\n",
+    "k2,2026-01-01T10:00:00Z,1,back\\slash,é,,\r",
+    "   \n",
+    'k3,2026-01-01T10:00:00Z,2,5" disk,"q"tail,2.00,\n',
+    "k4,short\n",
+    "\n",
+    ',,,"",,,\r\n',
+    'k5,2026-01-01T10:00:00Z,3," padded ", x ,9.00,FALSE',
+]
+
+
+def by_python(text):
+    """The same rows by Python's reader."""
+    rows = csv.DictReader(io.StringIO(text.removeprefix("\ufeff"), newline=""))
+    return [tuple(row[name] for name in rows.fieldnames) for row in rows]
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda row: tuple((v is not None, v or "") for v in row))
+
 
+@pytest.fixture
+def split_size(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    yield lambda size: spark.conf.set(name, size)
+    spark.conf.set(name, before)
 
-def test_quotes_line_breaks_and_blanks_survive(spark, tmp_path):
+
+@pytest.mark.parametrize("mark", ["", "\ufeff"])
+def test_rows_do_not_depend_on_split_size_or_mode(spark, tmp_path, split_size, mark):
+    text = mark + HEADER + "\r\n" + "".join(LINES) * 1 + "\n" + "".join(line for line in LINES * 20)
+    path = tmp_path / "h.csv"
+    path.write_bytes(text.encode())
+    wanted = in_order(by_python(text))
+    for size in ("1kb", "128MB"):
+        split_size(size)
+        for multiline in (True, False):
+            history = read_csv_history(spark, str(path), multiline)
+            assert in_order(map(tuple, history.drop(SOURCE_FILE).collect())) == wanted
+            assert history.select(SOURCE_FILE).first()[0].endswith("h.csv")
+    split_size("1kb")
+    assert read_csv_history(spark, str(path), multiline=False).rdd.getNumPartitions() > 4
+
+
+def test_line_breaks_inside_cells(spark, tmp_path):
+    text = f'{HEADER}\nk1,t,1,"two\r\nlines, ""quoted""\n",c,1,true\n\n"k\r2",t,1,n,"{"long " * 20_000}",1,true\nk3,t,"never closed\n,x'
     path = tmp_path / "h.csv"
-    path.write_text(
-        'product_id,updated_at,source_sequence,name,category,price,is_active,extra\r\n'
-        'P001,2026-01-01T10:00:00Z,1,"a ""b"", c"," two\nlines ",1.00,true,x\r\n'
-        "\r\n"
-        "P002,2026-01-01T10:00:00Z,1,back\\slash,é,,\r\n",
-        encoding="utf-8",
-        newline="",
-    )
-    rows = read_csv_history(spark, str(path)).orderBy("product_id").collect()
-    assert [(r.name, r.category, r.price, r.is_active, r.extra) for r in rows] == [
-        ('a "b", c', " two\nlines ", "1.00", "true", "x"),
-        ("back\\slash", "é", None, None, None),
-    ]
-    assert rows[0][SOURCE_FILE].endswith("h.csv")
+    path.write_bytes(text.encode())
+    rows = read_csv_history(spark, str(path)).drop(SOURCE_FILE).collect()
+    assert in_order(map(tuple, rows)) == in_order(by_python(text))
 
 
 def test_append_matches_columns_by_name(spark, tmp_path):
@@ -36,33 +76,19 @@ def test_append_matches_columns_by_name(spark, tmp_path):
     assert rows == [first.first()] * 2
 
 
-def test_files_with_other_headers_are_refused(spark, tmp_path):
+@pytest.mark.parametrize("multiline", [True, False])
+def test_files_with_other_headers_are_refused(spark, tmp_path, multiline):
     (tmp_path / "a.csv").write_text("x,y\n1,2\n")
     (tmp_path / "b.csv").write_text("y,x\n2,1\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_csv_history(spark, str(tmp_path)).collect()
-
-
-def test_large_files_are_split_only_when_cells_hold_no_line_breaks(spark, tmp_path):
-    plain, broken = str(tmp_path / "plain"), str(tmp_path / "broken")
-    row = (*ROW[:4], "one line", *ROW[5:])
-    append_csv_history(fragment(spark, [row] * 50), plain)
-    append_csv_history(fragment(spark, [ROW] * 50), broken)
-    assert not has_line_breaks_in_cells(spark, plain)
-    assert has_line_breaks_in_cells(spark, broken)
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "500b")
-    try:
-        for path, wanted in ((plain, row), (broken, ROW)):
-            history = read_csv_history(spark, path)
-            assert history.drop(SOURCE_FILE).collect() == [fragment(spark, [wanted]).first()] * 50
-            assert (history.rdd.getNumPartitions() > 4) == (path == plain)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
-
-
-def test_header_only(spark, tmp_path):
+    with pytest.raises(Exception, match="header of .* differs"):
+        read_csv_history(spark, str(tmp_path), multiline).collect()
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_header_only_and_empty_files(spark, tmp_path, multiline):
     path = tmp_path / "h.csv"
     path.write_text("product_id,updated_at\n")
     assert csv_header(spark, str(path)) == ["product_id", "updated_at"]
-    assert read_csv_history(spark, str(path)).isEmpty()
+    assert read_csv_history(spark, str(path), multiline).isEmpty()
+    path.write_text("")
+    assert read_csv_history(spark, str(path), multiline).columns == []
