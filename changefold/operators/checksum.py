@@ -1,4 +1,4 @@
-"""Canonical state lines and digests that are equal exactly when the business state is.
+"""Canonical state lines and digests that are equal when the business state is, and by accident never else.
 
 One SHA-256 over all lines in key order would have to run through a single task, so the digest
 is a tree: each line is hashed, the hashes of a bucket are added up lane by lane, and the root

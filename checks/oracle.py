@@ -291,6 +291,16 @@ ORACLE_SQL: dict[str, str] = {
     "apply_load": f"WITH {LOADED}, {target_after('load', '2002-01-02')} SELECT * FROM merged",
     "replay_noop": f"""WITH {LOADED} SELECT {_BUSINESS}, TIMESTAMP '2002-01-01' AS loaded_at,
         'seed' AS last_run_id FROM seed""",
+    "csv_load": f"""SELECT CAST(o_orderkey AS VARCHAR) AS product_id, o_orderdate AS updated_at,
+        o_custkey AS source_sequence, {RAW_NAME} AS name, o_orderpriority AS category, {RAW_PRICE} AS price,
+        o_orderstatus <> 'F' AS is_active, TIMESTAMP '2002-01-01' AS loaded_at, 'seed' AS last_run_id
+        FROM orders WHERE {RAW_ERROR} IS NULL""",
+    "csv_load_failed": """SELECT 'seed' AS run_id, 'FAILED' AS status, 'SourceDataError' AS error_type,
+        CAST(0 AS BIGINT) AS rows_received, CAST(0 AS BIGINT) AS rows_after_deduplication,
+        CAST(NULL AS TIMESTAMP) AS resulting_watermark""",
+    "rebucket_state": f"""WITH {LOADED} SELECT {_BUSINESS}, TIMESTAMP '2002-01-01' AS loaded_at,
+        'seed' AS last_run_id FROM seed""",
+    "run_id_reuse": f"WITH {LOADED} {_SEED_RUN}",
     "retry_equivalence": f"WITH {LOADED}, {target_after('retry', '2002-01-04')} SELECT * FROM merged",
     "run_audit": f"WITH {LOADED}, {_THIRD} {_SEED_RUN} UNION ALL {_LOAD_RUN} UNION ALL {_BROKEN_RUN}",
     "failed_run_audit": f"WITH {LOADED}, {_ALTERED} {_ALTERED_RUN}",

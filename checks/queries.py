@@ -12,6 +12,7 @@ from changefold import (
     ConflictingSourceVersionError,
     LoadParams,
     LoadResult,
+    SourceDataError,
     TargetStore,
     TargetVersionConflictError,
     append_csv_history,
@@ -25,7 +26,7 @@ from changefold.functions.text import parse_column, parse_flag, parse_money
 from changefold.operators import audit, checksum, window
 from changefold.operators.classify import CONFLICT, OUTCOME, STALE, classify, outcome_counters, restrict_to_keys
 from changefold.operators.compare import business_state, state_diff
-from changefold.operators.contract import clean, gate, validate
+from changefold.operators.contract import ERROR, clean, gate, validate
 from changefold.operators.fold import ROWS, exact_repeats, fold, newest_per_key, source_conflicts
 from changefold.operators.merge import changes, untouched
 from changefold.plans.load import AFTER_TARGET_WRITES
@@ -426,6 +427,49 @@ def failed_run_audit(spark, sf_dir):
     return store.runs().filter("status = 'FAILED'")
 
 
+def csv_history(spark, sf_dir, rows: DataFrame) -> DataFrame:
+    """Rows of text cells, written as CSV and read again."""
+    path = scratch_dir(spark, "history")
+    append_csv_history(rows.drop("o_orderkey"), path)
+    return read_csv_history(spark, path).drop(SOURCE_FILE)
+
+
+@query
+def csv_load(spark, sf_dir):
+    """The text rows that keep the contract, from CSV into a target."""
+    raw = feeds.raw_products(spark, sf_dir)
+    sound = validate(raw, PRODUCTS).filter(F.col(ERROR).isNull()).select("o_orderkey")
+    history = csv_history(spark, sf_dir, raw.join(sound, "o_orderkey", "left_semi"))
+    store = TargetStore(spark, scratch_dir(spark, "store"), PRODUCTS, n_buckets=8)
+    fixed_load(store, history, "seed")
+    return store.target()
+
+
+@query
+def csv_load_failed(spark, sf_dir):
+    """All text rows, of which some break the contract."""
+    history = csv_history(spark, sf_dir, feeds.raw_products(spark, sf_dir))
+    store = TargetStore(spark, scratch_dir(spark, "store"), PRODUCTS, n_buckets=8)
+    _must_fail(SourceDataError, lambda: fixed_load(store, history, "seed"))
+    return store.runs().select("run_id", "status", "error_type", "rows_received", "rows_after_deduplication", "resulting_watermark")
+
+
+@query
+def rebucket_state(spark, sf_dir):
+    """The seeded target after its buckets were split in two."""
+    store, _ = seeded_store(spark, sf_dir)
+    store.rebucket(16)
+    return store.target()
+
+
+@query
+def run_id_reuse(spark, sf_dir):
+    """A load under a used run id, with nothing new to write, is refused and leaves no record."""
+    store, history = seeded_store(spark, sf_dir)
+    _must_fail(ValueError, lambda: fixed_load(store, feeds.seeded(history, "updated_at"), "seed"))
+    return store.runs()
+
+
 @query
 def result_document_(spark, sf_dir):
     store, history = seeded_store(spark, sf_dir)
