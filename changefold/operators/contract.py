@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from changefold.errors import SourceDataError
 from changefold.functions import text
+from changefold.operators.window import late_enough_day
 from changefold.spec import KIND_TYPES, MONEY, TableSpec
 
 ERROR = "error"
@@ -61,7 +62,8 @@ def validate(
     """Rows in the window, typed, with ``error`` = first broken rule or null.
 
     The event time is parsed on every row, so a bad one is an error wherever it stands; the
-    other columns of a row before the window are never looked at. Extra columns are kept.
+    other columns of a row before the window are never looked at. Extra columns are kept. A history
+    that has the spec's ``event_day`` is read from the window's first day on, rows without a day in any case.
     """
     columns = rows.columns
     require_columns(spec, columns)
@@ -69,6 +71,8 @@ def validate(
     rules = {name: _rule(name, kind, types[name]) for name, kind in spec.contract}
     time = rules.pop(spec.event_time)
 
+    if extraction_start is not None and spec.event_day in columns:
+        rows = rows.filter(late_enough_day(spec.event_day, _instant(extraction_start)))
     rows = text.run_steps(rows, [time])
     if extraction_start is not None:
         late_enough = time.value >= _instant(extraction_start)

@@ -28,9 +28,20 @@ def extraction_start(looked_up: DataFrame, initial_start_at: datetime, overlap:
     return looked_up.withColumn("extraction_start", start)
 
 
-def in_window(rows: DataFrame, event_time: str, start: datetime | Column) -> DataFrame:
-    """Rows at or after the bound."""
-    return rows.filter(F.col(event_time) >= (start if isinstance(start, Column) else F.lit(start)))
+def in_window(rows: DataFrame, event_time: str, start: datetime | Column, day: str | None = None) -> DataFrame:
+    """Rows at or after the bound; ``day`` names a column with the event time's UTC date."""
+    start = start if isinstance(start, Column) else F.lit(start)
+    if day:
+        rows = rows.filter(late_enough_day(day, start))
+    return rows.filter(F.col(event_time) >= start)
+
+
+def late_enough_day(day: str, start: Column) -> Column:
+    """Whether rows of a day may be in the window. On a partition column this prunes folders.
+
+    Rows without a day may be anywhere.
+    """
+    return F.col(day).isNull() | (F.col(day) >= F.to_date(start))
 
 
 def beyond_future_bound(rows: DataFrame, event_time: str, run_start: Column, skew: timedelta) -> DataFrame:

@@ -51,10 +51,12 @@ class TableSpec(VersionedTable):
     """A versioned table with a declared source contract.
 
     ``contract`` lists (column, kind) in the order in which a row's columns are checked;
-    the event time is always checked before any of them.
+    the event time is always checked before any of them. ``event_day`` names a column that a history
+    may have: the UTC date of the event time, by which its folders are partitioned.
     """
 
     contract: tuple[tuple[str, str], ...] = ()
+    event_day: str = "event_day"
 
     @property
     def kinds(self) -> dict[str, str]:

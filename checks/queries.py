@@ -110,6 +110,16 @@ def window_filter(spark, sf_dir):
     return _in_window(spark, sf_dir)
 
 
+@query
+def window_filter_partitioned(spark, sf_dir):
+    """The same window of a history that is partitioned by day."""
+    path = scratch_dir(spark, "by-day")
+    rows = feeds.orders(spark, sf_dir)
+    rows.withColumn("day", F.to_date("o_orderdate")).repartition("day").write.partitionBy("day").parquet(path)
+    history = spark.read.parquet(path)
+    return window.in_window(history, "o_orderdate", _window_start(spark, sf_dir), "day").select(*rows.columns)
+
+
 @query
 def future_gate(spark, sf_dir):
     run_start = F.lit(datetime(2024, 1, 25, tzinfo=UTC))

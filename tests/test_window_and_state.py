@@ -1,13 +1,15 @@
 """High-water mark, extraction start and pipeline state."""
 
 from datetime import UTC, datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from changefold.operators import window
+from changefold.operators.contract import validate
 from changefold.session import one_row
-from changefold.spec import STATE_SCHEMA
+from changefold.spec import PRODUCTS, STATE_SCHEMA
 
 T = datetime(2026, 1, 2, 10, tzinfo=UTC)
 
@@ -50,6 +52,19 @@ def test_bounds_are_inclusive_below_and_exclusive_of_the_skew(spark):
     assert late.count() == 1
 
 
+def test_days_before_the_window_are_not_read(spark, tmp_path):
+    times = [T - timedelta(days=2), T - timedelta(hours=11), T - timedelta(microseconds=1), T, None]
+    rows = spark.createDataFrame([(f"k{i}", t, 1, "n", "c", Decimal("1.00"), True) for i, t in enumerate(times)], PRODUCTS.business_schema)
+    by_day = str(tmp_path / "by_day")
+    rows.withColumn("event_day", F.to_date("updated_at")).write.partitionBy("event_day").parquet(by_day)
+    history = spark.read.parquet(by_day)
+    checked = validate(history, PRODUCTS, T)
+    assert {r.product_id: r.error for r in checked.collect()} == {"k3": None, "k4": "updated_at must not be blank"}
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "event_day" in plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert window.in_window(history, "updated_at", T, "event_day").count() == 1
+
+
 def test_upsert_replaces_by_name(spark):
     held = state(spark, ("a", T, "r1"), ("b", T, "r1"))
     new = one_row(spark, STATE_SCHEMA, dict(zip(STATE_SCHEMA.names, ("b", T, "r2", T), strict=True)))
