@@ -35,7 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = staged(edges.select("a", "b").where("a <> b").distinct(), "components")
     before = _print(edges)
     while before[0]:
-        edges = staged(_small_star(_large_star(edges).distinct()).distinct(), "components")
+        edges = staged(_small_star(_large_star(edges)).distinct(), "components")
         after = _print(edges)
         if after == before:
             break

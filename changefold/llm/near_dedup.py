@@ -6,13 +6,16 @@ from a full one that a fixed random sequence finds; ROWS bins together name a bu
 
 Candidate pairs are stars: in each bucket every class is paired with a centre, the class that shares
 most buckets with others, which in a group of near copies is the text they derive from. Pairs are
-confirmed on the full sets. A bucket whose classes are not one component afterwards gets further
-centres out of the classes that are left over, until every two of its classes have been compared, are
-linked through others, or are ruled out: the distance 1 - similarity is a metric, so that a class near
-a centre (at most 0.2) cannot be linked with one far from it (more than 0.4). So pairs grow with the
-buckets' rows rather than with their squares, and no pair that shares a bucket is lost.
+confirmed on the full sets. That settles a bucket whose classes are one component afterwards, or whose
+others are ruled out: the distance 1 - similarity is a metric, so that a class near a centre (at most
+0.2) cannot be linked with one far from it (more than 0.4). Classes of buckets that are not settled,
+as short texts around one common line make them, are dealt into finer buckets of more rows. These get
+centres, up to CENTRES at a time, among the classes outside their largest component, until every two
+of their classes have been compared or are linked through others. So pairs grow with the rows of
+buckets rather than with their squares, and nothing is capped.
 
-Two sets of similarity 0.8 share no bucket with a chance of (1 - 0.8 ** ROWS) ** (BINS / ROWS): 5e-8.
+Two sets of similarity 0.8 share no bucket with a chance of (1 - 0.8 ** ROWS) ** (BINS / ROWS) = 5e-8,
+and no finer one with 2e-8.
 
 Defined results: null texts and texts without words have the empty set, linked with nothing; a text
 with fewer words than a shingle has its whole sequence as its only one; a null doc_id is never the
@@ -32,36 +35,44 @@ from changefold.llm.components import components
 
 BINS = 128
 ROWS = 4
-#: Centres that a bucket gets in one round after the first.
-CENTRES = 8
+#: The same for classes of buckets that one star does not settle.
+FINE_BINS = 3000
+FINE_ROWS = 12
+#: Centres that a finer bucket gets in one round.
+CENTRES = 16
 
-_EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(57)  # the bin is a hash's first seven bits
-_PROBES = np.random.default_rng(4711).integers(0, BINS, (BINS, 512))
-_ROLE = np.random.default_rng(99).integers(1, 1 << 63, ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND = mix(np.arange(1, BINS // ROWS + 1, dtype=np.uint64))
+_ROLE = np.random.default_rng(99).integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """One hash for each bin of a sorted, not empty set of hashes."""
-    at = np.searchsorted(hashes, _EDGES)
+def signature(hashes: np.ndarray, bins: int) -> np.ndarray:
+    """One hash for each bin of a sorted, not empty set of hashes: the smallest that falls in it.
+
+    An empty bin looks at the bins that a hash of its own number and of 0, 1, 2 and so on names, and
+    takes what the first full one of them has.
+    """
+    edges = np.arange(bins, dtype=np.uint64) * np.uint64(2**64 // bins)
+    at = np.searchsorted(hashes, edges)
     full = np.append(at[1:], len(hashes)) > at
     value = hashes[np.minimum(at, len(hashes) - 1)]
     empty = np.flatnonzero(~full)
-    for tries in (16, 512):
-        if not len(empty):
-            return value
-        hit = full[_PROBES[empty, :tries]]
+    if len(empty) >= bins - 1:
+        return np.full(bins, value[full][0])
+    tried, tries = 0, 8
+    while len(empty):
+        steps = np.arange(tried, tried + tries, dtype=np.uint64)
+        donors = (mix(empty.astype(np.uint64)[:, None] << np.uint64(32) | steps) % np.uint64(bins)).astype(np.int64)
+        hit = full[donors]
         found = hit.any(axis=1)
-        value[empty[found]] = value[_PROBES[empty[found], hit[found].argmax(axis=1)]]
+        value[empty[found]] = value[donors[found, hit[found].argmax(axis=1)]]
         empty = empty[~found]
-    donors = np.flatnonzero(full)  # only sets of one or two full bins come here
-    value[empty] = value[donors[np.searchsorted(donors, empty) % len(donors)]]
+        tried, tries = tried + tries, min(2 * tries, 256)
     return value
 
 
-def bands(value: np.ndarray) -> np.ndarray:
+def bands(value: np.ndarray, rows: int) -> np.ndarray:
     """Names of the buckets of a signature."""
-    return mix((value.reshape(-1, ROWS) * _ROLE).sum(axis=1, dtype=np.uint64) ^ _BAND).view(np.int64)
+    names = (value.reshape(-1, rows) * _ROLE[:rows]).sum(axis=1, dtype=np.uint64)
+    return mix(names ^ mix(np.arange(1, len(names) + 1, dtype=np.uint64))).view(np.int64)
 
 
 def _sign(words: int):
@@ -71,7 +82,7 @@ def _sign(words: int):
                 sets = shingle_sets(find_words(data, offsets), words)
                 sizes = np.fromiter(map(len, sets), np.int64, len(sets))
                 keys = [mix(s).sum(dtype=np.uint64).tobytes() + mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).tobytes() for s in sets]
-                names = [bands(signature(s)) for s in sets if len(s)]
+                names = [bands(signature(s, BINS), ROWS) for s in sets if len(s)]
                 per = BINS // ROWS
                 ends = np.append(0, np.cumsum((sizes > 0) * per)).astype(np.int32)
                 flat = np.concatenate(names) if names else np.zeros(0, np.int64)
@@ -136,36 +147,46 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
 
 def _components(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """node and component of every class that is linked with another."""
-    spark = docs.sparkSession
-    spread = classes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
+    spread = classes.select("node", "n", F.explode(F.array_distinct("buckets")).alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = staged(spread.join(shared, "bucket"), "near-members")
     ranks = members.groupBy("node").agg(F.sum("members").alias("rank"))
-    members = members.drop("members").join(ranks, "node")
-    remaining = staged(members, "near-members").withColumn("component", F.col("node"))
-
+    members = staged(members.drop("members").join(ranks, "node"), "near-ranked")
     sets = staged(_sets_of(docs, classes.join(ranks.select("node"), "node", "left_semi"), words), "near-sets")
-    links = spark.createDataFrame([], "a long, b long")
-    compared = spark.createDataFrame([], "a long, b long, common long, all long")
-    known = spark.createDataFrame([], "node long, component long")
-    first = True
+
+    top = members.groupBy("bucket").agg(F.max(F.struct("rank", (-F.col("node")).alias("minus"), "n")).alias("top"))
+    centres = top.select("bucket", (-F.col("top.minus")).alias("a"), F.col("top.n").alias("n_a"))
+    stars = centres.join(members.select("bucket", F.col("node").alias("b"), "n"), "bucket").where("a <> b")
+    measured = staged(_measured(_pairs(stars), sets), "near-pairs")
+    links = staged(_linked(measured, percent), "near-links")
+    known = components(links)
+
+    nodes = staged(_unsettled(members, centres, measured, known, percent), "near-unsettled")
+    remaining = staged(_fine_members(sets.join(nodes, "node", "left_semi"), known), "near-remaining")
     while not remaining.isEmpty():
-        centres = _centres(remaining, first)
-        other = remaining.select("bucket", F.col("node").alias("b"), F.col("component").alias("component_b"))
-        pairs = centres.join(other, "bucket").where("component <> component_b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if not first:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        measured = staged(_measured(pairs, sets), "near-pairs")
-        compared = staged(compared.unionByName(measured), "near-compared") if not first else measured
-        new = measured.where(100 * F.col("common") >= percent * F.col("all")).select("a", "b")
-        links = staged(links.unionByName(new), "near-links") if not first else new
-        known = components(links)
-        remaining = staged(_left_over(remaining, centres, known, compared, percent, first), "near-remaining")
-        first = False
+        centres = staged(_next_centres(remaining), "near-centres")
+        other = remaining.select("bucket", F.col("node").alias("b"), "n", F.col("component").alias("component_b"))
+        stars = centres.join(other, (centres["bucket"] == other["bucket"]) & (F.col("component") != F.col("component_b")))
+        fit = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")  # else sizes alone forbid a link
+        new = staged(_linked(_measured(_pairs(stars.where(fit)), sets), percent), "near-links")
+        if not new.isEmpty():
+            links = staged(links.unionByName(new), "near-links")
+            known = components(links)
+            remaining = _with_component(remaining.drop("component"), known)
+        tried = centres.select("bucket", F.col("a").alias("node"))
+        remaining = staged(_open_buckets(remaining.join(tried, ["bucket", "node"], "left_anti")), "near-remaining")
     return known
 
 
+def _pairs(stars: DataFrame) -> DataFrame:
+    """a and b of each pair once."""
+    return stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _linked(measured: DataFrame, percent: int) -> DataFrame:
+    return measured.where(100 * F.col("common") >= percent * F.col("all")).select("a", "b")
+
+
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b, and sizes of the intersection and the union of their sets."""
     left = pairs.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hashes_b")), "b")
@@ -184,42 +205,59 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return map_arrow(found, _sets(words), "node long, hashes array<long>").groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 
-def _centres(remaining: DataFrame, first: bool) -> DataFrame:
-    """bucket, a and component of the classes that the others of their bucket are compared with.
+def _with_component(rows: DataFrame, known: DataFrame) -> DataFrame:
+    return rows.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-    At first the class of highest rank; later the highest of those outside the largest component.
-    """
-    place = F.struct(F.col("rank"), (-F.col("node")).alias("node"), "component")
-    if first:
-        best = remaining.groupBy("bucket").agg(F.max(place).alias("top"))
-        return best.select("bucket", (-F.col("top.node")).alias("a"), F.col("top.component").alias("component"))
-    parts = remaining.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
+
+def _open_buckets(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets that have classes of more than one component."""
+    parts = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return rows.join(parts.where("low <> high").select("bucket"), "bucket", "left_semi").select("bucket", "node", "n", "component")
+
+
+def _unsettled(members: DataFrame, centres: DataFrame, measured: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Classes that may be linked with others of a bucket without having been compared with them."""
+    place = centres.join(members.select("bucket", "node"), "bucket").where("a <> node")
+    pair = [F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")]
+    place = place.select("bucket", "node", *pair).join(measured, ["a", "b"])
+    near = 100 * F.col("common") >= percent * F.col("all")
+    far = 100 * F.col("common") < (2 * percent - 100) * F.col("all")
+    place = _with_component(place.select("bucket", "node", near.alias("near"), (~near & ~far).alias("between")), known)
+    part = F.when(~F.col("near"), F.col("component"))
+    parts = place.groupBy("bucket").agg(
+        F.max("between").alias("mixed"), F.min("component").alias("low"), F.max("component").alias("high"),
+        F.min(part).alias("far_low"), F.max(part).alias("far_high"),
+    )
+    parts = parts.where("CASE WHEN mixed THEN low <> high ELSE far_low <> far_high END").select("bucket", "mixed")
+    return place.join(parts, "bucket").where("mixed OR NOT near").select("node").distinct()
+
+
+def _fine_members(sets: DataFrame, known: DataFrame) -> DataFrame:
+    """bucket, node, n and component of classes in finer buckets that are not settled."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes, buckets = [], [], []
+            for node, hashes in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.sort(hashes.values.to_numpy().view(np.uint64))
+                names = np.unique(bands(signature(own, FINE_BINS), FINE_ROWS))
+                buckets.append(names)
+                nodes.append(np.full(len(names), node, np.int64))
+                sizes.append(np.full(len(names), len(own), np.int64))
+            none = [np.zeros(0, np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x or none)) for x in (buckets, nodes, sizes)], ["bucket", "node", "n"])
+
+    spread = map_arrow(sets.select("node", "hashes"), run, "bucket long, node long, n long")
+    return _open_buckets(staged(_with_component(spread, known), "near-fine"))
+
+
+def _next_centres(remaining: DataFrame) -> DataFrame:
+    """bucket, a, n_a and component of up to CENTRES classes outside their bucket's largest component."""
+    parts = remaining.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"))
+    largest = parts.groupBy("bucket").agg(F.max(F.struct("members", "component"))["component"].alias("largest"))
     rest = remaining.join(largest, "bucket").where("component <> largest")
-    order = W.partitionBy("bucket").orderBy(F.desc("rank"), "node")
-    top = rest.withColumn("place", F.row_number().over(order)).where(F.col("place") <= CENTRES)
-    return top.select("bucket", F.col("node").alias("a"), "component")
-
-
-def _left_over(remaining, centres, known, compared, percent, first) -> DataFrame:
-    """Classes that still have to be compared with others of their bucket."""
-    left = remaining.drop("component").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    tried = centres.select("bucket", F.col("a").alias("node"))
-    left = left.join(tried, ["bucket", "node"], "left_anti")
-    if first:
-        # Without classes between near and far, the near are one component and the far stand by themselves.
-        apart = centres.select("bucket", "a").join(left.select("bucket", "node"), "bucket")
-        pair = [F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")]
-        measured = apart.select("bucket", "node", *pair).join(compared, ["a", "b"])
-        limit = 2 * percent - 100  # similarity of two steps of the allowed distance
-        far, near = 100 * F.col("common") < limit * F.col("all"), 100 * F.col("common") >= percent * F.col("all")
-        place = measured.select("bucket", "node", near.alias("near"), (~far & ~near).alias("between"))
-        mixed = place.groupBy("bucket").agg(F.max("between").alias("mixed"))
-        settled = place.where("near").join(mixed.where("NOT mixed"), "bucket", "left_semi").select("bucket", "node")
-        left = left.join(settled, ["bucket", "node"], "left_anti")
-    parts = left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_buckets = parts.where("low <> high").select("bucket")
-    return left.join(open_buckets, "bucket", "left_semi").select("node", "bucket", "rank", "component")
+    rest = rest.withColumn("place", F.row_number().over(W.partitionBy("bucket").orderBy("node")))
+    return rest.where(F.col("place") <= CENTRES).select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), "component")
 
 
 def one_of_each(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
