@@ -38,6 +38,8 @@ COMPARED = 16 << 20
 #: for each partition of the shuffle.
 BLOCK_BYTES = 16 << 10
 FINENESS = 8
+#: How hard blocks are compressed.
+LEVEL = 5
 _LAST = np.iinfo(np.int64).max
 _ROLE = np.random.default_rng(1313).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -92,7 +94,7 @@ def _block(strings: list[bytes], places: list[tuple[list[int], list[int]]]) -> b
     starts = np.array([s for _, own in places for s in own], "<i4")
     head = np.array([len(counts), len(docs)], "<i8")
     whole = b"".join([head.tobytes(), counts.tobytes(), docs.tobytes(), starts.tobytes(), b"\n".join(strings)])
-    return np.array([len(whole)], "<i8").tobytes() + pa.compress(whole, codec="zstd", asbytes=True)
+    return np.array([len(whole)], "<i8").tobytes() + pa.Codec("zstd", compression_level=LEVEL).compress(whole, asbytes=True)
 
 
 def _unblock(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
