@@ -328,17 +328,17 @@ def test_packing_of_odd_rows(spark, odd_docs, no_docs):
     tokenizers = pytest.importorskip("tokenizers")
     tokenizer = tokenizers.Tokenizer.from_file(llm.tokenizer_path())
     rows = packing.pack(odd_docs, llm.tokenizer_path()).collect()
-    texts = {r[0]: r[1] for r in ROWS}
+    all_ids = {r[0]: brute.token_ids(tokenizer, r[1]) for r in ROWS}
     sequences, tokens = defaultdict(list), Counter()
     for r in rows:
-        ids = brute.token_ids(tokenizer, texts[r["doc_id"]])
+        ids = all_ids[r["doc_id"]]
         own = np.frombuffer(r["ids"], "<u4").tolist()
         assert own == ids[r["start"] : r["start"] + len(own)] and r["doc_tokens"] == len(ids)
         sequences[r["sequence_id"]].append((r["offset"], len(own)))
         tokens[r["doc_id"]] += len(own)
     assert all(brute.gapless(p) <= 2048 for p in sequences.values())
     copies = Counter(r[0] for r in ROWS)
-    assert tokens == {d: n * len(brute.token_ids(tokenizer, texts[d])) for d, n in copies.items()}
+    assert tokens == {d: n * len(all_ids[d]) for d, n in copies.items()}
     assert packing.pack(no_docs, llm.tokenizer_path()).count() == 0
 
 
