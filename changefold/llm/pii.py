@@ -44,7 +44,7 @@ KINDS = (
     Kind("email", _SOME + r"[^A-Za-z0-9._%+-])", r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", True, 0.9,
          r"e-?mail|contact|write|reach|schreib|correo|courriel"),
     Kind("ip", _SOME + r"[^0-9])", r"[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]", True, 0.6, r"\bip\b|host|server|address|login|adresse"),
-    Kind("card", _SOME + r"[^0-9])", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][0-9]", True, 0.8, r"card|visa|credit|pay|karte|carte|tarjeta"),
+    Kind("card", _SOME + r"[^0-9])", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]", True, 0.8, r"card|visa|credit|pay|karte|carte|tarjeta"),
     Kind("phone", r"(?s)(.*?)", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", True, 0.7, r"phone|call|tel|mobile|ruf|llame|appel"),
     Kind("iban", _SOME + r"[^A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", r"[A-Z][A-Z][0-9][0-9]", False, 0.9,
          r"iban|account|bank|konto|compte|cuenta"),
