@@ -8,7 +8,8 @@ the kind's words stands shortly before it.
 
 Patterns are matched together with the gap before each match, so that match positions are sums of
 lengths. They are written without backtracking over long runs: a match begins where a run of its
-characters begins, or where the match before it ended.
+characters begins, or where the match before it ended. Capitals and digits that follow an account
+number, such as a BIC or an amount, could be part of it; so its end is where the checksum holds.
 
 Only SQL functions are used. Positions are code points, ends exclusive.
 
@@ -40,18 +41,28 @@ class Kind:
 
 
 _SOME = r"(?s)(|.*?"
+#: What an account number can go on with, and one character more if no word ends there. Only looked at:
+#: where the number ends is found afterwards, and the next one may begin within.
+_TAIL = r"(?=((?:\x20?[A-Z0-9]){11,30}+[A-Za-z0-9]?))"
 KINDS = (
     Kind("email", _SOME + r"[^A-Za-z0-9._%+-])", r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", True, 0.9,
          r"e-?mail|contact|write|reach|schreib|correo|courriel"),
     Kind("ip", _SOME + r"[^0-9])", r"[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]", True, 0.6, r"\bip\b|host|server|address|login|adresse"),
     Kind("card", _SOME + r"[^0-9])", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]", True, 0.8, r"card|visa|credit|pay|karte|carte|tarjeta"),
     Kind("phone", r"(?s)(.*?)", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", True, 0.7, r"phone|call|tel|mobile|ruf|llame|appel"),
-    Kind("iban", _SOME + r"[^A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", r"[A-Z][A-Z][0-9][0-9]", False, 0.9,
+    Kind("iban", _SOME + r"[^A-Za-z0-9])", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}" + _TAIL, r"[A-Z][A-Z][0-9][0-9]", False, 0.9,
          r"iban|account|bank|konto|compte|cuenta"),
     Kind("national_id", _SOME + r"[^0-9-])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]-[0-9][0-9]-[0-9]", False, 0.3,
          r"\bssn\b|social security|national id|taxpayer", True),
 )
 BASE = tuple(kind.name for kind in KINDS if kind.base)
+#: Lengths of account numbers by country (ISO 13616).
+ACCOUNT_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
 #: Added to a span's score for a word of its kind nearby.
 BONUS = 0.1
 
@@ -90,6 +101,36 @@ def _mod_97(match: Column) -> Column:
     return F.char_length(plain).between(15, 34) & (F.aggregate(codes, F.lit(0), step) == 1)
 
 
+def _account_length(seen: Column) -> Column:
+    """Characters of the account number that ``seen`` begins with; null if it begins with none.
+
+    Every run of whole words from the beginning is tried. Of those that mod-97 confirms, that of the
+    country's own length counts, else the longest.
+    """
+    lengths = F.create_map(*(F.lit(x) for n, codes in ACCOUNT_LENGTHS.items() for code in codes.split() for x in (code, n)))
+    own = F.coalesce(F.try_element_at(lengths, F.substring(seen, 1, 2)), F.lit(0))
+
+    def runs(words: Column) -> Column:
+        return F.transform(words, lambda _, i: F.array_join(F.slice(words, F.lit(1), i + 1), " "))
+
+    sound = F.filter(let(F.split(seen, " "), runs), lambda run: run.rlike("^[A-Z0-9 ]+$") & _mod_97(run))
+    fits = lambda run: F.char_length(F.regexp_replace(run, " ", "")) == own
+    best = F.array_max(F.transform(sound, lambda run: F.struct(fits(run).alias("own"), F.char_length(run).alias("length"))))
+    return best["length"]
+
+
+def _accounts(placed: Column) -> Column:
+    """Confirmed account numbers, leftmost first and without overlap."""
+    cut = lambda s: F.struct(s["start"].alias("start"), (s["start"] + _account_length(s["match"])).alias("stop"))
+    found = F.filter(F.transform(placed, cut), lambda s: s["stop"].isNotNull())
+
+    def apart(found: Column) -> Column:
+        ends = scan(found, F.lit(0), lambda end, s: F.when(s["start"] < end, end).otherwise(s["stop"]), "int")
+        return let(ends, lambda ends: F.filter(found, lambda s, i: (i == 0) | (s["start"] >= F.get(ends, i - 1))))
+
+    return let(found, apart)
+
+
 def _not_reserved(match: Column) -> Column:
     return ~match.rlike("^(000|666|9)|-00-|-0000$")
 
@@ -99,7 +140,6 @@ _TESTS = {
     "ip": _small_parts,
     "card": _luhn,
     "phone": lambda match: F.char_length(_digits(match)).between(10, 15),
-    "iban": _mod_97,
     "national_id": _not_reserved,
 }
 
@@ -109,6 +149,7 @@ def _spans(kind: Kind, order: int, text: Column) -> Column:
     pattern = F.lit(rf"\G{kind.gap}({kind.match})")  # without \G a text's end would be searched from every place
     gaps = F.regexp_extract_all(text, pattern, F.lit(1))
     matches = F.regexp_extract_all(text, pattern, F.lit(2))
+    ahead = F.regexp_extract_all(text, pattern, F.lit(3)) if kind.name == "iban" else None
 
     def place(matches: Column) -> Column:
         lengths = F.zip_with(gaps, matches, lambda gap, match: F.char_length(gap) + F.char_length(match))
@@ -117,7 +158,10 @@ def _spans(kind: Kind, order: int, text: Column) -> Column:
         return F.zip_with(stops, matches, found)
 
     placed = let(matches, place)
-    confirmed = F.filter(placed, lambda s: _TESTS[kind.name](s["match"]))
+    if ahead is None:
+        confirmed = F.filter(placed, lambda s: _TESTS[kind.name](s["match"]))
+    else:
+        confirmed = _accounts(F.zip_with(placed, ahead, lambda s, more: s.withField("match", F.concat(s["match"], more))))
 
     def scored(span: Column) -> Column:
         before = F.greatest(span["start"] - NEARBY, F.lit(0))

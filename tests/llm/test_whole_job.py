@@ -22,3 +22,23 @@ def test_cards_of_single_digits(spark):
         base = [(s["start"], s["place"], s["kind"], s["stop"]) for s in row["spans"] if s["kind"] in pii.BASE]
         assert base == brute.base_spans(row["text"])
         assert [k for _, _, k, _ in base] == ["card"] * (row["doc_id"] < 4)
+
+
+GERMAN, SPACED, BRITISH = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+MALTESE = "MT84MALT011000012345MTLCAST001S"
+
+
+@pytest.mark.parametrize("number", [GERMAN, SPACED, BRITISH, MALTESE, "NO9386011117947", "NO93 8601 1117 947"])
+def test_account_numbers_before_capitals_and_digits(spark, number):
+    after = ["", ".", " Please pay", " BIC COBADEFFXXX", " EUR 20", " 20", " 20 EUR by 3 May", " a", "  X", "\nTOTAL 7", " A B C D E F G H I J K L M N O P Q R S T", "é"]
+    texts = [before + number + end for before in ("IBAN ", "", "É ", "AB12 ", "ab-") for end in after]
+    for row in pii.find(docs_of(spark, enumerate(texts))).collect():
+        found = [row["text"][s["start"] : s["stop"]] for s in row["spans"] if s["kind"] == "iban"]
+        assert found == [number], row["text"]
+
+
+def test_account_numbers_that_follow_each_other(spark):
+    texts = [f"{GERMAN} {BRITISH} {SPACED} {MALTESE} END", f"{GERMAN}X", f"x{GERMAN}", f"DE89370400440532013001 {GERMAN}", "ZZ97 " + "A" * 40, "AB12 " * 500]
+    rows = {r["doc_id"]: [r["text"][s["start"] : s["stop"]] for s in r["spans"] if s["kind"] == "iban"] for r in pii.find(docs_of(spark, enumerate(texts))).collect()}
+    assert rows[0] == [GERMAN, BRITISH, SPACED, MALTESE]
+    assert rows[1] == rows[2] == rows[4] == [] and rows[3] == [GERMAN]
