@@ -11,11 +11,11 @@ over the blocks again for the places at which a window is not its first. Beside
 part's compressed blocks and its distinct windows; a passage that a third of all documents share is
 one string in each block. Windows are sorted and compared by 64-bit hashes, within one part.
 
-Back come only the spans of words to remove, gathered by document.
+Back come only the spans of words to remove, gathered by row: by doc_id and a hash of the text.
 
 Defined results: a null text has no words; a null doc_id counts as larger than any other; rows that
-share a doc_id are taken as copies of one document (of differing texts, a span found in one is
-removed from each, as far as it reaches); texts shorter than a window stay whole.
+share a doc_id, or have none, are never earlier than each other, and of each only its own repeated
+windows go; texts shorter than a window stay whole.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ _LAST = np.iinfo(np.int64).max
 _ROLE = np.random.default_rng(1313).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
 BLOCKS = "part int, size long, block binary"
-SPANS = "doc_id long, from_word int, to_word int"
+SPANS = "doc_id long, text_hash long, from_word int, to_word int"
 
 
 def _rolled(codes: np.ndarray, size: int) -> np.ndarray:
@@ -87,25 +87,27 @@ def super_kmers(words: Words, window: int, minimiser: int) -> tuple[np.ndarray,
     return text[first], first, last + window - 1, mix(grams[at[first]] ^ np.uint64(window)).view(np.int64)
 
 
-def _block(strings: list[bytes], places: list[tuple[list[int], list[int]]]) -> bytes:
-    """Strings with the documents and places of each, compressed."""
-    counts = np.array([len(docs) for docs, _ in places], "<i4")
-    docs = np.array([d for own, _ in places for d in own], "<i8")
-    starts = np.array([s for _, own in places for s in own], "<i4")
+def _block(strings: list[bytes], places: list[tuple[list[int], list[int], list[int]]]) -> bytes:
+    """Strings with the documents, their texts' hashes and places of each, compressed."""
+    counts = np.array([len(docs) for docs, _, _ in places], "<i4")
+    docs = np.array([d for own, _, _ in places for d in own], "<i8")
+    texts = np.array([t for _, own, _ in places for t in own], "<i8")
+    starts = np.array([s for _, _, own in places for s in own], "<i4")
     head = np.array([len(counts), len(docs)], "<i8")
-    whole = b"".join([head.tobytes(), counts.tobytes(), docs.tobytes(), starts.tobytes(), b"\n".join(strings)])
+    whole = b"".join([head.tobytes(), counts.tobytes(), docs.tobytes(), texts.tobytes(), starts.tobytes(), b"\n".join(strings)])
     return np.array([len(whole)], "<i8").tobytes() + pa.Codec("zstd", compression_level=LEVEL).compress(whole, asbytes=True)
 
 
-def _unblock(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """How often each string occurs, where, and the bytes of all strings, a line each."""
+def _unblock(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """How often each string occurs, where (document, hash of its text, place), and the bytes of all strings, a line each."""
     size = int(np.frombuffer(block, "<i8", 1)[0])
     whole = pa.decompress(block[8:], size, codec="zstd", asbytes=True)
     n, places = np.frombuffer(whole, "<i8", 2).tolist()
     counts = np.frombuffer(whole, "<i4", n, 16)
     docs = np.frombuffer(whole, "<i8", places, 16 + 4 * n)
-    starts = np.frombuffer(whole, "<i4", places, 16 + 4 * n + 8 * places)
-    return counts, docs, starts, np.frombuffer(whole, np.uint8, offset=16 + 4 * n + 12 * places)
+    texts = np.frombuffer(whole, "<i8", places, 16 + 4 * n + 8 * places)
+    starts = np.frombuffer(whole, "<i4", places, 16 + 4 * n + 16 * places)
+    return counts, docs, texts, starts, np.frombuffer(whole, np.uint8, offset=16 + 4 * n + 20 * places)
 
 
 def _emit(window: int, minimiser: int, parts: int):
@@ -127,8 +129,8 @@ def _emit(window: int, minimiser: int, parts: int):
         found: dict[bytes, tuple] = {}
         held = 0
         for batch in batches:
-            ids = batch.column(0).fill_null(_LAST).to_pylist()
-            for row, data, offsets in text_rounds(batch.column(1)):
+            ids, hashes = batch.column(0).fill_null(_LAST).to_pylist(), batch.column(1).to_pylist()
+            for row, data, offsets in text_rounds(batch.column(2)):
                 words = find_words(data, offsets)
                 text, first, last, bucket = super_kmers(words, window, minimiser)
                 joined, begin, end = _single_spaced(words)
@@ -138,11 +140,12 @@ def _emit(window: int, minimiser: int, parts: int):
                     string = joined[a:b]
                     known = found.get(string)
                     if known is None:
-                        found[string] = (name, [ids[row + k]], [start])
+                        found[string] = (name, [ids[row + k]], [hashes[row + k]], [start])
                         held += b - a
                     else:
                         known[1].append(ids[row + k])
-                        known[2].append(start)
+                        known[2].append(hashes[row + k])
+                        known[3].append(start)
                 if held > GATHERED:
                     yield blocks_of(found)
                     found, held = {}, 0
@@ -157,9 +160,9 @@ class _Group:
 
     def __init__(self, blocks: list[bytes], window: int) -> None:
         opened = [_unblock(block) for block in blocks]
-        self.counts, self.docs, self.starts = (np.concatenate([one[i] for one in opened]) for i in range(3))
+        self.counts, self.docs, self.texts, self.starts = (np.concatenate([one[i] for one in opened]) for i in range(4))
         codes, sizes = [], []
-        for _, _, _, data in opened:
+        for *_, data in opened:
             offsets = np.concatenate(([0], np.flatnonzero(data == 10) + 1, [len(data)]))
             words = find_words(data, offsets)
             codes.append(words.hashes())
@@ -175,8 +178,8 @@ class _Group:
         least = np.minimum.reduceat(self.docs, np.cumsum(self.counts) - self.counts)
         return _least(self.keys, np.repeat(least, self.windows))
 
-    def repeated(self, keys: np.ndarray, least: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Documents, and spans of words in them, of windows that also start in a smaller document."""
+    def repeated(self, keys: np.ndarray, least: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Documents, hashes of their texts, and spans of words in them, of windows that also start in a smaller document."""
         of_window = least[np.searchsorted(keys, self.keys)]
         # Every place of a string has all of its windows.
         string = np.repeat(np.arange(len(self.counts)), self.counts)
@@ -193,7 +196,7 @@ class _Group:
         a, b = np.flatnonzero(opens), np.flatnonzero(closes)
         place = np.searchsorted(before, a, "right") - 1
         start = self.starts[place].astype(np.int64)
-        return self.docs[place], start + step[a], start + step[b] + window
+        return self.docs[place], self.texts[place], start + step[a], start + step[b] + window
 
 
 def _least(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,10 +222,11 @@ def _part(blocks: list[bytes], sizes: list[int], window: int) -> Iterator[pa.Rec
         keys, least = _least(np.append(keys, new[0]), np.append(least, new[1])) if len(keys) else new
     for own in groups:
         group = group if len(groups) == 1 else _Group(own, window)
-        docs, from_word, to_word = group.repeated(keys, least, window)
+        docs, texts, from_word, to_word = group.repeated(keys, least, window)
         if len(docs):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs), pa.array(from_word.astype(np.int32)), pa.array(to_word.astype(np.int32))], ["doc_id", "from_word", "to_word"]
+                [pa.array(docs), pa.array(texts), pa.array(from_word.astype(np.int32)), pa.array(to_word.astype(np.int32))],
+                ["doc_id", "text_hash", "from_word", "to_word"],
             )
 
 
@@ -246,8 +250,8 @@ def _compare(window: int):
 
 
 def repeated_spans(docs: DataFrame, *, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
-    """doc_id, from_word and to_word (exclusive) of words that windows of earlier documents cover."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """doc_id, text_hash, from_word and to_word (exclusive) of words that windows of earlier documents cover."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = partitions * max(1, min(FINENESS, GATHERED // (BLOCK_BYTES * partitions)))
     blocks = map_arrow(rows, _emit(window, minimiser, parts), BLOCKS)
@@ -290,8 +294,9 @@ def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame, *, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (kept words joined by one space) of every row."""
     spans = repeated_spans(docs, window=window, minimiser=minimiser)
-    gathered = spans.groupBy("doc_id").agg(F.collect_list(F.struct("from_word", "to_word")).alias("spans"))
+    # Rows equal in id and text find the same spans, so that one span is kept once however many there are.
+    gathered = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("from_word", "to_word")).alias("spans"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    key = F.coalesce(rows["doc_id"], F.lit(_LAST)) == gathered["doc_id"]
+    key = (F.coalesce(rows["doc_id"], F.lit(_LAST)) == gathered["doc_id"]) & (F.xxhash64(rows["text"]) == gathered["text_hash"])
     joined = rows.join(gathered, key, "left").select(rows["doc_id"], "text", "spans")
     return map_arrow(joined, _remove, "doc_id long, n_words long, n_removed long, kept_text string")

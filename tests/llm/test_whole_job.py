@@ -1,11 +1,14 @@
 """Cases that shortcuts would leave out."""
 
+import random
+from collections import Counter
+
 import pytest
 from tests.llm import brute
 from tests.llm.conftest import DOCUMENTS
 
 pytest.importorskip("changefold.llm.queries")
-from changefold.llm import pii  # noqa: E402
+from changefold.llm import pii, substring_dedup  # noqa: E402
 
 
 def docs_of(spark, texts):
@@ -42,3 +45,40 @@ def test_account_numbers_that_follow_each_other(spark):
     rows = {r["doc_id"]: [r["text"][s["start"] : s["stop"]] for s in r["spans"] if s["kind"] == "iban"] for r in pii.find(docs_of(spark, enumerate(texts))).collect()}
     assert rows[0] == [GERMAN, BRITISH, SPACED, MALTESE]
     assert rows[1] == rows[2] == rows[4] == [] and rows[3] == [GERMAN]
+
+
+# -- passages ------------------------------------------------------------------------------
+
+
+def brute_passages(docs, window=13):
+    """Rows told apart by their place in the list: doc_id, words, removed and sha of what is kept."""
+    rank = lambda d: (d is None, d or 0)
+    words = [brute.WORD.findall(t or "") for _, t in docs]
+    first = {}
+    for (d, _), own in zip(docs, words, strict=True):
+        for i in range(len(own) - window + 1):
+            key = tuple(own[i : i + window])
+            first[key] = min(first.get(key, rank(d)), rank(d))
+    out = Counter()
+    for (d, _), own in zip(docs, words, strict=True):
+        gone = {j for i in range(len(own) - window + 1) if first[tuple(own[i : i + window])] < rank(d) for j in range(i, i + window)}
+        out[d, len(own), len(gone), brute.sha(" ".join(w for i, w in enumerate(own) if i not in gone))] += 1
+    return out
+
+
+@pytest.mark.parametrize("gathered, compared", [(24 << 20, 16 << 20), (600, 200)])
+def test_passages_of_rows_without_or_with_shared_ids(spark, monkeypatch, gathered, compared):
+    monkeypatch.setattr(substring_dedup, "GATHERED", gathered)
+    monkeypatch.setattr(substring_dedup, "COMPARED", compared)
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(30)]
+    docs = []
+    for d in range(90):
+        own = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(0, 60))]
+        if d % 2:
+            own[rng.randrange(len(own) + 1) : 0] = passage[rng.randrange(0, 10) :]
+        docs.append(((None, d, d % 5)[d % 3], " ".join(own)))
+    docs += [docs[3], docs[3], docs[5], (None, None), (7, None)]
+    found = substring_dedup.without_repeats(docs_of(spark, docs)).collect()
+    wanted = brute_passages(docs)
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], brute.sha(r["kept_text"])) for r in found) == wanted
