@@ -2,7 +2,8 @@
 
 Lines are equal by their characters, nearly equal if one edit makes their words equal: one word
 changed, left out or put in. The second counts for lines of at least ``min_words`` words. Earlier is
-by doc_id, then line number. Blank lines always stay.
+by doc_id, then by a hash of the text, which tells rows of one doc_id apart, then line number. Blank
+lines always stay.
 
 Deletion neighbourhood: from each distinct line every variant with one word left out is named by a
 hash. Lines of equal length that share the variant and its place differ in that word only; a line
@@ -15,8 +16,9 @@ most lines are done with after this. Hashes of variants are sums, without carry,
 with their places, so that each variant costs the same however long its line is.
 
 Only SQL functions are used. Defined results: a null text has no lines and stays null; a null doc_id
-comes before all others; rows that share a doc_id are taken as copies of one document, whose lines at
-the same place are one and the same; words are what stands between single white space characters.
+comes before all others; rows equal in doc_id (or in having none) and text are copies of one document,
+whose lines at the same place are one and the same, while rows of differing texts are documents of
+their own; words are what stands between single white space characters.
 """
 
 from __future__ import annotations
@@ -37,10 +39,11 @@ def words_of(line: str) -> Column:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no and line of every line that is not blank, with two hashes of it."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(lines_of("text")).alias("line_no", "line"))
+    """doc_id, text_hash, line_no and line of every line that is not blank, with two hashes of it."""
+    row = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")]
+    lines = docs.select(*row, F.posexplode(lines_of("text")).alias("line_no", "line"))
     lines = lines.where(F.trim(F.translate("line", "\t\x0b\f\r", "    ")) != "")
-    return lines.select("doc_id", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    return lines.select("doc_id", "text_hash", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def _half_names(words: Column, n: Column) -> Column:
@@ -58,12 +61,12 @@ def _half_names(words: Column, n: Column) -> Column:
 
 
 def distinct_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """h1, h2, first (doc_id, line_no), copies and halves (null for short lines) of every distinct line."""
+    """h1, h2, first (doc_id, text_hash, line_no), copies and halves (null for short lines) of every distinct line."""
     lines = numbered(docs).withColumn("words", words_of("line"))
     n = F.size("words")
     lines = lines.withColumn("halves", F.when(n >= min_words, _half_names(F.col("words"), n)))
     return lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("halves").alias("halves")
+        F.min(F.struct("doc_id", "text_hash", "line_no")).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("halves").alias("halves")
     )
 
 
@@ -123,10 +126,11 @@ def one_edit_apart(a: str, b: str) -> Column:
 
 def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """first and witness (the earlier line) of the distinct lines that are one edit from an earlier one."""
-    shared = sharing_halves(distinct).withColumns({"doc_id": F.col("first.doc_id"), "line_no": F.col("first.line_no")})
-    wanted = shared.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "first", "shared")).alias("wanted"))
+    shared = sharing_halves(distinct).withColumns({c: F.col(f"first.{c}") for c in ("doc_id", "text_hash", "line_no")})
+    wanted = shared.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "first", "shared")).alias("wanted"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").where("text IS NOT NULL")
-    texts = own.join(wanted, F.col("doc").eqNullSafe(F.col("doc_id"))).select(lines_of("text").alias("lines"), F.explode("wanted").alias("one"))
+    same = F.col("doc").eqNullSafe(F.col("doc_id")) & (F.xxhash64("text") == F.col("text_hash"))
+    texts = own.join(wanted, same).select(lines_of("text").alias("lines"), F.explode("wanted").alias("one"))
     texts = texts.select("one.*", F.get("lines", F.col("one.line_no")).alias("line")).select("first", "shared", words_of("line").alias("words"))
     lines = staged(texts, "lines-sharing")
     named = staged(variants(lines), "lines-variants")
@@ -145,21 +149,23 @@ def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id and removed (line numbers) of the documents that lose lines."""
+    """doc_id, text_hash and removed (line numbers) of the documents that lose lines."""
     distinct = staged(distinct_lines(docs, min_words), "lines-distinct")
     near = near_earlier(docs, distinct)
     status = distinct.select("h1", "h2", "first", "copies").join(near, "first", "left")
     status = status.where("copies > 1 OR witness IS NOT NULL").select("h1", "h2", "first", F.col("witness").isNotNull().alias("near"))
-    places = numbered(docs).select("h1", "h2", F.struct("doc_id", "line_no").alias("at"))
+    places = numbered(docs).select("h1", "h2", F.struct("doc_id", "text_hash", "line_no").alias("at"))
     gone = places.join(status, ["h1", "h2"]).where("near OR at <> first")
-    return gone.groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_set("at.line_no").alias("removed"))
+    row = [F.col(f"at.{c}").alias(c) for c in ("doc_id", "text_hash")]
+    return gone.groupBy(*row).agg(F.collect_set("at.line_no").alias("removed"))
 
 
 def without_repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with its text less the repeated lines, and n_lines and n_removed (columns of these names are replaced)."""
     gone = removed_lines(docs, min_words=min_words)
-    gone = gone.select(F.col("doc_id").alias("__doc"), F.col("removed").alias("__removed"))
-    joined = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")), "left")
+    gone = gone.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("removed").alias("__removed"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
+    joined = docs.join(gone, same, "left")
     kept = F.filter(lines_of("text"), lambda line, i: ~F.array_contains("__removed", i))
     text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     counts = [F.coalesce(F.size(lines_of("text")), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("__removed"), F.lit(0)).cast("long").alias("n_removed")]

@@ -119,9 +119,9 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, text_hash, n_shingles, set_key, component_id and kept of every row of ``docs``.
+    """doc_id, text_hash, n_shingles, set_key, component, component_id and kept of every row of ``docs``.
 
-    ``component_id`` is the smallest doc_id that links lead to; ``kept`` marks that document. Sets
+    ``component`` numbers the components, null for rows without words. ``component_id`` is the smallest doc_id that links lead to; ``kept`` marks that document. Sets
     are linked when 100 * common >= percent * all their shingles.
     """
     rows = staged(signed(docs, words), "near-signed")
@@ -136,13 +136,12 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     linked = _components(docs, classes, words, percent)
     named = classes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "component").select("set_key", "component_id")
+    named = named.join(smallest, "component").select("set_key", "component", "component_id")
     found = rows.join(named, "set_key", "left")
     alone = F.col("n_shingles") == 0
-    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select(
-        "doc_id", "text_hash", "n_shingles", "set_key", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
-    )
+    smallest = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
+    kept = F.col("doc_id").eqNullSafe(smallest).alias("kept")
+    return found.select("doc_id", "text_hash", "n_shingles", "set_key", "component", smallest.alias("component_id"), kept)
 
 
 def _components(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -263,8 +262,8 @@ def _next_centres(remaining: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, and all without words, repeated rows once."""
     found = staged(near_duplicates(docs, words=words, percent=percent).where("kept"), "near-kept")
-    # Rows of one doc_id may differ in text, and those without one are told apart by their sets.
-    group = ["doc_id", F.when(F.col("doc_id").isNull(), F.col("set_key")), F.col("n_shingles") == 0]
+    # Rows of one doc_id, or without one, may belong to several components; those without words to none.
+    group = ["doc_id", "component", F.when(F.col("n_shingles") == 0, F.col("text_hash"))]
     chosen = found.groupBy(*group).agg(F.min("text_hash").alias("__hash")).select(F.col("doc_id").alias("__doc"), "__hash")
     chosen = staged(chosen, "near-chosen")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))

@@ -4,11 +4,13 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import brute
 from tests.llm.conftest import DOCUMENTS
+from tests.llm.test_edges import brute_lines
 
 pytest.importorskip("changefold.llm.queries")
-from changefold.llm import pii, substring_dedup  # noqa: E402
+from changefold.llm import line_dedup, near_dedup, pii, substring_dedup  # noqa: E402
 
 
 def docs_of(spark, texts):
@@ -82,3 +84,38 @@ def test_passages_of_rows_without_or_with_shared_ids(spark, monkeypatch, gathere
     found = substring_dedup.without_repeats(docs_of(spark, docs)).collect()
     wanted = brute_passages(docs)
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], brute.sha(r["kept_text"])) for r in found) == wanted
+
+
+# -- lines and near duplicates of rows without or with shared ids --------------------------
+
+
+def test_lines_of_rows_without_or_with_shared_ids(spark):
+    rng = random.Random(6)
+    base = [[f"w{rng.randrange(40)}" for _ in range(rng.randrange(1, 14))] for _ in range(50)]
+    docs = [(None, "alpha\nbeta"), (None, "beta\ngamma"), (None, None), (7, None), (7, "delta\nbeta"), (7, "beta\ndelta")]
+    for d in range(90):
+        lines = []
+        for _ in range(rng.randrange(1, 7)):
+            own = list(rng.choice(base))
+            if rng.randrange(2):
+                own[rng.randrange(len(own))] = f"w{rng.randrange(40)}"
+            lines.append(" ".join(own))
+        docs.append(((None, d, d % 5)[d % 3], "\n".join(lines)))
+    docs += [docs[6], docs[6], docs[8]]
+    table = docs_of(spark, docs)
+    named = {(r[0], r[1]): ((r[0] is not None, r[0] or 0), r[2]) for r in table.select("doc_id", "text", F.xxhash64("text")).collect() if r[1] is not None}
+    rows = sorted(named, key=named.get)
+    wanted = brute_lines(list(enumerate(t for _, t in rows)))
+    kept = {row: wanted[i] for i, row in enumerate(rows)}
+    found = Counter((r["doc_id"], r["text"]) for r in line_dedup.without_repeated_lines(table).collect())
+    assert found == Counter((d, t if t is None else kept[d, t]) for d, t in docs)
+    assert any("gamma" in (t or "") for _, t in found)
+
+
+def test_one_of_each_of_rows_without_or_with_shared_ids(spark):
+    texts = {name: " ".join(f"{name}{i}" for i in range(60)) for name in "abcde"}
+    near = lambda name: texts[name] + " tail"
+    docs = [(1, texts["a"]), (1, texts["b"]), (1, near("b")), (2, near("a")), (None, near("a")), (None, texts["c"]), (None, near("c")), (None, texts["d"])]
+    docs += [(3, texts["e"]), (3, texts["e"]), (4, ""), (4, " "), (None, ""), (None, " ")]
+    kept = Counter((r["doc_id"], (r["text"].split() or [r["text"]])[0]) for r in near_dedup.one_of_each(docs_of(spark, docs)).collect())
+    assert kept == Counter([(1, "a0"), (1, "b0"), (None, "c0"), (None, "d0"), (3, "e0"), (4, ""), (4, " "), (None, ""), (None, " ")])
