@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changefold.llm import chat, fingerprints, line_dedup, mixing, near_dedup, packing, pii, quality, substring_dedup, topk
-from changefold.llm.common import table
+from changefold.llm import chat, fingerprints, line_dedup, mixing, near_dedup, packing, pii, quality, repetition, substring_dedup, topk
+from changefold.llm.common import let, table, words_array
 from changefold.llm.oracle import ORACLE_SQL  # noqa: F401
 
 TOKENIZER = "word_bpe_49k.json"
@@ -83,6 +83,41 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", looped(F.col("doc_id"), "text").alias("text"))
+    found = repetition.collapse_runs(docs)
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    ratio = lambda a, b: a["length"] * b["period"]  # noqa: E731  larger where a repeats more often
+    # Runs come by start, then period, and the sort is stable.
+    order = lambda a, b: F.when(ratio(a, b) > ratio(b, a), -1).when(ratio(a, b) < ratio(b, a), 1).otherwise(0)
+    best = F.get(F.array_sort("runs", order), F.lit(0))
+    exponent = F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        exponent.cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def looped(doc_id: Column, text: str) -> Column:
+    """The text, with the words from one on repeating in one document of ten, so that there are long runs to find."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8)))).cast("long")
+        ends = F.struct(a.alias("a"), p.alias("p"))
+        place = lambda i, e: F.when(i < e["a"], i).otherwise(e["a"] + F.pmod(i - e["a"], e["p"])).cast("int")
+        return let(ends, lambda e: F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, place(i, e))), " "))
+
+    chosen = F.when(F.pmod(h, F.lit(10)) == 0, F.col(text))
+    looped = let(words_array(chosen), lambda words: F.when(F.size(words) > 0, repeated(words)))
+    return F.coalesce(looped, F.col(text))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_pii": op2_pii,
@@ -94,4 +129,5 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_top_k": op9_top_k,
     "op10_packing": op10_packing,
+    "op12_periodic_runs": op12_periodic_runs,
 }
