@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changefold.llm import chat, fingerprints, line_dedup, mixing, near_dedup, packing, pii, quality, repetition, substring_dedup, topk
+from changefold.llm import chat, fingerprints, genetic_packing, line_dedup, mixing, near_dedup, packing, pii, quality, repetition, substring_dedup, topk
 from changefold.llm.common import let, table, words_array
 from changefold.llm.oracle import ORACLE_SQL  # noqa: F401
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 ACCEPT = 0.7
 
 
@@ -118,6 +119,14 @@ def looped(doc_id: Column, text: str) -> Column:
     return F.coalesce(looped, F.col(text))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = genetic_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER))
+    length = (F.octet_length("ids") / 4).cast("long")
+    return pieces.select(
+        "doc_id", "piece", "start", length.alias("length"), F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_pii": op2_pii,
@@ -130,4 +139,5 @@ QUERIES = {
     "op9_top_k": op9_top_k,
     "op10_packing": op10_packing,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
