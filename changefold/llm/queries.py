@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changefold.llm import chat, fingerprints, genetic_packing, line_dedup, mixing, near_dedup, packing, pii, quality, repetition, substring_dedup, topk
+from changefold.llm import chat, fingerprints, genetic_packing, hard_negatives, line_dedup, mixing, near_dedup, packing, pii, quality, repetition, substring_dedup, topk
 from changefold.llm.common import let, table, words_array
 from changefold.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -84,6 +84,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepared(given.withColumn("label", shifted))
+    found = hard_negatives.hard_negatives(rows, rows.where(F.col("vec_id") % 100 == 0))
+    return found.withColumn("rank", F.col("rank").cast("int"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", looped(F.col("doc_id"), "text").alias("text"))
     found = repetition.collapse_runs(docs)
@@ -138,6 +146,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_top_k": op9_top_k,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_best_fit_packing": op13_best_fit_packing,
 }
