@@ -1,201 +1,174 @@
-"""Exact top-k search by inner product, with a KD-tree per shard.
+"""Exact top-k search by inner product, with KD-trees.
 
-Rows are dealt into shards of about ``shard_rows``. A shard's tree splits at the median of the widest
-dimension and keeps each node's tight bounding box. For a query and a box, the largest inner product
-any point of the box could have is a bound; nodes are visited best bound first, and no node whose
-bound is below the k-th best score known so far. That k-th score is propagated: a first pass scores
-each query only in the best leaf of every shard, and its merged k-th score is where all shards start
-from in the second pass.
-
-Queries are rows of the same table; they go against shards in blocks, each pair of a block and a
-shard being one row of work, so that neither side is ever whole in one task.
+A KD-tree splits at the median of the widest dimension and keeps a tight bounding box for every node. For a
+query and a box, the largest inner product that any point of the box could have is a bound; a node
+whose bound is below the k-th best score known so far is not visited, and nodes are visited best bound
+first. The tree's top is cut by the medians of a sample and spread over the cluster, its boxes being those
+of all rows; the lower levels are built for each shard by the task that searches it (see
+``vector_search``). The k-th score is propagated: each query starts everywhere from the k-th best
+that one shard of its own cell gave it. A leaf scores all queries that still want it by one product.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no part; vectors
 of different lengths are never compared, and those without components score 0 with each other; rows
-that share a vec_id are candidates of their own; a null vec_id is no query and comes last in ties.
+that share the query's vec_id are no candidates for it, other repeated rows count one by one; equal query
+rows are answered once; a null vec_id is no query and comes last in ties; scores are exact, and those
+beyond 64 bits count as the nearest number of 64 bits.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from changefold.llm.common import map_arrow, staged
+from changefold.llm import vector_search as vs
+from changefold.llm.vectors import floored, given_id, sound
 
-SHARD_ROWS = 4096
-BLOCK_QUERIES = 256
-LEAF_ROWS = 64
-#: Products of numbers up to this size sum exactly in floating point.
-_EXACT = 2.0**53
+#: By how much of the largest possible product rounding may move a bound.
+_SLACK = 1e-9
 
 
 def quantised(rows: DataFrame, vector: str = "embedding", scale: int = 64) -> DataFrame:
     """vec_id, vector (floor of each component times ``scale``, as doubles) of the rows that take part."""
-    scaled = F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * scale).cast("double"))
-    sound = F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    return rows.where(F.col(vector).isNotNull() & sound).select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("vector"))
+    return rows.where(sound(vector)).select(F.col("vec_id").cast("long").alias("vec_id"), floored(vector, scale).alias("vector"))
+
+
+def most_likely(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Largest inner product that each query can have in each box, a little more than exact."""
+    reach = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
+    most = np.maximum(np.abs(low), np.abs(high)).sum(axis=1)
+    return reach + _SLACK * np.abs(queries).max(axis=1, initial=0.0)[:, None] * most[None, :]
+
+
+def halves(points: np.ndarray, order: np.ndarray, a: int, b: int) -> int | None:
+    """Reorders ``order[a:b]`` about the median of its widest dimension, and gives that dimension."""
+    part = points[order[a:b]]
+    spread = part.max(axis=0) - part.min(axis=0)
+    widest = int(spread.argmax()) if len(spread) else 0
+    if not len(spread) or not spread[widest] > 0:
+        return None
+    order[a:b] = order[a:b][np.argpartition(part[:, widest], (b - a) // 2)]
+    return widest
 
 
 class Tree:
-    """Nodes in order of their making; a leaf has rows ``low`` to ``high`` of the reordered vectors."""
+    """Nodes in order of their making; a leaf has rows ``low`` to ``high`` of the reordered ones."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS) -> None:
-        order = np.arange(len(ids))
-        self.low, self.high, self.left = [0], [len(ids)], [-1]
-        boxes = [(vectors.min(axis=0), vectors.max(axis=0))]
+    def __init__(self, rows: np.ndarray, most: float, leaf_rows: int) -> None:
+        points = rows["vector"] / most
+        order = np.arange(len(rows))
+        self.most, self.low, self.high, self.left = most, [0], [len(rows)], [-1]
+        boxes = [(points.min(axis=0), points.max(axis=0))]
         node = 0
         while node < len(self.low):
             a, b = self.low[node], self.high[node]
-            if b - a > leaf_rows:
-                spread = boxes[node][1] - boxes[node][0]
-                widest = int(spread.argmax()) if len(spread) else 0
-                if len(spread) and spread[widest] > 0:
-                    own = order[a:b]
-                    middle = (b - a) // 2
-                    order[a:b] = own[np.argpartition(vectors[own, widest], middle)]
-                    self.left[node] = len(self.low)
-                    for x, y in ((a, a + middle), (a + middle, b)):
-                        self.low.append(x)
-                        self.high.append(y)
-                        self.left.append(-1)
-                        part = vectors[order[x:y]]
-                        boxes.append((part.min(axis=0), part.max(axis=0)))
+            if b - a > leaf_rows and halves(points, order, a, b) is not None:
+                middle = a + (b - a) // 2
+                self.left[node] = len(self.low)
+                for x, y in ((a, middle), (middle, b)):
+                    self.low.append(x)
+                    self.high.append(y)
+                    self.left.append(-1)
+                    part = points[order[x:y]]
+                    boxes.append((part.min(axis=0), part.max(axis=0)))
             node += 1
-        self.ids, self.vectors = ids[order], vectors[order]
+        self.rows = rows[order]
         self.box_low, self.box_high = (np.stack(side) for side in zip(*boxes, strict=True))
-        self.leaves = [i for i, child in enumerate(self.left) if child < 0]
-
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """Largest inner product that each query can have in each node's box."""
-        return np.maximum(queries, 0) @ self.box_high.T + np.minimum(queries, 0) @ self.box_low.T
-
-    def best_leaf(self, query: np.ndarray, bounds: np.ndarray, own_id, k: int) -> list[tuple]:
-        leaf = self.leaves[int(bounds[self.leaves].argmax())]
-        return self._scored(query, leaf, own_id, k, -np.inf)
-
-    def search(self, query: np.ndarray, bounds: np.ndarray, own_id, k: int, least: float) -> list[tuple]:
-        """The k best (score, -vec_id) with a score of ``least`` or more."""
-        best: list[tuple] = []
-        heap = [(-bounds[0], 0)]
-        while heap:
-            bound, node = heapq.heappop(heap)
-            if -bound < least:
-                break
+        self.leaves = 0
+
+    def visit(self, best: vs.Best) -> None:
+        """Nodes in order of the best bound that any query still open has for them."""
+        bounds = most_likely(best.queries["vector"] / self.most, self.box_low, self.box_high)
+        waiting = [(-np.inf, 0)]
+        while waiting:
+            _, node = heapq.heappop(waiting)
+            active = np.flatnonzero(bounds[:, node] >= best.low / self.most / self.most)
+            if not len(active):
+                continue
             child = self.left[node]
-            if child >= 0:
-                for one in (child, child + 1):
-                    if bounds[one] >= least:
-                        heapq.heappush(heap, (-bounds[one], one))
+            if child < 0:
+                self.leaves += 1
+                best.take(active, self.rows[self.low[node] : self.high[node]])
+                continue
+            for one in (child, child + 1):
+                heapq.heappush(waiting, (-float(bounds[active, one].max()), one))
+
+
+class Top:
+    """The top of the tree: cuts from a sample, and the boxes of all rows. Components are divided by the largest."""
+
+    def __init__(self, sample: np.ndarray, cells: int, most: float, norm: float) -> None:
+        self.scale = most
+        points = sample / most
+        order = np.arange(len(points))
+        # Node: dimension, cut, children; a leaf: its cell.
+        self.nodes: list[tuple[int, float, int, int] | int] = [0]
+        open_nodes = [(0, 0, len(points))]
+        n = 1
+        while open_nodes and n < cells:
+            node, a, b = open_nodes.pop(0)
+            widest = halves(points, order, a, b) if b - a > 1 else None
+            if widest is None:
                 continue
-            best = heapq.nlargest(k, best + self._scored(query, node, own_id, k, least))
-            if len(best) == k:
-                least = max(least, best[-1][0])
-        return best
-
-    def _scored(self, query: np.ndarray, leaf: int, own_id, k: int, least: float) -> list[tuple]:
-        a, b = self.low[leaf], self.high[leaf]
-        ids, scores = self.ids[a:b], self.vectors[a:b] @ query
-        fit = np.flatnonzero((scores >= least) & (ids != own_id))
-        if len(fit) > k:
-            # Ties with the k-th stay, for the smaller vec_id decides.
-            fit = fit[scores[fit] >= np.partition(scores[fit], len(fit) - k)[len(fit) - k]]
-        return heapq.nlargest(k, zip(scores[fit].tolist(), (-ids[fit]).tolist(), strict=True))
-
-
-def _pack(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Blocks of about ``size`` rows of one vector length: length, number, ids and vectors as bytes."""
-    dealt = rows.select("vec_id", "vector", F.size("vector").alias("length"))
-    counts = dealt.groupBy("length").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / size))
-    placed = dealt.join(counts.select("length", "blocks"), "length")
-    placed = placed.withColumn(name, F.pmod(F.xxhash64("vec_id", "vector"), F.col("blocks"))).drop("blocks")
-    return placed.groupBy("length", name).applyInArrow(_block(name), f"length int, {name} long, ids binary, vectors binary")
-
-
-def _block(name: str):
-    def run(part: pa.Table) -> pa.Table:
-        ids = part.column("vec_id").combine_chunks().fill_null(np.iinfo(np.int64).max).to_numpy()
-        length = part.column("length")[0].as_py()
-        flat = part.column("vector").combine_chunks().flatten().to_numpy()
-        order = np.argsort(ids, kind="stable")
-        vectors = flat.reshape(len(ids), length)[order]
-        return pa.table(
-            {"length": pa.array([length], pa.int32()), name: part.column(name).slice(0, 1),
-             "ids": pa.array([ids[order].tobytes()], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary())}
-        )
-
-    return run
-
-
-def _search(k: int, first_pass: bool, leaf_rows: int):
-    """Rows come by shard: first the shard itself, then the blocks of queries that it has to answer."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = None
-        for batch in batches:
-            length, _, block, ids, vectors, least = (batch.column(i) for i in range(6))
-            for i in range(batch.num_rows):
-                own = np.frombuffer(ids[i].as_buffer(), np.int64)
-                rows = np.frombuffer(vectors[i].as_buffer(), np.float64).reshape(len(own), length[i].as_py())
-                if not block[i].is_valid:
-                    tree = Tree(own, rows, leaf_rows)
-                    continue
-                bounds = tree.bounds(rows)
-                start = np.frombuffer(least[i].as_buffer(), np.float64) if least[i].is_valid else np.full(len(own), -np.inf)
-                out: list[tuple] = []
-                for q, query_id in enumerate(own.tolist()):
-                    if first_pass:
-                        found = tree.best_leaf(rows[q], bounds[q], query_id, k)
-                    else:
-                        found = tree.search(rows[q], bounds[q], query_id, k, start[q])
-                    out += [(query_id, -negative, score) for score, negative in found]
-                columns = list(zip(*out, strict=True)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([length[i].as_py()] * len(out), pa.int32()), pa.array([block[i].as_py()] * len(out), pa.int64()),
-                     pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())],
-                    ["length", "block", "query_id", "vec_id", "score"],
-                )
-
-    return run
-
-
-def top_k(rows: DataFrame, queries: DataFrame, *, k: int = 20, shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES, leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """query_id, rank, vec_id, score: of each row of ``queries`` the k best of ``rows`` but itself.
-
-    Both have vec_id and vector (integers as doubles).
+            middle = a + (b - a) // 2
+            cut = float(points[order[middle], widest])
+            left = len(self.nodes)
+            self.nodes += [self.nodes[node], n]
+            self.nodes[node] = (widest, cut, left, left + 1)
+            open_nodes += [(left, a, middle), (left + 1, middle, b)]
+            n += 1
+        length = sample.shape[1]
+        self.low, self.high = np.full((n, length), np.inf), np.full((n, length), -np.inf)
+
+    def assign(self, vectors: np.ndarray) -> np.ndarray:
+        points = vectors / self.scale
+        cell = np.zeros(len(points), np.int32)
+        waiting = [(0, np.arange(len(points)))]
+        while waiting:
+            node, own = waiting.pop()
+            held = self.nodes[node]
+            if isinstance(held, tuple):
+                widest, cut, left, right = held
+                below = points[own, widest] < cut
+                waiting += [(left, own[below]), (right, own[~below])]
+            else:
+                cell[own] = held
+        return cell
+
+    def features(self, vectors: np.ndarray) -> np.ndarray:
+        return vectors / self.scale
+
+    def know(self, cell: int, feature: int, least: float, most: float) -> None:
+        self.low[cell, feature], self.high[cell, feature] = least, most
+
+    def reach(self, queries: np.ndarray) -> np.ndarray:
+        known = np.isfinite(self.low).all(axis=1)
+        low, high = (np.where(known[:, None], side, 0.0) for side in (self.low, self.high))
+        bounds = most_likely(queries["vector"] / self.scale, low, high)
+        return known[None, :] & (bounds >= (queries["low"] / self.scale / self.scale)[:, None])
+
+    def tree(self, rows: np.ndarray) -> Tree:
+        return Tree(rows, self.scale, vs.LEAF_ROWS)
+
+
+def top_k(
+    rows: DataFrame,
+    queries: DataFrame,
+    *,
+    k: int = 20,
+    shard_rows: int = vs.SHARD_ROWS,
+    block_queries: int = vs.BLOCK_QUERIES,
+    sample_rows: int = vs.SAMPLE_ROWS,
+    most_cells: int = vs.MOST_CELLS,
+) -> DataFrame:
+    """query_id, rank, vec_id, score: of each row of ``queries`` the k best of ``rows`` but those of its id.
+
+    Both have vec_id and vector (whole numbers as doubles).
     """
-    nothing = [F.lit(None).cast("long").alias("block"), F.lit(None).cast("binary").alias("least")]
-    shards = staged(_pack(rows, shard_rows, "shard").select("*", *nothing), "topk-shards")
-    blocks = _pack(queries.where("vec_id IS NOT NULL"), block_queries, "block")
-    blocks = staged(blocks.withColumn("least", F.lit(None).cast("binary")), "topk-queries")
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    columns = ["length", "shard", "block", "ids", "vectors", "least"]
-    found_schema = "length int, block long, query_id long, vec_id long, score double"
-
-    def against(query_blocks: DataFrame, first_pass: bool) -> DataFrame:
-        # Each block of queries goes to every shard of its length; a shard's vectors stay where they are.
-        asked = query_blocks.join(shards.select("length", "shard"), "length").select(*columns)
-        work = shards.select(*columns).unionByName(asked).repartition(parts, "length", "shard")
-        ordered = work.sortWithinPartitions("length", "shard", F.col("block").asc_nulls_first())
-        return map_arrow(ordered, _search(k, first_pass, leaf_rows), found_schema)
-
-    best = W.partitionBy("length", "query_id").orderBy(F.desc("score"), "vec_id")
-    first = against(blocks, True).withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
-    least = first.groupBy("length", "block").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "score"))).alias("kth"))
-    started = blocks.drop("least").join(least, ["length", "block"], "left")
-    started = staged(map_arrow(started, _started, "length int, block long, ids binary, vectors binary, least binary"), "topk-started")
-    found = against(started, False).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast("long").alias("score"))
-
-
-def _started(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of queries with the score from which each query's search starts."""
-    for batch in batches:
-        least = []
-        for ids, kth in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True):
-            known = dict(kth or [])
-            least.append(np.array([known.get(i, -np.inf) for i in np.frombuffer(ids, np.int64).tolist()], np.float64).tobytes())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(least, pa.binary())], ["length", "block", "ids", "vectors", "least"])
+    no_label = F.lit(0).cast("long").alias("label")
+    shards = vs.Shards(rows.select("vec_id", "vector", no_label), Top, "topk-shards", shard_rows, sample_rows, most_cells)
+    asked = queries.where("vec_id IS NOT NULL").select("vec_id", "vector", no_label)
+    blocks = vs.blocks_of(asked, shards, "topk-queries", block_queries)
+    found = vs.search(blocks, shards, k, vs.different_id, "topk-raised")
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), given_id("vec_id"), "score")
