@@ -149,3 +149,53 @@ def one_edit(a: list[str], b: list[str]) -> bool:
         return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
     a, b = sorted((a, b), key=len)
     return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def hard_negatives(vectors, labels, every: int, percent: int = 80, k: int = 5) -> list[tuple]:
+    """All pairs scored; rows are numbered from 0, every so-manieth is an anchor."""
+    whole = [[math.floor(256 * x) for x in v] for v in vectors]
+    out = []
+    for a in range(0, len(whole), every):
+        scores = [sum(x * y for x, y in zip(whole[a], v, strict=True)) for v in whole]
+        order = sorted((i for i in range(len(whole)) if i != a), key=lambda i: (-scores[i], i))
+        for p in [i for i in order if labels[i] == labels[a]][:k]:
+            fit = [i for i in order if labels[i] != labels[a] and percent * scores[p] <= 100 * scores[i] <= 100 * scores[p]][:k]
+            out += [(a, p, rank, n, scores[p], scores[n]) for rank, n in enumerate(fit, 1)]
+    return sorted(out)
+
+
+def periodic_runs(words: list, min_length: int = 24, exponent: int = 3) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all runs, every period tried."""
+    out = []
+    for q in range(1, len(words) // exponent + 1):
+        i = q
+        while i < len(words):
+            j = i
+            while j < len(words) and words[j] == words[j - q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= min_length and length >= exponent * q and _smallest_period(words[i - q : j]) == q:
+                out.append((i - q, length, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda run: (run[0], run[2]))
+
+
+def _smallest_period(words: list) -> int:
+    borders = [0] * len(words)
+    for k in range(1, len(words)):
+        t = borders[k - 1]
+        while t and words[k] != words[t]:
+            t = borders[t - 1]
+        borders[k] = t + (words[k] == words[t])
+    return len(words) - borders[-1]
+
+
+def looped(doc_id, words: list[str]) -> list[str]:
+    """Words of a document as the contract of the run query changes them."""
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]

@@ -302,25 +302,12 @@ def test_top_k_of_odd_vectors(spark):
     rows += [(300, None), (320, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (340, [math.nan] * 6), (360, [math.inf] * 6), (380, [1.0, 2.0]), (381, [2.0, 1.0]), (400, [])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("shard", F.lit("clash")).repartition(3)
     sound = topk.quantised(table)
-    found = topk.top_k(sound, sound.where("vec_id % 20 = 0"), shard_rows=40, block_queries=4, leaf_rows=8)
+    found = topk.top_k(sound, sound.where("vec_id % 20 = 0"), shard_rows=40, block_queries=4, sample_rows=200)
     assert {tuple(r) for r in found.collect()} == brute.top_k(rows)
     none = sound.limit(0)
     assert topk.top_k(none, none).count() == 0
 
 
-def test_tree_bounds_hold_and_prune():
-    rng = np.random.default_rng(4)
-    vectors = np.floor(rng.normal(0, 20, (500, 8)))
-    tree = topk.Tree(np.arange(500), vectors, 16)
-    query = np.floor(rng.normal(0, 20, (1, 8)))
-    bounds = tree.bounds(query)[0]
-    scores = tree.vectors @ query[0]
-    for node, bound in enumerate(bounds):
-        assert scores[tree.low[node] : tree.high[node]].max() <= bound
-    best = tree.search(query[0], bounds, -1, 5, -np.inf)
-    assert [s for s, _ in best] == sorted((vectors @ query[0]).tolist(), reverse=True)[:5]
-
-
 # -- packing -------------------------------------------------------------------------------
 
 
