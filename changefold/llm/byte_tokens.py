@@ -17,6 +17,9 @@ from tokenizers import Tokenizer
 
 # Fixed value: the pattern by which byte-level BPE of this family cuts a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts without two white spaces in a row, of which no look-ahead is needed: much faster.
+_SINGLE_SPACED = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
+_TWO_SPACES = re.compile("[\t\n\r ][\t\n\r ]")
 #: ASCII, Latin, Greek and Cyrillic letters, general punctuation, kana, common Han and Hangul.
 _SETTLED = re.compile("[\t\n\r -~¡-ɏΑ-ΡΣ-ώА-я‐-‧、-〃ぁ-ゖァ-ヺ一-龥가-힣]*")
 
@@ -33,12 +36,14 @@ class ByteEncoder:
         added = self.tokenizer.get_added_tokens_decoder()
         specials = {token.content: number for number, token in added.items()}
         self.fast = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=specials)
+        self.single = tiktoken.Encoding("byte-level-single", pat_str=_SINGLE_SPACED, mergeable_ranks=ranks, special_tokens=specials)
         self.specials = set(specials)
 
     def encode(self, text: str) -> np.ndarray:
-        if text.isascii() and text.isprintable() or _SETTLED.fullmatch(text):
-            return self.fast.encode_to_numpy(text, allowed_special=self.specials)
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        if not _SETTLED.fullmatch(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        fitting = self.fast if _TWO_SPACES.search(text) else self.single
+        return fitting.encode_to_numpy(text, allowed_special=self.specials)
 
 
 def _bytes_of(token: str) -> bytes:

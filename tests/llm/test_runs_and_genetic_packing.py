@@ -265,7 +265,8 @@ def test_byte_ids_equal_the_tokenizers():
     path = llm.tokenizer_path(llm.BYTE_TOKENIZER)
     encoder, tokenizer = ByteEncoder(path), tokenizers.Tokenizer.from_file(path)
     rng = random.Random(5)
-    letters = [chr(k) for k in range(32, 127)] + list(" \t\n\r\x0b\x85  　") * 3 + list("éßÿαΩпр东京カ한́﻿😀½²ªẞ")
-    for i in range(3000):
-        text = "".join(rng.choices(letters if i % 2 else letters[:130], k=rng.randint(0, 60))) + "<|endoftext|> x" * (i % 50 == 0)
+    letters = [chr(k) for k in range(32, 127)] + list("éßÿÀØɏ \t\n\r") * 6 + list(" \t\n\r\x0b\x85  　") * 3 + list("éßÿαΩпр东京カ한́﻿😀½²ªẞ")
+    texts = ["".join(rng.choices(letters if i % 2 else letters[:155], k=rng.randint(0, 60))) + "<|endoftext|> x" * (i % 50 == 0) for i in range(3000)]
+    texts += [" ".join(rng.choices(["it's", "x\n\ny", "a1b2", "Straße,", "\tq", "don't!!", "l'été", "12.5%", "we'll\nnot"], k=rng.randint(1, 9))) for _ in range(1500)]
+    for text in texts:
         assert encoder.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
