@@ -6,7 +6,7 @@ from changefold.errors import (
     SourceDataError,
     TargetVersionConflictError,
 )
-from changefold.plans.load import LoadParams, LoadResult, result_document, run_load
+from changefold.plans.load import LoadParams, LoadResult, load_records, result_document, run_load
 from changefold.plans.store import TargetStore
 from changefold.session import build_session, configure, scratch_dir
 from changefold.sources.history import append_csv_history, read_csv_history
@@ -26,6 +26,7 @@ __all__ = [
     "append_csv_history",
     "build_session",
     "configure",
+    "load_records",
     "read_csv_history",
     "result_document",
     "run_load",

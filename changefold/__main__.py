@@ -9,7 +9,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from changefold.operators.checksum import state_digest
 from changefold.plans.load import LoadParams, result_document, run_load
 from changefold.plans.store import TargetStore
 from changefold.session import build_session
@@ -85,7 +84,7 @@ def load_and_describe(store: TargetStore, source: str, params: LoadParams, multi
     """The result document of one load."""
     result = run_load(lambda: read_csv_history(store.spark, source, multiline), store, params)
     try:
-        digest = state_digest(store.target(), PRODUCTS).first()["state_checksum"]
+        digest = store.checksum().first()["state_checksum"]
     finally:
         store.forget_tables()
     return result_document(result.as_frame(store.spark), digest, pretty=True).first()[0]

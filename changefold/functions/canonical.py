@@ -71,10 +71,14 @@ def _quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), text, F.lit('"'))
 
 
-def json_line(fields: list[T.StructField]) -> Column:
-    """Compact JSON object of the given columns in the given order, ended by a newline."""
+def json_line(fields: list[T.StructField], values: list[Column] | None = None) -> Column:
+    """Compact JSON object of the given columns in the given order, ended by a newline.
+
+    ``values`` are what to write for the fields, where they are not the columns of those names.
+    """
     parts: list[Column] = []
     for position, field in enumerate(fields):
         opening = "{" if position == 0 else ","
-        parts += [F.lit(f'{opening}"{field.name}":'), json_value(F.col(field.name), field.dataType)]
+        value = values[position] if values else F.col(field.name)
+        parts += [F.lit(f'{opening}"{field.name}":'), json_value(value, field.dataType)]
     return F.concat(*parts, F.lit("}\n"))

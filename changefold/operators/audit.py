@@ -5,7 +5,7 @@ A rule is a SQL condition that holds for a bad row, under the name it is reporte
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from changefold.spec import COUNTERS, FAILED, SUCCESS
 
@@ -14,14 +14,23 @@ Rules = dict[str, str]
 
 def violations(rows: DataFrame, rules: Rules) -> DataFrame:
     """(rule, violations) for every rule, all counted in one pass."""
-    counted = rows.agg(*(F.expr(f"count_if({bad})").alias(name) for name, bad in rules.items()))
+    counted = rows.agg(*rule_counts(rules))
     return counted.unpivot([], list(rules), "rule", "violations")
 
 
+def rule_counts(rules: Rules, among: str = "true") -> list[Column]:
+    """Number of rows that break each rule, as aggregates named like the rules; ``among`` restricts the rows."""
+    return [F.expr(f"count_if(({among}) AND ({bad}))").alias(name) for name, bad in rules.items()]
+
+
+def repeated_keys(rows: DataFrame, *key: str) -> DataFrame:
+    """Keys that occur more than once, and ``n``, how often. Bucketed rows need no exchange for that."""
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def duplicate_keys(rows: DataFrame, *key: str) -> DataFrame:
     """One row: number of keys that occur more than once."""
-    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return repeated.agg(F.count(F.lit(1)).alias("violations")).select(
+    return repeated_keys(rows, *key).agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit("key is unique").alias("rule"), "violations"
     )
 

@@ -19,26 +19,38 @@ def restrict_to_keys(target: DataFrame, winners: DataFrame, table: VersionedTabl
     return target.join(winners.select(*table.key), list(table.key), "left_semi")
 
 
+def held_name(name: str) -> str:
+    """Name of a target column beside the winners' columns."""
+    return f"held_{name}"
+
+
+def met(winners: DataFrame, target: DataFrame, table: VersionedTable, how: str = "left") -> DataFrame:
+    """Winners beside the target rows of their keys, whose columns are renamed, and the ``outcome`` of each.
+
+    With ``how`` full_outer target rows without a winner come too; their outcome is null.
+    """
+    held = target.select(*(F.col(name).alias(held_name(name)) for name in target.columns))
+    on_key = [F.col(k) == F.col(held_name(k)) for k in table.key]
+    return winners.join(held, on_key, how).withColumn(OUTCOME, _outcome(table))
+
+
 def classify(winners: DataFrame, target: DataFrame, table: VersionedTable) -> DataFrame:
     """Winners with their ``outcome``. Each key may be in the target at most once."""
     wanted = restrict_to_keys(target.select(*table.columns), winners, table)
-    held = wanted.select(
-        *(F.col(k).alias(f"held_{k}") for k in table.key),
-        table.version_of().alias("held_version"),
-        table.payload_of().alias("held_payload"),
-    )
-    on_key = [F.col(k) == F.col(f"held_{k}") for k in table.key]
-    joined = winners.join(held, on_key, "left")
-    return joined.select(*winners.columns, _outcome(table).alias(OUTCOME))
+    return met(winners, wanted, table).select(*winners.columns, OUTCOME)
 
 
 def _outcome(table: VersionedTable) -> Column:
-    version, held = table.version_of(), F.col("held_version")
+    def held(names: tuple[str, ...]) -> Column:
+        return F.struct(*(F.col(held_name(name)).alias(name) for name in names))
+
+    version = table.version_of()
     return (
-        F.when(held.isNull(), INSERT)
-        .when(version > held, UPDATE)
-        .when(version < held, STALE)
-        .when(table.payload_of().eqNullSafe(F.col("held_payload")), REPLAY)
+        F.when(F.col(table.key[0]).isNull(), F.lit(None).cast("string"))
+        .when(F.col(held_name(table.key[0])).isNull(), INSERT)
+        .when(version > held(table.version), UPDATE)
+        .when(version < held(table.version), STALE)
+        .when(table.payload_of().eqNullSafe(held(table.payload)), REPLAY)
         .otherwise(CONFLICT)
     )
 

@@ -1,14 +1,16 @@
 """Version history → one newest version per key, with a check for contradictory versions.
 
-Shuffle shape: rows are first collapsed per (key, version), then per key. Both steps aggregate
-on the map side, so a key that owns a third of the history is spread over its versions, a
-version that was delivered a million times is collapsed before it moves, and the second
-exchange carries at most one row per key and task.
+Shuffle shape: rows are first counted per (key, version, payload), a hash aggregate on both sides of the
+exchange, so that nothing is sorted before rows are collapsed, and a version delivered a million times
+is one row per map task before it moves. A key that owns a third of the history is spread over its
+versions. From there two ways lead to the keys: versions and counts alone, without payloads, tell the
+contradictory versions; the newest version is taken per task before the last exchange, which carries
+at most one row per key and task. Both read the first exchange's files, which are written once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from changefold.sources.history import SOURCE_FILE
 from changefold.spec import VersionedTable
@@ -19,33 +21,22 @@ CONFLICT = "conflict"
 FIRST_ERROR = "first_error"
 
 
-def collapse_versions(rows: DataFrame, table: VersionedTable, *more: Column) -> DataFrame:
-    """One row per (key, version): ``copies``, smallest and largest payload.
-
-    The two payloads differ exactly where the version is contradictory.
-    """
-    payload = table.payload_of()
-    return rows.groupBy(*table.key, *table.version).agg(
-        F.count(F.lit(1)).alias(COPIES),
-        F.min(payload).alias("lowest"),
-        F.max(payload).alias("highest"),
-        *more,
-    )
-
-
-def _contradictory() -> Column:
-    return ~F.col("lowest").eqNullSafe(F.col("highest"))
+def exact_repeats(rows: DataFrame, table: VersionedTable, *more: str) -> DataFrame:
+    """Distinct (key, version, payload) with the number of copies each was delivered in."""
+    return rows.groupBy(*table.columns, *more).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def exact_repeats(rows: DataFrame, table: VersionedTable) -> DataFrame:
-    """Distinct (key, version, payload) with the number of copies each was delivered in."""
-    return rows.groupBy(*table.columns).agg(F.count(F.lit(1)).alias(COPIES))
+def contradictory(collapsed: DataFrame, table: VersionedTable) -> DataFrame:
+    """(key, version) pairs that stand with more than one payload among collapsed rows."""
+    versions = collapsed.groupBy(*table.key, *table.version).agg(
+        F.count(F.lit(1)).alias("payloads"), F.sum(COPIES).alias(COPIES)
+    )
+    return versions.where("payloads > 1").select(*table.key, *table.version, COPIES)
 
 
 def source_conflicts(rows: DataFrame, table: VersionedTable) -> DataFrame:
     """(key, version) pairs that carry more than one payload, whether they would win or not."""
-    collapsed = collapse_versions(rows, table).filter(_contradictory())
-    return collapsed.select(*table.key, *table.version, COPIES)
+    return contradictory(exact_repeats(rows, table), table)
 
 
 def newest_per_key(rows: DataFrame, table: VersionedTable) -> DataFrame:
@@ -61,31 +52,38 @@ def fold(validated: DataFrame, table: VersionedTable, error: str | None = None)
     contradictory version of the key or null. With ``error`` named, rows in error give up their
     key and come out as the one row with null keys, whose ``first_error`` is set.
     """
-    more: list[Column] = []
+    extra = [ROWS, CONFLICT]
+    offender, known = [], set(validated.columns)
     if error:
         bad = F.col(error).isNotNull()
-        known = set(validated.columns)
         identity = [c for c in (SOURCE_FILE, *table.key, *table.version) if c in known]
-        offender = F.struct(
-            *(F.col(c).cast("string").alias(c) for c in identity),
-            F.col(error).alias("message"),
-        )
+        named = F.struct(*(F.col(c).cast("string").alias(c) for c in identity), F.col(error).alias("message"))
         validated = validated.select(
-            F.when(bad, offender).alias("offender"),
-            *(F.when(~bad, F.col(c)).alias(c) for c in table.columns),
+            F.when(bad, named).alias(FIRST_ERROR), *(F.when(~bad, F.col(c)).alias(c) for c in table.columns)
         )
-        more = [F.min("offender").alias("offender")]
-
-    versions = collapse_versions(validated, table, *more)
-    newest = F.max(F.struct(table.version_of().alias("v"), F.col("highest").alias("p")))
-    per_key = versions.groupBy(*table.key).agg(
-        newest.alias("newest"),
-        F.sum(COPIES).alias(ROWS),
-        F.min(F.when(_contradictory(), table.version_of())).alias(CONFLICT),
-        *([F.min("offender").alias(FIRST_ERROR)] if error else []),
+        offender = [FIRST_ERROR]
+    collapsed = exact_repeats(validated, table, *offender)
+    sound = collapsed.where(F.col(FIRST_ERROR).isNull()) if error else collapsed
+    newest = F.struct(table.version_of().alias("v"), table.payload_of().alias("p"))
+    version_type = collapsed.select(table.version_of().alias("v")).schema["v"].dataType
+    versions = collapsed.select(
+        *table.key, newest.alias("newest"), F.col(COPIES).alias(ROWS), F.lit(None).cast(version_type).alias(CONFLICT), *offender
+    )
+    clashes = contradictory(sound, table).select(
+        *table.key,
+        F.lit(None).cast(versions.schema["newest"].dataType).alias("newest"),
+        # The copies were counted among the versions.
+        (F.col(COPIES) * 0).alias(ROWS),
+        table.version_of().alias(CONFLICT),
+        *(F.lit(None).cast(versions.schema[name].dataType).alias(name) for name in offender),
+    )
+    per_key = versions.unionByName(clashes).groupBy(*table.key).agg(
+        F.max("newest").alias("newest"),
+        F.sum(ROWS).alias(ROWS),
+        F.min(CONFLICT).alias(CONFLICT),
+        *(F.min(name).alias(name) for name in offender),
     )
-    extra = [ROWS, CONFLICT, *([FIRST_ERROR] if error else [])]
-    return _unpack(per_key, table, *extra)
+    return _unpack(per_key, table, *extra, *offender)
 
 
 def _unpack(per_key: DataFrame, table: VersionedTable, *extra: str) -> DataFrame:

@@ -44,11 +44,17 @@ def late_enough_day(day: str, start: Column) -> Column:
     return F.col(day).isNull() | (F.col(day) >= F.to_date(start))
 
 
-def beyond_future_bound(rows: DataFrame, event_time: str, run_start: Column, skew: timedelta) -> DataFrame:
-    """Rows later than run start plus skew; a row exactly on the bound is fine."""
+def future_bound(run_start: datetime | Column, skew: timedelta) -> datetime | Column:
+    """Latest event time that is fine, the bound itself included."""
     if skew < timedelta(0):
         raise ValueError("allowed_future_skew must be non-negative")
-    return rows.filter(F.col(event_time) > run_start + interval(skew))
+    return run_start + (interval(skew) if isinstance(run_start, Column) else skew)
+
+
+def beyond_future_bound(rows: DataFrame, event_time: str, run_start: datetime | Column, skew: timedelta) -> DataFrame:
+    """Rows later than run start plus skew."""
+    bound = future_bound(run_start, skew)
+    return rows.filter(F.col(event_time) > (bound if isinstance(bound, Column) else F.lit(bound)))
 
 
 def advance(previous: Column, source: Column) -> Column:

@@ -299,6 +299,28 @@ ORACLE_SQL: dict[str, str] = {
     "csv_load_failed": """SELECT 'seed' AS run_id, 'FAILED' AS status, 'SourceDataError' AS error_type,
         CAST(0 AS BIGINT) AS rows_received, CAST(0 AS BIGINT) AS rows_after_deduplication,
         CAST(NULL AS TIMESTAMP) AS resulting_watermark""",
+    "compacted_state": f"WITH {LOADED}, {target_after('load', '2002-01-02')} SELECT * FROM merged",
+    "loaded_records": f"WITH {LOADED}, {target_after('load', '2002-01-02')} SELECT * FROM merged",
+    "carried_checksum": f"""WITH {LOADED}, {target_after('load', '2002-01-02')}, {lines_of('merged')}, {DIGESTS}
+        SELECT n_rows, state_checksum FROM root""",
+    "snapshot_diff": f"""WITH {LOADED}, {target_after('load', '2002-01-02')},
+        gone AS (SELECT {_BUSINESS} FROM seed EXCEPT ALL SELECT {_BUSINESS} FROM merged),
+        come AS (SELECT {_BUSINESS} FROM merged EXCEPT ALL SELECT {_BUSINESS} FROM seed)
+        SELECT *, 'left' AS only_in, CAST(1 AS BIGINT) AS n_rows FROM gone
+        UNION ALL SELECT *, 'right', CAST(1 AS BIGINT) FROM come""",
+    "quarantined_rows": f"""SELECT o_orderkey, {RAW_ERROR} AS "rule", 'seed' AS run FROM orders WHERE {RAW_ERROR} IS NOT NULL""",
+    "quarantining_load": f"""SELECT CAST(o_orderkey AS VARCHAR) AS product_id, o_orderdate AS updated_at,
+        o_custkey AS source_sequence, {RAW_NAME} AS name, o_orderpriority AS category, {RAW_PRICE} AS price,
+        o_orderstatus <> 'F' AS is_active, TIMESTAMP '2002-01-01' AS loaded_at, 'seed' AS last_run_id
+        FROM orders WHERE {RAW_ERROR} IS NULL""",
+    "fold_window": """WITH versions AS (SELECT l_orderkey, l_linenumber, l_shipdate, count(DISTINCT (l_partkey, l_quantity)) AS payloads
+            FROM lineitem GROUP BY ALL),
+        clashes AS (SELECT l_orderkey, l_linenumber, min(l_shipdate) AS conflict_shipdate FROM versions WHERE payloads > 1 GROUP BY ALL),
+        seen AS (SELECT l_orderkey, l_linenumber, count(*) AS rows_seen FROM lineitem GROUP BY ALL),
+        newest AS (SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_quantity FROM lineitem QUALIFY row_number() OVER (
+            PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_quantity DESC) = 1)
+        SELECT newest.*, rows_seen, conflict_shipdate FROM newest JOIN seen USING (l_orderkey, l_linenumber)
+        LEFT JOIN clashes USING (l_orderkey, l_linenumber)""",
     "rebucket_state": f"""WITH {LOADED} SELECT {_BUSINESS}, TIMESTAMP '2002-01-01' AS loaded_at,
         'seed' AS last_run_id FROM seed""",
     "run_id_reuse": f"WITH {LOADED} {_SEED_RUN}",

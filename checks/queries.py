@@ -17,6 +17,7 @@ from changefold import (
     TargetVersionConflictError,
     append_csv_history,
     configure,
+    load_records,
     read_csv_history,
     result_document,
     run_load,
@@ -27,7 +28,7 @@ from changefold.operators import audit, checksum, window
 from changefold.operators.classify import CONFLICT, OUTCOME, STALE, classify, outcome_counters, restrict_to_keys
 from changefold.operators.compare import business_state, state_diff
 from changefold.operators.contract import ERROR, clean, gate, validate
-from changefold.operators.fold import ROWS, exact_repeats, fold, newest_per_key, source_conflicts
+from changefold.operators.fold import CONFLICT as CONTRADICTORY, ROWS, exact_repeats, fold, newest_per_key, source_conflicts
 from changefold.operators.merge import changes, untouched
 from changefold.plans.load import AFTER_TARGET_WRITES
 from changefold.sources.history import SOURCE_FILE, with_fragment
@@ -122,7 +123,7 @@ def window_filter_partitioned(spark, sf_dir):
 
 @query
 def future_gate(spark, sf_dir):
-    run_start = F.lit(datetime(2024, 1, 25, tzinfo=UTC))
+    run_start = datetime(2024, 1, 25, tzinfo=UTC)
     return window.beyond_future_bound(feeds.events(spark, sf_dir), "ts", run_start, timedelta(minutes=5))
 
 
@@ -237,6 +238,14 @@ def latest_by_key(spark, sf_dir):
     return fold(feeds.events_with_repeats(spark, sf_dir), EVENTS).select(*EVENTS.columns, ROWS)
 
 
+@query
+def fold_window(spark, sf_dir):
+    """All a load needs to know about its window: newest version, rows seen, smallest contradictory version."""
+    lines = feeds.read(spark, sf_dir, "lineitem").select(*LINES.columns)
+    conflict = F.col(f"{CONTRADICTORY}.l_shipdate").alias("conflict_shipdate")
+    return fold(lines, LINES).select(*LINES.columns, ROWS, conflict)
+
+
 @query
 def latest_tiebreak(spark, sf_dir):
     lines = feeds.read(spark, sf_dir, "lineitem").select(*PARTS.columns)
@@ -358,10 +367,10 @@ def state_checksum(spark, sf_dir):
 # -- whole loads -------------------------------------------------------------------------------
 
 
-def fixed_load(store: TargetStore, history: DataFrame, run_id: str, **more) -> LoadResult:
+def fixed_load(store: TargetStore, history: DataFrame, run_id: str, quarantine: bool = False, **more) -> LoadResult:
     """A load whose run id and times are fixed; each look at the clock is a minute later."""
     times = (RUN_STARTS[run_id] + timedelta(minutes=minute) for minute in range(60))
-    params = LoadParams("orders", BEGINNING, OVERLAP)
+    params = LoadParams("orders", BEGINNING, OVERLAP, quarantine=quarantine)
     return run_load(history, store, params, run_id=run_id, clock=lambda: next(times), **more)
 
 
@@ -464,6 +473,58 @@ def csv_load_failed(spark, sf_dir):
     return store.runs().select("run_id", "status", "error_type", "rows_received", "rows_after_deduplication", "resulting_watermark")
 
 
+@query
+def compacted_state(spark, sf_dir):
+    """The target after a load, its change files merged into the buckets."""
+    store, history = seeded_store(spark, sf_dir)
+    fixed_load(store, history, "load")
+    if store.compact().changes:
+        raise AssertionError("no change files should be left")
+    return store.target()
+
+
+@query
+def carried_checksum(spark, sf_dir):
+    """The state's checksum after a load, out of the lines that the loads replaced and wrote."""
+    store, history = seeded_store(spark, sf_dir)
+    fixed_load(store, history, "load")
+    return store.checksum()
+
+
+@query
+def snapshot_diff(spark, sf_dir):
+    """What a load changed: rows of the buckets whose digests differ between the two snapshots."""
+    store, history = seeded_store(spark, sf_dir)
+    fixed_load(store, history, "load")
+    return store.differences(store.snapshot(1), store.snapshot(2))
+
+
+@query
+def loaded_records(spark, sf_dir):
+    """The newest order of every customer, handed over without window, state and audit."""
+    store, history = seeded_store(spark, sf_dir)
+    load_records(newest_per_key(history, PRODUCTS), store, run_id="load", loaded_at=RUN_STARTS["load"])
+    return store.target()
+
+
+def _quarantining_store(spark, sf_dir) -> TargetStore:
+    """All text rows, loaded with those that break the contract put aside."""
+    store = TargetStore(spark, scratch_dir(spark, "store"), PRODUCTS, n_buckets=8)
+    fixed_load(store, feeds.raw_products(spark, sf_dir), "seed", quarantine=True)
+    return store
+
+
+@query
+def quarantined_rows(spark, sf_dir):
+    key = F.get_json_object("record", "$.o_orderkey").cast("bigint").alias("o_orderkey")
+    return _quarantining_store(spark, sf_dir).quarantined().select(key, "rule", "run")
+
+
+@query
+def quarantining_load(spark, sf_dir):
+    return _quarantining_store(spark, sf_dir).target()
+
+
 @query
 def rebucket_state(spark, sf_dir):
     """The seeded target after its buckets were split in two."""
@@ -484,7 +545,7 @@ def run_id_reuse(spark, sf_dir):
 def result_document_(spark, sf_dir):
     store, history = seeded_store(spark, sf_dir)
     result = fixed_load(store, history, "load")
-    digest = checksum.state_digest(store.target(), PRODUCTS).first()["state_checksum"]
+    digest = store.checksum().first()["state_checksum"]
     return result_document(result.as_frame(spark), digest)
 
 
