@@ -49,9 +49,10 @@ RUN_ID = re.compile(r"[A-Za-z0-9_-][A-Za-z0-9._-]{0,127}")
 #: Size of a bucket to aim at, and the fewest buckets a store is given.
 BUCKET_BYTES = 512 * 1024 * 1024
 MIN_BUCKETS = 8
-#: A bucket is due to be written anew at so many change files, or at that share of its base.
+#: A bucket is due to be written anew at so many change files, or when they have that share of its base and that size.
 MOST_CHANGES = 8
 CHANGED_SHARE = 0.5
+CHANGED_BYTES = 8 * 1024 * 1024
 #: Runs whose lines may be left to be added to the digest by whoever asks for it.
 MOST_PENDING = 8
 #: Winners up to this size per bucket are held in memory while the target streams past them.
@@ -148,7 +149,8 @@ class Snapshot:
     def due(self, bucket: int) -> bool:
         """Whether a bucket is better written anew than changed once more."""
         base, changed = self.sizes.get(bucket, (0, 0))
-        return bucket not in self.buckets or len(self.changes.get(bucket, [])) >= MOST_CHANGES or changed > CHANGED_SHARE * base
+        many = len(self.changes.get(bucket, [])) >= MOST_CHANGES
+        return bucket not in self.buckets or many or changed > max(CHANGED_BYTES, CHANGED_SHARE * base)
 
 
 class TargetStore:

@@ -1,0 +1,315 @@
+"""Change files, compaction, the digest that loads carry on, unique keys, quarantine, records without a window."""
+
+import json
+import threading
+from datetime import UTC, datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from changefold import PRODUCTS, LoadParams, PublishConflictError, TargetStore, TargetVersionConflictError, load_records, run_load
+from changefold.operators.checksum import state_digest
+from changefold.operators.classify import met
+from changefold.operators.contract import validate
+from changefold.operators.merge import written
+from changefold.plans import store as stores
+from changefold.plans.commit import PutCommit, commit_for
+from tests.products import counters, fragment
+
+START = datetime(2026, 1, 1, tzinfo=UTC)
+PARAMS = LoadParams("products", START)
+KEYS = 1000
+
+
+def history_rows(n, hour, version, price="10.00"):
+    return [(f"key{i:04}", f"{hour:02}:00", version, f"Item {i}", "Things", price, "true") for i in range(n)]
+
+
+def typed(spark, rows):
+    return validate(fragment(spark, rows), PRODUCTS).drop("error").select(*PRODUCTS.columns)
+
+
+def load(store, rows, params=PARAMS, **more):
+    return run_load(fragment(store.spark, rows), store, params, **more)
+
+
+def full_checksum(store, snapshot=None):
+    return tuple(state_digest(store.target(snapshot), PRODUCTS).first())
+
+
+def data_bytes(store, run_id):
+    return sum(file.stat().st_size for file in Path(store.root, "data", f"run={run_id}").rglob("*.parquet"))
+
+
+def plan_of(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return TargetStore(spark, str(tmp_path / "store"), PRODUCTS, n_buckets=4)
+
+
+@pytest.fixture(scope="module")
+def filled(spark, tmp_path_factory):
+    """A thousand rows, then a change to ten of them and one more row."""
+    store = TargetStore(spark, str(tmp_path_factory.mktemp("filled")), PRODUCTS, n_buckets=4)
+    load(store, history_rows(KEYS, 6, 1), run_id="first")
+    few = history_rows(10, 7, 2, "11.00") + [("new", "07:30", 1, "New", "Things", "1.00", "true")]
+    assert counters(load(store, few, run_id="second")) == (11, 11, 1, 10, 0)
+    return store
+
+
+def test_a_small_change_writes_little_and_reads_without_an_exchange(spark, filled):
+    snapshot = filled.snapshot()
+    assert set(snapshot.buckets.values()) == {"first"}
+    assert {run for runs in snapshot.changes.values() for run in runs} == {"second"}
+    per_row = data_bytes(filled, "first") / KEYS
+    # Files have a footer of their own, whatever they hold.
+    footers = len(snapshot.changes) * 4000
+    assert data_bytes(filled, "second") <= 11 * per_row + footers
+    assert [sum(sizes[i] for sizes in snapshot.sizes.values()) for i in (0, 1)] == [data_bytes(filled, r) for r in ("first", "second")]
+    for threshold in ("10MB", "-1"):
+        held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            plan = plan_of(filled.target())
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+        assert " Exchange" not in plan and "LeftAnti" in plan and "Sort" not in plan
+    rows = {r.product_id: r for r in filled.target().collect()}
+    assert len(rows) == KEYS + 1
+    assert {k for k, r in rows.items() if r.last_run_id == "second"} == {*(f"key{i:04}" for i in range(10)), "new"}
+    assert all(str(r.price) == ("11.00" if r.last_run_id == "second" and k != "new" else "1.00" if k == "new" else "10.00") for k, r in rows.items())
+    before = filled.target(filled.snapshot(1))
+    assert before.count() == KEYS and before.where("price <> 10").isEmpty()
+
+
+def test_one_join_from_staged_winners_to_written_rows_without_an_exchange(spark, filled):
+    """With broadcasts off the plan of classifying and writing moves neither side, also where a bucket is written whole."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = filled.snapshot()
+        winners, _ = filled.stage(filled.target(base), "probe", "winners", base.n_buckets)
+        for how, kept in (("left", F.lit(False)), ("full_outer", F.lit(True))):
+            joined = met(winners.select(*PRODUCTS.columns).hint("shuffle_hash"), filled.target(base), PRODUCTS, how)
+            plan = plan_of(written(joined, PRODUCTS, F.lit(START), F.lit("probe"), kept))
+            assert " Exchange" not in plan and "SortMergeJoin" not in plan
+            assert plan.count("ShuffledHashJoin") == 2  # with the winners, and of a bucket's layers
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+        filled.discard_staging("probe")
+
+
+def test_checksum_of_every_snapshot_without_reading_the_target(filled):
+    for number in (1, 2):
+        snapshot = filled.snapshot(number)
+        assert tuple(filled.checksum(snapshot).first()) == full_checksum(filled, snapshot)
+    # The base holds a thousand rows, and only the lines of runs since the last digest are read.
+    carried = TargetStore(filled.spark, filled.root, PRODUCTS).checksum(filled.snapshot())
+    files = carried.inputFiles()
+    assert files and all("/digests/" in f or "/data/run=" in f for f in files)
+
+
+def test_differences_read_differing_buckets_only(filled):
+    left, right = filled.snapshot(1), filled.snapshot(2)
+    buckets = filled.differing_buckets(left, right)
+    assert set(buckets) == set(right.changes)
+    found = filled.differences(left, right).collect()
+    assert sorted({r.product_id for r in found if r.only_in == "left"}) == [f"key{i:04}" for i in range(10)]
+    assert {r.product_id for r in found if r.only_in == "right"} == {*(f"key{i:04}" for i in range(10)), "new"}
+    assert filled.differing_buckets(right, right) == [] and filled.differences(right, right).isEmpty()
+
+
+def test_equal_buckets_are_not_read(store):
+    load(store, history_rows(200, 6, 1), run_id="a")
+    load(store, [("key0007", "07:00", 2, "Changed", "Things", "3.00", "true")], run_id="b")
+    left, right = store.snapshot(1), store.snapshot(2)
+    [bucket] = store.differing_buckets(left, right)
+    rows = store.differences(left, right)
+    assert sorted((r.only_in, r.name) for r in rows.collect()) == [("left", "Item 7"), ("right", "Changed")]
+    assert {Path(f).parent.name for f in rows.inputFiles()} == {f"bucket={bucket}"}
+    store.compact()
+    assert store.differing_buckets(right, store.snapshot()) == []
+
+
+def test_compaction_keeps_rows_stamps_and_checksum(spark, store):
+    load(store, history_rows(100, 6, 1), run_id="a")
+    for i in range(3):
+        load(store, history_rows(5 + i, 7 + i, 2 + i, f"{i}.00"), run_id=f"change{i}")
+    before, checksum = sorted(store.target().collect()), tuple(store.checksum().first())
+    assert max(len(runs) for runs in store.snapshot().changes.values()) == 3
+    snapshot = store.compact()
+    assert snapshot.changes == {} and not snapshot.pending and snapshot.digest.startswith("compact-")
+    assert sorted(store.target().collect()) == before
+    assert tuple(store.checksum().first()) == checksum == full_checksum(store)
+    assert store.compact().number == snapshot.number  # nothing to do
+    assert counters(load(store, history_rows(100, 6, 1))) == (100, 100, 0, 0, 100)
+    assert sorted(store.target().collect()) == before
+    gone = store.vacuum(keep=1, older_than=timedelta(0))
+    assert {"change0", "change1", "change2"} <= set(gone)
+    assert sorted(store.target().collect()) == before and tuple(store.checksum().first()) == checksum
+
+
+def test_buckets_that_are_due_are_written_whole(store, monkeypatch):
+    """After many changes, or large ones, the next load that touches a bucket merges it; others stay."""
+    monkeypatch.setattr(stores, "MOST_CHANGES", 2)
+    monkeypatch.setattr(stores, "MOST_PENDING", 3)
+    load(store, history_rows(60, 6, 1), run_id="a")
+    for i in range(4):
+        load(store, [("key0003", f"{7 + i:02}:00", 2 + i, "Changed", "Things", f"{i}.00", "true")], run_id=f"change{i}")
+        assert tuple(store.checksum().first()) == full_checksum(store)
+        assert store.target().count() == 60
+    snapshot = store.snapshot()
+    [bucket] = [b for b, run in snapshot.buckets.items() if run != "a"]
+    assert (snapshot.buckets[bucket], snapshot.changes) == ("change2", {bucket: ["change3"]})
+    writers = {r.product_id: r.last_run_id for r in store.target().collect()}
+    assert writers.pop("key0003") == "change3" and set(writers.values()) == {"a"}
+    # A bucket that is due is merged also when the load changes nothing in it, and its rows keep their stamps.
+    monkeypatch.setattr(stores, "MOST_CHANGES", 1)
+    replay = load(store, [("key0003", "10:00", 5, "Changed", "Things", "3.00", "true")], run_id="replay")
+    assert counters(replay) == (1, 1, 0, 0, 1)
+    assert {r.product_id: r.last_run_id for r in store.target().collect()} == {**writers, "key0003": "change3"}
+
+
+def test_a_row_duplicated_by_hand_stops_the_next_load(spark, store):
+    load(store, history_rows(20, 6, 1), run_id="a")
+    before = store.snapshot()
+    file = next(Path(store.root, "data", "run=a").rglob("*.parquet"))
+    file.with_name(file.name.replace("part-00", "part-99")).write_bytes(file.read_bytes())
+    doubled = spark.read.parquet(str(file)).first()["product_id"]
+    spark.catalog.clearCache()
+    for rows, message in (
+        ([(doubled, "09:00", 9, "Changed", "Things", "1.00", "true")], f"2 rows of one key: product_id='{doubled}'"),
+        ([(doubled, "05:00", 1, "Stale", "Things", "1.00", "true")], "outcomes add up"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            load(store, rows)
+    assert store.snapshot() == before
+
+
+def test_records_without_window_state_and_audit(spark, store):
+    """First inserts, then an update, a stale record and a replay; a conflict or a repeated key leaves all as it was."""
+    one = typed(spark, history_rows(6, 6, 1))
+    assert load_records(one, store, run_id="one", loaded_at=START) == {"rows_inserted": 6, "rows_updated": 0, "rows_ignored": 0}
+    mixed = [("key0000", "07:00", 1, "Newer", "Things", "2.00", "true"), ("key0001", "05:00", 9, "Stale", "Things", "2.00", "true"), history_rows(3, 6, 1)[2]]
+    later = START + timedelta(hours=1)
+    found = load_records(typed(spark, mixed), store, run_id="two", loaded_at=later)
+    assert found == {"rows_inserted": 0, "rows_updated": 1, "rows_ignored": 2}
+    rows = {r.product_id: (r.name, r.last_run_id, r.loaded_at.astimezone(UTC)) for r in store.target().collect()}
+    assert rows["key0000"] == ("Newer", "two", later) and rows["key0001"] == ("Item 1", "one", START)
+    assert store.runs().isEmpty() and store.state().isEmpty()
+    assert tuple(store.checksum().first()) == full_checksum(store)
+    before = store.snapshot()
+    conflicting = [("fresh", "08:00", 1, "Fresh", "Things", "2.00", "true"), ("key0002", "06:00", 1, "Other", "Things", "10.00", "true")]
+    with pytest.raises(TargetVersionConflictError, match="key0002"):
+        load_records(typed(spark, conflicting), store, run_id="three", loaded_at=later)
+    twice = [("twin", "08:00", 1, "A", "Things", "2.00", "true"), ("twin", "08:00", 2, "B", "Things", "2.00", "true")]
+    with pytest.raises(ValueError, match="one key: product_id='twin'"):
+        load_records(typed(spark, twice), store, run_id="four", loaded_at=later)
+    with pytest.raises(ValueError, match="used before"):
+        load_records(one, store, run_id="one", loaded_at=later)
+    with pytest.raises(ValueError, match="timezone-aware"):
+        load_records(one, store, run_id="five", loaded_at=datetime(2026, 1, 1))
+    assert store.snapshot() == before
+    assert load_records(one.limit(0), store, run_id="six", loaded_at=later) == {"rows_inserted": 0, "rows_updated": 0, "rows_ignored": 0}
+
+
+def test_quarantine_is_published_or_dropped_with_the_run(store):
+    good = history_rows(3, 6, 1)
+    bad = [("", "06:10", 1, "No key", "Things", "1.00", "true"), ("far", "2099-01-01T00:00:00Z", 1, "Far", "Things", "1.00", "true"), ("price", "06:20", 1, None, "Things", "x", "true")]
+    keeping = LoadParams("products", START, quarantine=True)
+    assert store.quarantined().isEmpty()
+    result = load(store, good + bad, keeping, run_id="kept")
+    assert counters(result) == (3, 3, 3, 0, 0) and result.run.resulting_watermark.hour == 6
+    rows = store.quarantined().collect()
+    found = {json.loads(r.record)["product_id"]: (r.rule, r.run, json.loads(r.record)["name"]) for r in rows}
+    assert found[""] == ("product_id must not be blank", "kept", "No key")
+    assert "future skew" in found["far"][0] and "price" in found["price"][0]
+    clash = [*bad, ("key0000", "06:00", 1, "Other", "Things", "10.00", "true")]
+    with pytest.raises(TargetVersionConflictError):
+        load(store, clash, keeping, run_id="failed")
+    assert store.quarantined().count() == 3 and not Path(store.root, "quarantine", "run=failed").exists()
+    assert counters(load(store, good, keeping)) == (3, 3, 0, 0, 3)
+
+
+# -- committing ----------------------------------------------------------------------------
+
+
+class FakeFiles:
+    """A store of objects: a put shows when it is closed, renaming is copy and delete, and only a conditional put is safe."""
+
+    def __init__(self, scheme="objects", conditional=True):
+        self.scheme, self.conditional = scheme, conditional
+        self.objects, self.lock, self.barrier = {}, threading.Lock(), threading.Barrier(2)
+
+    def getScheme(self):
+        return self.scheme
+
+    def hasPathCapability(self, path, name):
+        return self.conditional
+
+    def createFile(self, path):
+        return FakePut(self, path)
+
+
+class FakePut:
+    def __init__(self, files, path):
+        self.files, self.path, self.only_if_absent, self.body = files, path, False, b""
+
+    def overwrite(self, wanted):
+        return self
+
+    def recursive(self):
+        return self
+
+    def must(self, name, value):
+        self.only_if_absent = value
+        return self
+
+    def build(self):
+        self.files.barrier.wait(5)
+        return self
+
+    def write(self, body):
+        self.body += bytes(body)
+
+    def close(self):
+        with self.files.lock:
+            if self.only_if_absent and self.path in self.files.objects:
+                raise OSError("PreconditionFailed: 412")
+            self.files.objects[self.path] = self.body
+
+
+def test_one_of_two_writers_wins_without_an_atomic_rename(spark):
+    files = FakeFiles()
+    commit = commit_for(spark, "objects://bucket/store", lambda path: (files, path))
+    assert isinstance(commit, PutCommit)
+    outcomes = {}
+
+    def writer(name):
+        try:
+            commit.create("objects://bucket/store/manifests/1.json", name)
+            outcomes[name] = "won"
+        except PublishConflictError:
+            outcomes[name] = "refused"
+
+    threads = [threading.Thread(target=writer, args=(name,)) for name in ("a", "b")]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(outcomes.values()) == ["refused", "won"]
+    winner = next(name for name, outcome in outcomes.items() if outcome == "won")
+    assert files.objects == {"objects://bucket/store/manifests/1.json": winner.encode()}
+
+
+def test_file_systems_that_can_do_neither_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="ftp neither renames"):
+        commit_for(spark, "ftp://x", lambda path: (FakeFiles("ftp", conditional=False), path))
+    store = TargetStore(spark, str(tmp_path), PRODUCTS)
+    store.claim("once")
+    with pytest.raises(ValueError, match="used before"):
+        store.claim("once")
