@@ -1,105 +1,49 @@
 """Reading and growing an accumulated change history.
 
-CSV by the rules of spreadsheets and of Python's reader: cells are parted by commas, rows by CR, LF or
-both; a cell that begins with a quote ends with one, with quotes inside doubled, and may hold commas;
-a quote elsewhere is an ordinary character. Rows without any character are passed over, a row of
-blanks is a row. Cells that a short row lacks are null, an empty cell is the empty text, cells beyond
-the header are ignored. A byte order mark is passed over, bad UTF-8 becomes U+FFFD.
+CSV is read by Spark's own reader, which streams files of any size: quotes inside a quoted cell are doubled,
+cells beyond the header are ignored, rows without any character are passed over. The caller says whether
+cells may hold line breaks (``multiline``, one task a file) or every line is a row (files are split).
+
+An empty cell is the empty text; cells that a short row lacks are null. The reader gives null for both and
+marks rows of an odd number of cells, so that in such a row empty cells are null as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Column that names the file a CSV row came from; error reports use it.
 SOURCE_FILE = "source_file"
 
-# Every cell is quoted and kept as it is; by default the writer would trim it.
-_WRITE_CSV = {
-    "header": True,
-    "quote": '"',
-    "escape": '"',
-    "encoding": "UTF-8",
-    "quoteAll": True,
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-}
-# Possessive throughout, so that no cell is too long. A quote that is never closed takes the rest.
-_QUOTED = r'"(?:[^"]++|"")*+'
-_CELL = rf'(?:{_QUOTED}(?:"[^,\r\n]*+|\z)|[^,"\r\n][^,\r\n]*+)?+'
-_ROW = rf"{_CELL}(?:,{_CELL})*+"
-
-
-def _cells(row: Column) -> Column:
-    """Cells of one row's text."""
-    raw = F.regexp_extract_all(F.concat(F.lit(","), row), F.lit(rf"\G,({_CELL})"), F.lit(1))
-
-    def unquoted(cell: Column) -> Column:
-        body = F.substring(F.regexp_extract(cell, f"^({_QUOTED})", 1), F.lit(2), F.length(cell))
-        rest = F.regexp_extract(cell, f'(?s)^{_QUOTED}"(.*)$', 1)
-        return F.when(cell.startswith('"'), F.concat(F.replace(body, F.lit('""'), F.lit('"')), rest)).otherwise(cell)
-
-    return F.transform(raw, unquoted)
-
-
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the history, read from its first file; none if that is empty."""
-    first = spark.read.text(path).where("value <> ''").select(_cells(F.make_valid_utf8(F.col("value"))).alias("cells")).first()
-    return first["cells"] if first else []
-
-
-def _without_header(header: list[str]):
-    """Drops each file's first row, which must be the header. Rows come by file and split, in order."""
+# Every cell is kept as it is; by default both the reader and the writer would change some.
+_CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current = None
-        for batch in batches:
-            files, starts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keep = [True] * batch.num_rows
-            for i, place in enumerate(zip(files, starts, strict=True)):
-                if place != current:
-                    current = place
-                    if place[1] == 0:
-                        keep[i] = False
-                        if batch.column(2)[i].as_py() != header:
-                            raise ValueError(f"the header of {place[0]} differs from {header}")
-            yield pa.RecordBatch.from_arrays([pc.filter(batch.column(i), pa.array(keep)) for i in (0, 2)], [SOURCE_FILE, "cells"])
 
-    return run
+def csv_header(spark: SparkSession, path: str, multiline: bool = True) -> list[str]:
+    """Column names of the history, as the reader takes them from its first file; none if that is empty."""
+    return spark.read.options(**_CSV, multiLine=multiline).csv(path).columns
 
 
 def read_csv_history(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """All CSV files below ``path`` as text columns named by their header, which all must share.
 
-    With ``multiline`` cells may hold line breaks; a file then is one row of one task. Without it a
-    line is a row, whatever quotes it holds, and files are split among tasks. For files without
-    line breaks in cells both give the same rows.
+    With ``multiline`` cells may hold line breaks, and a file is read by one task. Without it a line is a row,
+    whatever quotes it holds, and files are split among tasks. For files without line breaks in
+    cells both give the same rows.
     """
-    names = csv_header(spark, path)
+    names = csv_header(spark, path, multiline)
     if not names:
         return spark.createDataFrame([], T.StructType())
-    if multiline:
-        file = F.col("_metadata.file_path").alias(SOURCE_FILE)
-        files = spark.read.text(path, wholetext=True).select(file, F.ltrim(F.make_valid_utf8(F.col("value")), F.lit("\ufeff")).alias("content"))
-        rows = F.filter(F.regexp_extract_all("content", F.lit(_ROW), F.lit(0)), lambda row: row != "")
-        found = files.select(SOURCE_FILE, F.posexplode(rows).alias("number", "row")).select(SOURCE_FILE, "number", _cells(F.col("row")).alias("cells"))
-        wrong = F.concat(F.lit("the header of "), F.col(SOURCE_FILE), F.lit(f" differs from {names}"))
-        header = F.col("cells") == F.array(*map(F.lit, names))
-        kept = F.when(F.col("number") > 0, True).when(header, False).otherwise(F.raise_error(wrong).cast("boolean"))
-        found = found.where(kept)
-    else:
-        lines = spark.read.text(path).where("value <> ''")
-        place = [F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_block_start").alias("start")]
-        cells = lines.select(*place, _cells(F.make_valid_utf8(F.col("value"))).alias("cells"))
-        cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))  # executors may lack this package
-        found = cells.mapInArrow(_without_header(names), f"{SOURCE_FILE} string, cells array<string>")
-    return found.select(*(F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names)), SOURCE_FILE)
+    odd = "_odd"
+    while odd in names:
+        odd += "_"
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, odd]])
+    # Checked against the schema, every file's header has to be the first one's.
+    reader = spark.read.schema(schema).options(**_CSV, multiLine=multiline, enforceSchema=False, columnNameOfCorruptRecord=odd)
+    rows = reader.csv(path)
+    cells = (F.when(F.col(odd).isNull(), F.coalesce(f"`{name}`", F.lit(""))).otherwise(F.col(f"`{name}`")).alias(name) for name in names)
+    return rows.select(*cells, F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def append_csv_history(fragment: DataFrame, path: str) -> None:
@@ -113,7 +57,7 @@ def append_csv_history(fragment: DataFrame, path: str) -> None:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         names = []
-    fragment.select(*(names or fragment.columns)).write.mode("append").options(**_WRITE_CSV).csv(path)
+    fragment.select(*(names or fragment.columns)).write.mode("append").options(**_CSV, quoteAll=True).csv(path)
 
 
 def with_fragment(history: DataFrame, fragment: DataFrame) -> DataFrame:
