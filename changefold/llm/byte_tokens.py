@@ -29,7 +29,7 @@ class ByteEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
-        ranks = {_bytes_of(token): number for token, number in model["vocab"].items()}
+        ranks = {bytes_of(token): number for token, number in model["vocab"].items()}
         merged = [model["vocab"]["".join(pair if isinstance(pair, list) else pair.split(" "))] for pair in model["merges"]]
         if merged != sorted(merged) or len(ranks) != len(merged) + 256:
             raise ValueError("the tokenizer's merges are not in order of their ids")
@@ -46,7 +46,8 @@ class ByteEncoder:
         return fitting.encode_to_numpy(text, allowed_special=self.specials)
 
 
-def _bytes_of(token: str) -> bytes:
+def bytes_of(token: str) -> bytes:
+    """Bytes that a token of a byte-level vocabulary stands for."""
     return bytes(_BYTE_OF[char] for char in token)
 
 

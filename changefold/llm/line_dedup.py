@@ -1,9 +1,9 @@
 """Repeated lines: a line goes if an equal or nearly equal line stands earlier, in this or another document.
 
 Lines are equal by their characters, nearly equal if one edit makes their words equal: one word
-changed, left out or put in. The second counts for lines of at least ``min_words`` words. Earlier is
-by doc_id, then by a hash of the text, which tells rows of one doc_id apart, then line number. Blank
-lines always stay.
+changed, left out or put in, where the longer of the two has at least ``min_words`` words, so that an
+edit is at most a fifth of it. Earlier is by doc_id, then by a hash of the text, which tells rows of one
+doc_id apart, then line number; the three are one number, the line's place. Blank lines always stay.
 
 Deletion neighbourhood: from each distinct line every variant with one word left out is named by a
 hash. Lines of equal length that share the variant and its place differ in that word only; a line
@@ -23,11 +23,15 @@ their own; words are what stands between single white space characters.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from changefold.llm.common import let, scan, staged
 
-MIN_WORDS = 8
+#: Fewest words of the longer of two near lines: one edit then leaves a similarity of 0.8 or more.
+MIN_WORDS = 5
+#: Numbers of documents, and lines of one text, that fit one 64-bit place.
+ROWS, LINES = 1 << 38, 1 << 24
+HALVES = ("first_half", "last_half", "first_less", "last_less")
 
 
 def lines_of(text: str | Column) -> Column:
@@ -38,41 +42,70 @@ def words_of(line: str) -> Column:
     return F.split(F.translate(F.col(line), "\t\x0b\f\r", "    "), " ", -1)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no and line of every line that is not blank, with two hashes of it."""
-    row = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")]
-    lines = docs.select(*row, F.posexplode(lines_of("text")).alias("line_no", "line"))
-    lines = lines.where(F.trim(F.translate("line", "\t\x0b\f\r", "    ")) != "")
-    return lines.select("doc_id", "text_hash", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
-
-
-def _half_names(words: Column, n: Column) -> Column:
-    """Names of a line's halves: first and last, for the line and for the line less one word."""
-    join = lambda part: F.concat_ws(" ", part)
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that no input column has, whatever the session's case rules."""
+    taken = {column.lower() for column in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def with_row(docs: DataFrame, row: str) -> DataFrame:
+    """``docs`` and a number of every document, in the order in which lines are earlier.
+
+    Where the ids are small numbers that no two rows share, they are the numbers. Otherwise rows are
+    numbered by doc_id (null first) and text hash, so that only copies of one document share a number.
+    """
+    doc_id = F.col("doc_id").cast("long")
+    told = docs.select(doc_id.alias("doc_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most")
+    ).first()
+    if told["n"] == told["ids"] and (told["n"] == 0 or (told["least"] >= 0 and told["most"] < ROWS)):
+        return docs.withColumn(row, doc_id)
+    key = [doc_id.alias("of_id"), F.xxhash64("text").alias("of_text")]
+    order = [F.col("of_id").asc_nulls_first(), F.col("of_text")]
+    ranged = docs.select(*key).distinct().repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    ranged = staged(ranged, "lines-rows")
+    counts = sorted((r["part"], r["count"]) for r in ranged.groupBy("part").count().collect())
+    before = {part: sum(n for earlier, n in counts if earlier < part) for part, _ in counts}
+    start = F.element_at(F.create_map(*(F.lit(x).cast("long") for pair in before.items() for x in pair)), F.col("part").cast("long"))
+    numbers = ranged.withColumn("number", start + F.row_number().over(W.partitionBy("part").orderBy(*order)) - 1).alias("r")
+    same = doc_id.eqNullSafe(F.col("r.of_id")) & (F.xxhash64("text") == F.col("r.of_text"))
+    return docs.join(numbers, same).select(*docs.columns, F.col("r.number").alias(row))
+
+
+def _half_names(line: Column, n: Column, min_words: int) -> list[Column]:
+    """Names of a line's halves: first and last, for the line and for the line less one word; null for too short lines."""
     names = []
-    for less in (0, 1):
+    for less, least in ((0, min_words - 1), (1, min_words)):
         length = n - less
         half = F.floor(length / 2).cast("int")
-        names += [
-            F.xxhash64(F.lit(0), length, join(F.slice(words, F.lit(1), half))),
-            F.xxhash64(F.lit(1), length, join(F.slice(words, n - half + 1, half))),
-        ]
-    return F.array(*names)
+        ends = ((end, F.call_function("substring_index", line, F.lit(" "), side)) for end, side in ((0, half), (1, -half)))
+        names += [F.when(n >= least, F.xxhash64(F.lit(end), length, words)) for end, words in ends]
+    return [name.alias(half) for half, name in zip(HALVES, names, strict=True)]
 
 
-def distinct_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """h1, h2, first (doc_id, text_hash, line_no), copies and halves (null for short lines) of every distinct line."""
-    lines = numbered(docs).withColumn("words", words_of("line"))
-    n = F.size("words")
-    lines = lines.withColumn("halves", F.when(n >= min_words, _half_names(F.col("words"), n)))
-    return lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc_id", "text_hash", "line_no")).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("halves").alias("halves")
-    )
+def numbered(rows: DataFrame, *more: Column) -> DataFrame:
+    """place of every line that is not blank, and two hashes of it."""
+    lines = rows.select("row", F.posexplode(lines_of("text")).alias("line_no", "line"))
+    lines = lines.withColumn("spaced", F.translate("line", "\t\x0b\f\r", "    ")).where("trim(spaced) <> ''")
+    fits = F.when(F.col("line_no") < LINES, F.col("line_no")).otherwise(F.raise_error(F.lit("a text has too many lines")).cast("int"))
+    place = F.col("row") * LINES + fits
+    return lines.select(place.alias("place"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), *more)
+
+
+def distinct_lines(rows: DataFrame, min_words: int) -> DataFrame:
+    """h1, h2, first (place), copies and halves of every distinct line. All are numbers, so that hashing does."""
+    spaced = F.col("spaced")
+    n = F.char_length(spaced) - F.char_length(F.replace(spaced, F.lit(" "), F.lit(""))) + 1
+    lines = numbered(rows, *_half_names(spaced, n, min_words))
+    return lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies"), *(F.min(h).alias(h) for h in HALVES))
 
 
 def sharing_halves(distinct: DataFrame) -> DataFrame:
     """first and shared (numbers of halves that another line has too) of the lines that have any."""
-    named = distinct.where("halves IS NOT NULL").select("first", F.posexplode("halves").alias("half", "name"))
+    halves = F.posexplode(F.array(*HALVES)).alias("half", "name")
+    named = distinct.where(f"{HALVES[0]} IS NOT NULL").select("first", halves).where("name IS NOT NULL")
     shared = named.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
     return named.join(shared, "name", "left_semi").groupBy("first").agg(F.collect_set("half").alias("shared"))
 
@@ -83,7 +116,7 @@ def running_xor(values: Column) -> Column:
     return let(values, lambda own: F.zip_with(scan(own, F.lit(0).cast("long"), xor, "bigint"), own, xor))
 
 
-def variants(lines: DataFrame) -> DataFrame:
+def variants(lines: DataFrame, min_words: int) -> DataFrame:
     """name, role and first of every variant needed; role 0: one word changed, 1: the line itself, 2: one word left out."""
     n = F.size("words")
     here = F.transform("words", lambda w, i: F.xxhash64(w, i))
@@ -95,7 +128,8 @@ def variants(lines: DataFrame) -> DataFrame:
     def places(first: int, last: int, length: Column) -> Column:
         # What two lines share of their first words lies before the edit, of their last words after it.
         half = F.floor(length / 2).cast("int")
-        return lambda i: (has(first) & (i >= half)) | (has(last) & (i < n - half))
+        # A line one word too short may be what another becomes, and is not changed itself.
+        return lambda i: (n >= min_words) & ((has(first) & (i >= half)) | (has(last) & (i < n - half)))
 
     changed, left_out = places(0, 1, n), places(2, 3, n - 1)
     of_change = let(total(here), lambda all: F.transform(here, lambda h, i: F.when(changed(i), F.xxhash64(F.lit(0), n, i, xor(all, h)))))
@@ -124,16 +158,16 @@ def one_edit_apart(a: str, b: str) -> Column:
     )
 
 
-def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+def near_earlier(rows: DataFrame, distinct: DataFrame, min_words: int) -> DataFrame:
     """first and witness (the earlier line) of the distinct lines that are one edit from an earlier one."""
-    shared = sharing_halves(distinct).withColumns({c: F.col(f"first.{c}") for c in ("doc_id", "text_hash", "line_no")})
-    wanted = shared.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "first", "shared")).alias("wanted"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").where("text IS NOT NULL")
-    same = F.col("doc").eqNullSafe(F.col("doc_id")) & (F.xxhash64("text") == F.col("text_hash"))
-    texts = own.join(wanted, same).select(lines_of("text").alias("lines"), F.explode("wanted").alias("one"))
+    shared = sharing_halves(distinct)
+    place = F.struct((F.col("first") % LINES).cast("int").alias("line_no"), "first", "shared")
+    wanted = shared.groupBy(F.floor(F.col("first") / F.lit(LINES)).alias("row")).agg(F.collect_list(place).alias("wanted"))
+    # Copies of one document share a number; the words of one are enough.
+    texts = rows.join(wanted, "row").select(lines_of("text").alias("lines"), F.explode("wanted").alias("one"))
     texts = texts.select("one.*", F.get("lines", F.col("one.line_no")).alias("line")).select("first", "shared", words_of("line").alias("words"))
     lines = staged(texts, "lines-sharing")
-    named = staged(variants(lines), "lines-variants")
+    named = staged(variants(lines, min_words), "lines-variants")
     earliest = lambda role: F.min(F.when(F.col("role") == role, F.col("first")))
     groups = named.groupBy("name").agg(
         earliest(0).alias("of_change"), earliest(1).alias("of_line"), earliest(2).alias("of_less"),
@@ -148,26 +182,26 @@ def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return both.where(one_edit_apart("a", "b")).groupBy("first").agg(F.min("witness").alias("witness"))
 
 
-def removed_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text_hash and removed (line numbers) of the documents that lose lines."""
-    distinct = staged(distinct_lines(docs, min_words), "lines-distinct")
-    near = near_earlier(docs, distinct)
+def removed_lines(rows: DataFrame, min_words: int) -> DataFrame:
+    """row and removed (line numbers) of the documents that lose lines."""
+    distinct = staged(distinct_lines(rows, min_words), "lines-distinct")
+    near = near_earlier(rows, distinct, min_words)
     status = distinct.select("h1", "h2", "first", "copies").join(near, "first", "left")
     status = status.where("copies > 1 OR witness IS NOT NULL").select("h1", "h2", "first", F.col("witness").isNotNull().alias("near"))
-    places = numbered(docs).select("h1", "h2", F.struct("doc_id", "text_hash", "line_no").alias("at"))
-    gone = places.join(status, ["h1", "h2"]).where("near OR at <> first")
-    row = [F.col(f"at.{c}").alias(c) for c in ("doc_id", "text_hash")]
-    return gone.groupBy(*row).agg(F.collect_set("at.line_no").alias("removed"))
+    gone = numbered(rows).join(status, ["h1", "h2"]).where("near OR place <> first")
+    line = F.collect_set((F.col("place") % LINES).cast("int")).alias("removed")
+    return gone.groupBy(F.floor(F.col("place") / F.lit(LINES)).alias("row")).agg(line)
 
 
 def without_repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with its text less the repeated lines, and n_lines and n_removed (columns of these names are replaced)."""
-    gone = removed_lines(docs, min_words=min_words)
-    gone = gone.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("removed").alias("__removed"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
-    joined = docs.join(gone, same, "left")
-    kept = F.filter(lines_of("text"), lambda line, i: ~F.array_contains("__removed", i))
-    text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    counts = [F.coalesce(F.size(lines_of("text")), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("__removed"), F.lit(0)).cast("long").alias("n_removed")]
-    columns = [text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    row, removed = (fresh(name, docs.columns) for name in ("row", "removed"))
+    given = with_row(docs, row)
+    rows = given.select(F.col(row).alias("row"), "text").where("text IS NOT NULL")
+    gone = removed_lines(rows, min_words).select(F.col("row").alias(row), F.col("removed").alias(removed))
+    joined = given.join(gone, row, "left")
+    kept = F.filter(lines_of("text"), lambda line, i: ~F.array_contains(removed, i))
+    text = F.when(F.col(removed).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    counts = [F.coalesce(F.size(lines_of("text")), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size(removed), F.lit(0)).cast("long").alias("n_removed")]
+    columns = [text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")]
     return joined.select(*columns, *counts)

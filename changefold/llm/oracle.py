@@ -75,13 +75,13 @@ solid AS (
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 texts AS (
   SELECT line, min({'d': doc_id, 'n': line_no}) AS first, string_split(any_value(spaced), ' ') AS w FROM solid GROUP BY line),
-long AS (SELECT first, w, unnest(range(1, len(w) + 1)) AS i FROM texts WHERE len(w) >= 8),
+long AS (SELECT first, w, unnest(range(1, len(w) + 1)) AS i FROM texts WHERE len(w) >= 5),
 cuts AS (
   SELECT first, len(w) AS n, i, array_to_string(w[1:i - 1], ' ') AS a, array_to_string(w[i + 1:], ' ') AS b FROM long),
 changed AS (SELECT first, md5(n || ':' || i || ':' || a || chr(1) || b) AS k FROM cuts),
 less AS (
   SELECT DISTINCT first, md5(n - 1 || ':' || CASE WHEN i = 1 THEN b WHEN i = n THEN a ELSE a || ' ' || b END) AS k FROM cuts),
-own AS (SELECT first, md5(len(w) || ':' || array_to_string(w, ' ')) AS k FROM texts WHERE len(w) >= 8),
+own AS (SELECT first, md5(len(w) || ':' || array_to_string(w, ' ')) AS k FROM texts WHERE len(w) >= 4),
 near AS (
   SELECT c.first FROM changed c JOIN (SELECT k, min(first) AS m FROM changed GROUP BY k) g ON c.k = g.k AND g.m < c.first
   UNION SELECT o.first FROM own o JOIN (SELECT k, min(first) AS m FROM less GROUP BY k) g ON o.k = g.k AND g.m < o.first

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from changefold.llm.common import find_words, map_arrow, staged, text_rounds
+from changefold.llm.common import map_arrow, staged, text_rounds
 from changefold.llm.tokens import Encoder
 
 #: Tasks whose leftovers one task of the next level packs. A level's input is at most this many
@@ -99,14 +99,14 @@ class _Packer:
 
 def _pack_texts(tokenizer: str, end_id: int, capacity: int, open_windows: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer), np.array([end_id], np.uint32)
+        encoder, end = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         packer = _Packer(capacity, open_windows, 0, TaskContext.get().partitionId())
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for row, data, offsets in text_rounds(batch.column(1)):
-                ids, first = encoder.encode(find_words(data, offsets))
-                for k in range(len(offsets) - 1):
-                    own = np.append(ids[first[k] : first[k + 1]], end).astype("<u4")
+                texts, bounds = data.tobytes(), offsets.tolist()
+                for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                    own = np.frombuffer(encoder.encode(texts[a:b]) + end, "<u4")
                     packer.add(doc_ids[row + k], 0, own, len(own))
                 yield from packer.ready()
         packer.leave()

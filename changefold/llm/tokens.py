@@ -3,114 +3,92 @@
 Meant for tokenizers of the shape NFC, white space, lower case, split into runs of letters, single
 digits and runs of anything else, byte-level BPE with an end-of-word mark. Since no piece of such a
 tokenizer spans white space, a text's ids are those of its words in turn. Pieces of plain Latin words
-are found here and handed to the tokenizer's model; any other word is encoded by the tokenizer as it is.
+are found here and merged by rank; any other word is encoded by the tokenizer as it is.
+
+The end of a word is a byte that no UTF-8 text has, and which is merged with the byte before it
+first of all. So the merges of the file, in their order, are ranks that ``tiktoken`` can merge by.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 
-import numpy as np
-from tokenizers import Tokenizer, pre_tokenizers
+import tiktoken
+from tokenizers import Tokenizer
 
-from changefold.llm.common import Words
+from changefold.llm.byte_tokens import bytes_of
 
 #: Characters that normalisation leaves alone but for lower case, one by one: printable ASCII and the
 #: letters of Latin-1.
 _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
 _PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^{_LETTERS}0-9]+")
-_PLAIN_TEXT = re.compile(rb"(?:[\t-\r -~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*+")
-#: Words remembered by one task, each in one of the two slots its hash names, and the most ids such a word has.
-SLOTS = 1 << 21
-SLOT_IDS = 8
-#: Pieces remembered by one task. The table is emptied when it is full.
-PIECES_REMEMBERED = 200_000
+_END = b"\xff"
+#: Words, and pieces of words, remembered by one task: those met first, as a rule the frequent ones.
+REMEMBERED = 500_000
+
+
+def _written(numbers: list[int]) -> bytes:
+    return struct.pack(f"<{len(numbers)}I", *numbers)
 
 
-def _slot(codes: np.ndarray) -> np.ndarray:
-    return (codes & np.uint64(SLOTS - 1)).astype(np.int64)
+class _Words(dict):
+    """Ids of words, given as UTF-8 with A to Z in lower case."""
 
+    def __init__(self, encoder: Encoder) -> None:
+        self.encoder = encoder
 
-def _other_slot(codes: np.ndarray) -> np.ndarray:
-    return (codes >> np.uint64(40) & np.uint64(SLOTS - 1)).astype(np.int64)
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encoder.encode_word(word.decode())
+        if len(self) < REMEMBERED:
+            self[word] = ids
+        return ids
 
 
 class Encoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        plain = [chr(code) for code in range(33, 256) if _PLAIN.fullmatch(chr(code))]
-        self.byte_level = {ord(char): as_bytes.pre_tokenize_str(char)[0][0] for char in plain}
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        mark = model["end_of_word_suffix"]
+
+        def as_bytes(token: str) -> bytes:
+            return bytes_of(token.removesuffix(mark)) + (_END if token.endswith(mark) else b"")
+
+        merged = ["".join(pair if isinstance(pair, list) else pair.split(" ")) for pair in model["merges"]]
+        single = [token for token in model["vocab"] if len(as_bytes(token)) == 1 and as_bytes(token) != _END]
+        ended = [token + mark for token in single if token + mark in model["vocab"]]
+        # The byte of the end has no id of its own; it never stays alone.
+        ranked = [*ended, *single, None, *merged]
+        ranks = {_END if token is None else as_bytes(token): rank for rank, token in enumerate(ranked)}
+        if len(ranks) != len(ranked):
+            raise ValueError("two merges of the tokenizer make the same token")
+        self.id_of = [0 if token is None else model["vocab"][token] for token in ranked]
+        self.single = tiktoken.Encoding("word-ends", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)", re.IGNORECASE)
         self.special_bytes = re.compile(self.special.pattern.encode(), re.IGNORECASE)
-        self.pieces: dict[str, list[int]] = {}
-        self.codes = np.zeros(SLOTS, np.uint64)  # hash of the word in each slot
-        self.counts = np.zeros(SLOTS, np.int8)  # 0: the slot is free
-        self.ids = np.zeros(SLOTS * SLOT_IDS, np.uint32)
+        self.pieces: dict[str, bytes] = {}
+        self.words = _Words(self)
 
-    def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, and where in it each text begins."""
+    def encode(self, text: bytes) -> bytes:
+        """Ids of a text, as little-endian 32-bit numbers."""
         # Special tokens are found before lower-casing, so that case matters where one occurs.
-        lower = not self.special_bytes.search(words.data)
-        codes = words.hashes(lower)
-        slot = _slot(codes)
-        known = (self.codes[slot] == codes) & (self.counts[slot] > 0)
-        new = np.flatnonzero(~known)
-        slot[new] = _other_slot(codes[new])
-        known[new] = (self.codes[slot[new]] == codes[new]) & (self.counts[slot[new]] > 0)
-        counts = self.counts[slot].astype(np.int64)
-        place = slot * SLOT_IDS
-        new = np.flatnonzero(~known)
-        unseen, at, number = np.unique(codes[new], return_index=True, return_inverse=True)
-        spans = zip(words.start[new[at]].tolist(), words.end[new[at]].tolist(), strict=True)
-        text = words.data.tobytes()
-        if lower and _PLAIN_TEXT.fullmatch(text):
-            found = [self._plain(text[a:b].decode().lower()) for a, b in spans]
-        else:
-            found = [self.encode_word(text[a:b].decode()) for a, b in spans]
-        fresh = np.array([x for own in found for x in own], np.uint32)
-        fresh_counts = np.fromiter(map(len, found), np.int64, len(found))
-        fresh_place = np.cumsum(fresh_counts) - fresh_counts
-        counts[new], place[new] = fresh_counts[number], fresh_place[number]
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        source = np.repeat(place - (ends - counts), counts) + np.arange(total)
-        old = np.repeat(known, counts)
-        ids = np.empty(total, np.uint32)
-        ids[old] = self.ids[source[old]]
-        ids[~old] = fresh[source[~old]]
-        fits = (fresh_counts > 0) & (fresh_counts <= SLOT_IDS)
-        self._remember(unseen[fits], fresh, fresh_counts[fits], fresh_place[fits])
-        return ids, np.append(0, ends)[words.first]
-
-    def _remember(self, codes: np.ndarray, ids: np.ndarray, counts: np.ndarray, place: np.ndarray) -> None:
-        """Put words into a free one of their two slots, or in place of what is in the other."""
-        slot = _slot(codes)
-        slot = np.where(self.counts[slot] == 0, slot, _other_slot(codes))
-        slot, one = np.unique(slot, return_index=True)
-        counts, place = counts[one], place[one]
-        self.codes[slot] = codes[one]
-        self.counts[slot] = counts
-        step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        self.ids[np.repeat(slot * SLOT_IDS, counts) + step] = ids[np.repeat(place, counts) + step]
-
-    def encode_word(self, word: str) -> list[int]:
-        if not _PLAIN.fullmatch(word) or self.special.search(word):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        return self._plain(word.lower())
+        if self.special_bytes.search(text):
+            return b"".join(self.encode_word(word.decode()) for word in text.split())
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
-    def _plain(self, word: str) -> list[int]:
+    def encode_word(self, word: str) -> bytes:
+        if not _PLAIN.fullmatch(word) or self.special.search(word):
+            return _written(self.tokenizer.encode(word, add_special_tokens=False).ids)
         found = []
-        for piece in _PIECES.findall(word):
+        for piece in _PIECES.findall(word.lower()):
             ids = self.pieces.get(piece)
             if ids is None:
-                if len(self.pieces) > PIECES_REMEMBERED:
-                    self.pieces.clear()
-                written = piece if piece.isascii() else piece.translate(self.byte_level)
-                ids = [token.id for token in self.model.tokenize(written)]
-                self.pieces[piece] = ids
-            found += ids
-        return found
+                ids = _written([self.id_of[rank] for rank in self.single(piece.encode() + _END)])
+                if len(self.pieces) < REMEMBERED:
+                    self.pieces[piece] = ids
+            found.append(ids)
+        return b"".join(found)
