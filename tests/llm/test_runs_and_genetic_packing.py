@@ -215,7 +215,7 @@ def test_genetic_packing_of_odd_rows(spark, odd_docs, no_docs):
     rows = genetic.pack(docs, path, cell_items=5).collect()
     n = checked_pieces(rows, ids, 1024)
     sizes = np.array([len(np.frombuffer(r["ids"], "<u4")) for r in rows], np.int32)
-    assert n <= genetic.fewest(sizes, 1024) + 1
+    assert n <= genetic.fewest(sizes, 1024) + 3  # one more for each of the tiny cells, at most
     assert genetic.pack(no_docs, path).count() == 0
     again = genetic.pack(docs, path, cell_items=5).collect()
     assert Counter(map(tuple, rows)) == Counter(map(tuple, again))
