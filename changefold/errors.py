@@ -15,3 +15,12 @@ class TargetVersionConflictError(ValueError):
 
 class PublishConflictError(RuntimeError):
     """Another writer published this snapshot number first."""
+
+
+# Texts of errors that callers match on.
+BLANK_PIPELINE_NAME = "pipeline_name must not be blank"
+NAIVE_START = "initial_start_at must be timezone-aware"
+NEGATIVE_OVERLAP = "overlap must be non-negative"
+NEGATIVE_SKEW = "allowed_future_skew must be non-negative"
+NO_HEADER = "source file must contain a header row"
+MISSING_COLUMNS = "missing required columns: "

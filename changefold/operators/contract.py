@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from changefold.errors import SourceDataError
+from changefold.errors import MISSING_COLUMNS, NO_HEADER, SourceDataError
 from changefold.functions import text
 from changefold.operators.window import late_enough_day
 from changefold.spec import KIND_TYPES, MONEY, TableSpec
@@ -25,10 +25,10 @@ _PARSERS = {
 def require_columns(spec: TableSpec, names: list[str]) -> None:
     """Header contract: every contract column is there, others may be."""
     if not names:
-        raise SourceDataError("source file must contain a header row")
+        raise SourceDataError(NO_HEADER)
     missing = sorted(set(spec.kinds) - set(names))
     if missing:
-        raise SourceDataError("missing required columns: " + ", ".join(missing))
+        raise SourceDataError(MISSING_COLUMNS + ", ".join(missing))
 
 
 def _rule(name: str, kind: str, data_type: T.DataType) -> text.Parse:

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from changefold.errors import NEGATIVE_OVERLAP, NEGATIVE_SKEW
 from changefold.spec import STATE_SCHEMA
 
 
@@ -23,7 +24,7 @@ def lookup_state(state: DataFrame, names: DataFrame) -> DataFrame:
 def extraction_start(looked_up: DataFrame, initial_start_at: datetime, overlap: timedelta) -> DataFrame:
     """Adds the inclusive lower bound: mark minus overlap, or the initial start without a mark."""
     if overlap < timedelta(0):
-        raise ValueError("overlap must be non-negative")
+        raise ValueError(NEGATIVE_OVERLAP)
     start = F.coalesce(F.col("watermark") - interval(overlap), F.lit(initial_start_at).cast("timestamp"))
     return looked_up.withColumn("extraction_start", start)
 
@@ -47,7 +48,7 @@ def late_enough_day(day: str, start: Column) -> Column:
 def future_bound(run_start: datetime | Column, skew: timedelta) -> datetime | Column:
     """Latest event time that is fine, the bound itself included."""
     if skew < timedelta(0):
-        raise ValueError("allowed_future_skew must be non-negative")
+        raise ValueError(NEGATIVE_SKEW)
     return run_start + (interval(skew) if isinstance(run_start, Column) else skew)
 
 

@@ -9,7 +9,13 @@ from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from changefold.errors import ConflictingSourceVersionError, SourceDataError, TargetVersionConflictError
+from changefold.errors import (
+    BLANK_PIPELINE_NAME,
+    NAIVE_START,
+    ConflictingSourceVersionError,
+    SourceDataError,
+    TargetVersionConflictError,
+)
 from changefold.functions.canonical import instant_iso
 from changefold.operators import audit, checksum, window
 from changefold.operators.classify import CONFLICT, OUTCOME, UPDATE, held_name, met, outcome_counters
@@ -78,7 +84,7 @@ def run_load(
     ``run_id`` can be used once; a blank, unfit or used one is refused and leaves no record.
     """
     if not params.pipeline_name.strip():
-        raise ValueError("pipeline_name must not be blank")
+        raise ValueError(BLANK_PIPELINE_NAME)
     configure(store.spark)
     store = store.reopened()
     run = RunRecord(str(uuid.uuid4()) if run_id is None else run_id, params.pipeline_name, started_at=_utc(clock()))
@@ -155,7 +161,7 @@ def _load(history, store, params, progress, clock, on_stage) -> LoadResult:
     previous = _utc_from_row(bounds["watermark"])
     progress.note(previous_watermark=previous)
     if previous is None and params.initial_start_at.utcoffset() is None:
-        raise ValueError("initial_start_at must be timezone-aware")
+        raise ValueError(NAIVE_START)
     start = _utc_from_row(bounds["extraction_start"])
     latest_allowed = window.future_bound(run.started_at, params.allowed_future_skew)
 
