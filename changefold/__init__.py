@@ -10,6 +10,7 @@ from changefold.plans.load import LoadParams, LoadResult, load_records, result_d
 from changefold.plans.store import TargetStore
 from changefold.session import build_session, configure, scratch_dir
 from changefold.sources.history import append_csv_history, read_csv_history
+from changefold.sources.zones import ZonedHistory
 from changefold.spec import PRODUCTS, TableSpec, VersionedTable
 
 __all__ = [
@@ -23,6 +24,7 @@ __all__ = [
     "TargetStore",
     "TargetVersionConflictError",
     "VersionedTable",
+    "ZonedHistory",
     "append_csv_history",
     "build_session",
     "configure",

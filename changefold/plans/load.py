@@ -24,6 +24,7 @@ from changefold.operators.fold import CONFLICT as CONTRADICTORY, FIRST_ERROR, RO
 from changefold.operators.merge import is_change, written
 from changefold.plans.store import HASHED_BYTES, REPLACED, PipelineState, RunRecord, Snapshot, TargetStore
 from changefold.session import configure, one_row
+from changefold.sources.zones import ZonedHistory
 from changefold.spec import FAILED, STATE_SCHEMA, SUCCESS, TableSpec
 
 #: Points of a load at which ``on_stage`` is called.
@@ -68,7 +69,7 @@ def result_document(result: DataFrame, checksum: str, pretty: bool = False) -> D
 
 
 def run_load(
-    history: Callable[[], DataFrame] | DataFrame,
+    history: Callable[[], DataFrame] | ZonedHistory | DataFrame,
     store: TargetStore,
     params: LoadParams,
     *,
@@ -80,7 +81,8 @@ def run_load(
 
     Either target rows, progress mark and success record all become visible, or none of them and
     a failed record is kept. A failed or repeated load is simply run again with the same history.
-    ``history`` may be a function, so that a source which cannot be opened is recorded as well. A
+    ``history`` may be a function, so that a source which cannot be opened is recorded as well, or have a
+    zone map, so that only files with rows in the window are opened. A
     ``run_id`` can be used once; a blank, unfit or used one is refused and leaves no record.
     """
     if not params.pipeline_name.strip():
@@ -165,7 +167,10 @@ def _load(history, store, params, progress, clock, on_stage) -> LoadResult:
     start = _utc_from_row(bounds["extraction_start"])
     latest_allowed = window.future_bound(run.started_at, params.allowed_future_skew)
 
-    rows = history() if callable(history) else history
+    if isinstance(history, ZonedHistory):
+        rows = history.since(start)
+    else:
+        rows = history() if callable(history) else history
     if params.quarantine:
         folded = fold(_quarantined(rows, store, run.run_id, start, latest_allowed), spec)
     else:

@@ -198,6 +198,7 @@ ORACLE_SQL: dict[str, str] = {
     "state_upsert": f"""WITH {SEED_STATE}, {LATER_STATE} SELECT * FROM later_state UNION ALL
         SELECT * FROM seed_state WHERE pipeline_name NOT IN (SELECT pipeline_name FROM later_state)""",
     "window_filter": f"WITH {WINDOW} SELECT * FROM in_window",
+    "window_filter_zones": f"WITH {WINDOW} SELECT * FROM in_window",
     "window_filter_partitioned": f"WITH {WINDOW} SELECT * FROM in_window",
     "future_gate": """SELECT user_id, ts, event_id, event_type, "value", props FROM events
         WHERE ts > TIMESTAMP '2024-01-25 00:05:00'""",

@@ -15,6 +15,7 @@ from changefold import (
     SourceDataError,
     TargetStore,
     TargetVersionConflictError,
+    ZonedHistory,
     append_csv_history,
     configure,
     load_records,
@@ -121,6 +122,17 @@ def window_filter_partitioned(spark, sf_dir):
     return window.in_window(history, "o_orderdate", _window_start(spark, sf_dir), "day").select(*rows.columns)
 
 
+@query
+def window_filter_zones(spark, sf_dir):
+    """The same window of a history whose files have a zone map."""
+    path = scratch_dir(spark, "zoned")
+    rows = feeds.orders(spark, sf_dir)
+    rows.repartitionByRange(16, "o_orderdate").write.parquet(path)
+    start = _window_start(spark, sf_dir)
+    history = ZonedHistory(spark, path, scratch_dir(spark, "zones"), "o_orderdate")
+    return window.in_window(history.since(start), "o_orderdate", start)
+
+
 @query
 def future_gate(spark, sf_dir):
     run_start = datetime(2024, 1, 25, tzinfo=UTC)
