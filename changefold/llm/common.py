@@ -41,6 +41,14 @@ def map_arrow(rows: DataFrame, run: Callable, schema: T.StructType | str) -> Dat
     return rows.mapInArrow(run, schema)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that no input column has, whatever the session's case rules."""
+    taken = {column.lower() for column in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def words_array(text: str | Column) -> Column:
     """Non-empty words of a text; null has none."""
     return F.filter(F.split(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), SPACES), lambda w: w != "")

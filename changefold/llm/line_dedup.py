@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from changefold.llm.common import let, scan, staged
+from changefold.llm.common import fresh, let, scan, staged
 
 #: Fewest words of the longer of two near lines: one edit then leaves a similarity of 0.8 or more.
 MIN_WORDS = 5
@@ -42,14 +42,6 @@ def words_of(line: str) -> Column:
     return F.split(F.translate(F.col(line), "\t\x0b\f\r", "    "), " ", -1)
 
 
-def fresh(name: str, columns: list[str]) -> str:
-    """A column name that no input column has, whatever the session's case rules."""
-    taken = {column.lower() for column in columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def with_row(docs: DataFrame, row: str) -> DataFrame:
     """``docs`` and a number of every document, in the order in which lines are earlier.
 

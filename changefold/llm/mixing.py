@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from changefold.llm.common import NOT_SPACES, SPACES, staged
+from changefold.llm.common import NOT_SPACES, SPACES, fresh, staged
 
 #: Words of a block.
 BLOCK_WORDS = 256
@@ -86,7 +86,7 @@ def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
         "source_no", "low", "high", "blocks",
         F.explode(F.sequence(F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1)))).alias("cell"),
     )
-    n_slots = drawn.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
+    n_slots, n_sources = drawn.agg(F.coalesce(F.sum("blocks"), F.lit(0)), F.coalesce(F.max("source_no"), F.lit(0))).first()
     point = (F.col("slot") + 1) * GOLDEN
     slots = spark.range(n_slots).withColumnRenamed("id", "slot").withColumn("point", point - F.floor(point))
     slots = slots.withColumn("cell", F.floor(F.col("point") * CELLS))
@@ -102,7 +102,7 @@ def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     have = per_range.groupBy("source_no").agg(F.sum("n").alias("have"))
     short = drawn.join(have, "source_no", "left").withColumn("have", F.coalesce("have", F.lit(0))).where("have < blocks")
     tail = short.select("source_no", F.explode(F.sequence(F.col("have"), F.col("blocks") - 1)).alias("block_no"))
-    return regular.unionByName(tail.withColumn("slot", n_slots + F.col("block_no")))
+    return regular.unionByName(tail.withColumn("slot", n_slots + F.col("block_no") * n_sources + F.col("source_no")))
 
 
 def streams(sized: DataFrame, sources: DataFrame) -> DataFrame:
@@ -142,26 +142,34 @@ def mix(docs: DataFrame, *, share: float = 1.5, most: float = 2.0, weights: tupl
 
 
 def taken(sized: DataFrame, sources: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Every row of the input with what the mix takes of it."""
-    drawn = pieces.groupBy("doc_id", "copy").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+    """Every row of the input with what the mix takes of it, and the first and last slot that it is drawn for."""
+    drawn = pieces.groupBy("doc_id", "copy").agg(
+        F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot")
+    )
     known = sized.join(sources.drop("source_no"), sized["source"].eqNullSafe(sources["source"])).drop("source")
     key = known["doc_id"].eqNullSafe(drawn["doc_id"]) & (known["copy"] == drawn["copy"])
     return known.join(drawn, key, "left").select(
-        known["doc_id"], known["copy"], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
-    )
+        known["doc_id"], known["copy"], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "first_slot", "last_slot",
+    )
 
 
 def mixed_documents(docs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """The drawn words as rows of ``docs``: a document drawn whole keeps its text, else its drawn words.
+    """The drawn words as rows of ``docs``, in order of the schedule: a document drawn whole keeps its text, else its drawn words.
 
-    A document drawn in two rounds gives two rows.
+    A document drawn in two rounds gives two rows. Rows stand where their first slot is, ranges of slots
+    being partitions, so that whoever reads them in order meets every source near its weight.
     """
-    runs = pieces.groupBy("doc_id", "copy", "round").agg(F.min("from_word").alias("from_word"), F.max("to_word").alias("to_word"))
-    keyed = docs.withColumn("__hash", F.xxhash64("text")).withColumn("__copy", copy_number(text_hash="__hash")).alias("d")
-    joined = keyed.join(runs.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.__copy") == F.col("r.copy")))
+    runs = pieces.groupBy("doc_id", "copy", "round").agg(
+        F.min("from_word").alias("from_word"), F.max("to_word").alias("to_word"), F.min("slot").alias("slot")
+    )
+    hashed, copy, slot = (fresh(name, docs.columns) for name in ("text_hash", "copy", "slot"))
+    keyed = docs.withColumn(hashed, F.xxhash64("text")).withColumn(copy, copy_number(text_hash=hashed)).alias("d")
+    joined = keyed.join(runs.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col(f"d.{copy}") == F.col("r.copy")))
     first, last = F.col("r.from_word").cast("int"), F.col("r.to_word").cast("int")
     whole = (first == 0) & (last == word_count("d.text"))
     words = F.filter(F.split("d.text", SPACES), lambda w: w != "")
     text = F.when(whole, F.col("d.text")).otherwise(F.array_join(F.slice(words, first + 1, last - first), " "))
     new = {"text": text, "n_chars": F.char_length(text).cast("long")}
-    return joined.select(*(new.get(c, F.col(f"d.{c}")).alias(c) for c in docs.columns))
+    rows = joined.select(*(new.get(c, F.col(f"d.{c}")).alias(c) for c in docs.columns), F.col("r.slot").alias(slot))
+    return rows.repartitionByRange(slot).sortWithinPartitions(slot).drop(slot)

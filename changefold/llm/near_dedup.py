@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from changefold.llm.common import find_words, map_arrow, mix, shingle_sets, staged, text_rounds
+from changefold.llm.common import fresh, find_words, map_arrow, mix, shingle_sets, staged, text_rounds
 from changefold.llm.components import components
 
 BINS = 128
@@ -264,9 +264,10 @@ def one_of_each(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFr
     found = staged(near_duplicates(docs, words=words, percent=percent).where("kept"), "near-kept")
     # Rows of one doc_id, or without one, may belong to several components; those without words to none.
     group = ["doc_id", "component", F.when(F.col("n_shingles") == 0, F.col("text_hash"))]
-    chosen = found.groupBy(*group).agg(F.min("text_hash").alias("__hash")).select(F.col("doc_id").alias("__doc"), "__hash")
+    doc, text = (fresh(name, docs.columns) for name in ("chosen_doc", "chosen_text"))
+    chosen = found.groupBy(*group).agg(F.min("text_hash").alias(text)).select(F.col("doc_id").alias(doc), text)
     chosen = staged(chosen, "near-chosen")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text))
     kept = docs.join(chosen, same, "left_semi")
     if found.count() > chosen.count():
         kept = kept.dropDuplicates(["doc_id", "text"])

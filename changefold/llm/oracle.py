@@ -55,15 +55,34 @@ levelled AS (
   FROM weighed WINDOW o AS (ORDER BY cap / weight, source_no)),
 reached AS (SELECT level FROM levelled WHERE level * weight < cap ORDER BY cap / weight, source_no LIMIT 1),
 targets AS (
-  SELECT source, source_size, least(cap, coalesce((SELECT level FROM reached), 'inf'::DOUBLE) * weight) AS target FROM levelled),
+  SELECT source, source_no, source_size, least(cap, coalesce((SELECT level FROM reached), 'inf'::DOUBLE) * weight) AS target FROM levelled),
 placed AS (
-  SELECT s.*, source_size, target, floor(target)::BIGINT AS words,
+  SELECT s.*, source_no, source_size, target, floor(target)::BIGINT AS words,
          sum(size) OVER (PARTITION BY s.source ORDER BY shuffle, doc_id ROWS UNBOUNDED PRECEDING) - size AS start
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+ranges AS (
+  SELECT source_no, ceil(floor(target) / 256)::BIGINT AS blocks, (sum(target) OVER o - target) / sum(target) OVER () AS low,
+         sum(target) OVER o / sum(target) OVER () + (source_no = max(source_no) OVER ())::INTEGER AS high
+  FROM targets WHERE target >= 1 WINDOW o AS (ORDER BY source_no)),
+slots AS (
+  SELECT slot, (slot + 1) * 0.6180339887498949::DOUBLE AS turn FROM (SELECT unnest(range((SELECT sum(blocks) FROM ranges)::BIGINT)) AS slot)),
+hits AS (
+  SELECT slot, source_no, blocks, row_number() OVER (PARTITION BY source_no ORDER BY slot) - 1 AS block_no
+  FROM slots JOIN ranges ON turn - floor(turn) >= low AND turn - floor(turn) < high),
+have AS (SELECT source_no, count(*) AS n FROM hits GROUP BY source_no),
+tail AS (SELECT source_no, unnest(range(coalesce(n, 0)::BIGINT, blocks)) AS block_no FROM ranges LEFT JOIN have USING (source_no)),
+schedule AS (
+  SELECT source_no, block_no, slot FROM hits WHERE block_no < blocks
+  UNION ALL SELECT source_no, block_no, (SELECT sum(blocks) + 0 FROM ranges) + block_no * (SELECT max(source_no) FROM ranges) + source_no FROM tail),
+rounds AS (
+  SELECT doc_id, source_no, r * source_size + start AS a, least(r * source_size + start + size, words) AS b
+  FROM placed, (SELECT unnest([0, 1]) AS r) WHERE size > 0),
+drawn AS (SELECT doc_id, source_no, unnest(range((a // 256)::BIGINT, ((b - 1) // 256 + 1)::BIGINT)) AS block_no FROM rounds WHERE a < b),
+met AS (SELECT doc_id, min(slot)::BIGINT AS first_slot, max(slot)::BIGINT AS last_slot FROM drawn JOIN schedule USING (source_no, block_no) GROUP BY doc_id)
 SELECT doc_id, size, source_size, target,
        (greatest(0, least(start + size, words) - start)
-        + greatest(0, least(source_size + start + size, words) - source_size - start))::BIGINT AS taken
-FROM placed
+        + greatest(0, least(source_size + start + size, words) - source_size - start))::BIGINT AS taken, first_slot, last_slot
+FROM placed LEFT JOIN met USING (doc_id)
 """
 
 OP7 = r"""

@@ -106,7 +106,7 @@ def _pack_texts(tokenizer: str, end_id: int, capacity: int, open_windows: int):
             for row, data, offsets in text_rounds(batch.column(1)):
                 texts, bounds = data.tobytes(), offsets.tolist()
                 for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                    own = np.frombuffer(encoder.encode(texts[a:b]) + end, "<u4")
+                    own = np.frombuffer(encoder.encode(texts[a:b].decode()) + end, "<u4")
                     packer.add(doc_ids[row + k], 0, own, len(own))
                 yield from packer.ready()
         packer.leave()

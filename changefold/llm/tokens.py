@@ -1,50 +1,31 @@
-"""Token ids of many texts by a given tokenizer file, with each word of a text encoded once.
+"""Token ids of texts by a given tokenizer file with ends of words, much faster than the file's own library gives them.
 
 Meant for tokenizers of the shape NFC, white space, lower case, split into runs of letters, single
-digits and runs of anything else, byte-level BPE with an end-of-word mark. Since no piece of such a
-tokenizer spans white space, a text's ids are those of its words in turn. Pieces of plain Latin words
-are found here and merged by rank; any other word is encoded by the tokenizer as it is.
+digits and runs of anything else, byte-level BPE with an end-of-word mark. Texts of plain Latin letters
+are cut into pieces here, and their pieces merged by rank; any other text is encoded by the tokenizer.
 
-The end of a word is a byte that no UTF-8 text has, and which is merged with the byte before it
-first of all. So the merges of the file, in their order, are ranks that ``tiktoken`` can merge by.
+The end of a piece is a control character, one byte, that these texts do not have; it is merged with the
+byte before it first of all. So the merges of the file, in their order, are ranks that ``tiktoken`` can
+merge by, a whole text at once.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import struct
 
+import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
 from changefold.llm.byte_tokens import bytes_of
 
 #: Characters that normalisation leaves alone but for lower case, one by one: printable ASCII and the
-#: letters of Latin-1.
+#: letters of Latin-1; and white space.
 _LETTERS = "a-zß-öø-ÿ"
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
-_PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^{_LETTERS}0-9]+")
-_END = b"\xff"
-#: Words, and pieces of words, remembered by one task: those met first, as a rule the frequent ones.
-REMEMBERED = 500_000
-
-
-def _written(numbers: list[int]) -> bytes:
-    return struct.pack(f"<{len(numbers)}I", *numbers)
-
-
-class _Words(dict):
-    """Ids of words, given as UTF-8 with A to Z in lower case."""
-
-    def __init__(self, encoder: Encoder) -> None:
-        self.encoder = encoder
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.encoder.encode_word(word.decode())
-        if len(self) < REMEMBERED:
-            self[word] = ids
-        return ids
+_PLAIN = re.compile("[\t\n\x0b\x0c\r -~À-ÖØ-öø-ÿ]*")
+_PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^{_LETTERS}0-9\t\n\x0b\x0c\r ]+")
+_END = "\x01"
 
 
 class Encoder:
@@ -55,40 +36,27 @@ class Encoder:
         mark = model["end_of_word_suffix"]
 
         def as_bytes(token: str) -> bytes:
-            return bytes_of(token.removesuffix(mark)) + (_END if token.endswith(mark) else b"")
+            return bytes_of(token.removesuffix(mark)) + (_END.encode() if token.endswith(mark) else b"")
 
         merged = ["".join(pair if isinstance(pair, list) else pair.split(" ")) for pair in model["merges"]]
-        single = [token for token in model["vocab"] if len(as_bytes(token)) == 1 and as_bytes(token) != _END]
+        single = [token for token in model["vocab"] if len(as_bytes(token)) == 1 and as_bytes(token) != _END.encode()]
         ended = [token + mark for token in single if token + mark in model["vocab"]]
-        # The byte of the end has no id of its own; it never stays alone.
+        # The end itself takes the place of the character's own token; it never stays alone.
         ranked = [*ended, *single, None, *merged]
-        ranks = {_END if token is None else as_bytes(token): rank for rank, token in enumerate(ranked)}
+        ranks = {_END.encode() if token is None else as_bytes(token): rank for rank, token in enumerate(ranked)}
         if len(ranks) != len(ranked):
             raise ValueError("two merges of the tokenizer make the same token")
-        self.id_of = [0 if token is None else model["vocab"][token] for token in ranked]
-        self.single = tiktoken.Encoding("word-ends", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.id_of = np.array([0 if token is None else model["vocab"][token] for token in ranked], "<u4")
+        self.fast = tiktoken.Encoding("word-ends", pat_str=f"[^{_END}]*{_END}", mergeable_ranks=ranks, special_tokens={})
         specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)", re.IGNORECASE)
-        self.special_bytes = re.compile(self.special.pattern.encode(), re.IGNORECASE)
-        self.pieces: dict[str, bytes] = {}
-        self.words = _Words(self)
 
-    def encode(self, text: bytes) -> bytes:
+    def encode(self, text: str) -> bytes:
         """Ids of a text, as little-endian 32-bit numbers."""
         # Special tokens are found before lower-casing, so that case matters where one occurs.
-        if self.special_bytes.search(text):
-            return b"".join(self.encode_word(word.decode()) for word in text.split())
-        return b"".join(map(self.words.__getitem__, text.lower().split()))
-
-    def encode_word(self, word: str) -> bytes:
-        if not _PLAIN.fullmatch(word) or self.special.search(word):
-            return _written(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        found = []
-        for piece in _PIECES.findall(word.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = _written([self.id_of[rank] for rank in self.single(piece.encode() + _END)])
-                if len(self.pieces) < REMEMBERED:
-                    self.pieces[piece] = ids
-            found.append(ids)
-        return b"".join(found)
+        if not _PLAIN.fullmatch(text) or self.special.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        pieces = _PIECES.findall(text.lower())
+        if not pieces:
+            return b""
+        return self.id_of[self.fast.encode_to_numpy(_END.join(pieces) + _END)].tobytes()

@@ -173,6 +173,31 @@ def test_schedule_keeps_every_stretch_near_the_weights(spark):
         assert abs(half[number] - len(blocks) / 2) <= 4
 
 
+def test_the_schedule_decides_the_order_of_the_mix(spark, monkeypatch):
+    """Any stretch of the mixed rows has each source near its weight; another schedule gives other slots and another order."""
+    docs = docs_of(spark, [(i, " ".join(f"w{i}x{k}" for k in range(100))) for i in range(300)])
+    docs = docs.withColumn("source", F.element_at(F.array(*map(F.lit, "abc")), (F.col("doc_id") % 3 + 1).cast("int")))
+    docs = docs.withColumns({"__hash": F.lit("h"), "__copy": F.lit("c"), "copy": F.lit("own"), "slot": F.lit("s")})
+
+    def mixed():
+        sized, sources, pieces = mixing.mix(docs, block=50)
+        slots = {r["doc_id"]: (r["first_slot"], r["last_slot"]) for r in mixing.taken(sized, sources, pieces).collect()}
+        return slots, mixing.mixed_documents(docs, pieces).collect()
+
+    slots, rows = mixed()
+    assert {tuple(r[c] for c in ("__hash", "__copy", "copy", "slot")) for r in rows} == {("h", "c", "own", "s")}
+    words = [(r["source"], len(r["text"].split())) for r in rows]
+    everything = sum(n for _, n in words)
+    share = {s: sum(n for one, n in words if one == s) / everything for s in "abc"}
+    for begin in range(0, len(words) - 60, 20):
+        part = words[begin : begin + 60]
+        for source in "abc":
+            assert abs(sum(n for s, n in part if s == source) / sum(n for _, n in part) - share[source]) < 0.12
+    monkeypatch.setattr(mixing, "GOLDEN", 0.0)
+    other_slots, other_rows = mixed()
+    assert other_slots != slots and [r["doc_id"] for r in other_rows] != [r["doc_id"] for r in rows]
+
+
 # -- quality -------------------------------------------------------------------------------
 
 
@@ -357,6 +382,8 @@ def test_ids_equal_the_tokenizers(spark):
     rng = random.Random(1)
     letters = "aAzZ09'’ .,!?-_|<>éÉßẞıİΣςσ東京́ \t\n\x1c ﬁ½²Ⅷ"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(0, 60))) for _ in range(400)]
+    plain = "aAzZ09'’ .,!?-_|<>éÉÀö  \t\n\x0b0ß"
+    texts += ["".join(rng.choice(plain.replace("’", "")) for _ in range(rng.randrange(0, 60))) for _ in range(400)] + ["a\x01b"]
     texts += ["it's 'tis don't 'll'd", "x<|endoftext|>y", "<|ENDOFTEXT|>", "<|startoftext|><|endoftext|>", "", None]
-    got = [np.frombuffer(encoder.encode((text or "").encode()), "<u4").tolist() for text in texts]
+    got = [np.frombuffer(encoder.encode(text or ""), "<u4").tolist() for text in texts]
     assert got == [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
