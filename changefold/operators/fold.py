@@ -26,10 +26,12 @@ def exact_repeats(rows: DataFrame, table: VersionedTable, *more: str) -> DataFra
     return rows.groupBy(*table.columns, *more).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def contradictory(collapsed: DataFrame, table: VersionedTable) -> DataFrame:
-    """(key, version) pairs that stand with more than one payload among collapsed rows."""
+def contradictory(collapsed: DataFrame, table: VersionedTable, error: str | None = None) -> DataFrame:
+    """(key, version) pairs that stand with more than one payload among collapsed rows without an error."""
+    # Counted, not filtered: a filter would move below the collapse, which then ran once for each use.
+    sound = F.col(error).isNull() if error else F.lit(True)
     versions = collapsed.groupBy(*table.key, *table.version).agg(
-        F.count(F.lit(1)).alias("payloads"), F.sum(COPIES).alias(COPIES)
+        F.count_if(sound).alias("payloads"), F.sum(COPIES).alias(COPIES)
     )
     return versions.where("payloads > 1").select(*table.key, *table.version, COPIES)
 
@@ -63,13 +65,12 @@ def fold(validated: DataFrame, table: VersionedTable, error: str | None = None)
         )
         offender = [FIRST_ERROR]
     collapsed = exact_repeats(validated, table, *offender)
-    sound = collapsed.where(F.col(FIRST_ERROR).isNull()) if error else collapsed
     newest = F.struct(table.version_of().alias("v"), table.payload_of().alias("p"))
     version_type = collapsed.select(table.version_of().alias("v")).schema["v"].dataType
     versions = collapsed.select(
         *table.key, newest.alias("newest"), F.col(COPIES).alias(ROWS), F.lit(None).cast(version_type).alias(CONFLICT), *offender
     )
-    clashes = contradictory(sound, table).select(
+    clashes = contradictory(collapsed, table, FIRST_ERROR if error else None).select(
         *table.key,
         F.lit(None).cast(versions.schema["newest"].dataType).alias("newest"),
         # The copies were counted among the versions.

@@ -112,3 +112,21 @@ def test_apply_leaves_other_rows_alone(spark):
     after = apply_changes(target, changed, TABLE)
     assert values(after, "k", "last_run_id") == sorted([("A", "new"), ("E", "new"), *kept])
     assert values(after.filter("k = 'A'"), "s") == [(2,)]
+
+
+def test_nothing_is_sorted_before_rows_are_collapsed(spark):
+    """Below the first exchange of each branch rows are only hashed, also with errors among them, and both branches read one exchange."""
+    rows = frame(spark, *HISTORY).withColumn("error", F.when(F.col("t") == 9, F.lit("bad")))
+    folded = fold(rows, TABLE, "error")
+    lines = folded._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    below = []
+    for i, line in enumerate(lines):
+        if " Exchange " in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            if not any(" Exchange " in other for other in lines[i + 1 : end]):
+                below += lines[i + 1 : end]
+    assert any("HashAggregate" in line for line in below)
+    assert not any("Sort" in line for line in below)
+    folded.collect()
+    assert "ReusedExchange" in folded._jdf.queryExecution().executedPlan().toString()
