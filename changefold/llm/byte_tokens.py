@@ -48,14 +48,14 @@ class ByteEncoder:
 
 def bytes_of(token: str) -> bytes:
     """Bytes that a token of a byte-level vocabulary stands for."""
-    return bytes(_BYTE_OF[char] for char in token)
+    return token.translate(_BYTE_OF).encode("latin-1")
 
 
-def _byte_of() -> dict[str, int]:
-    """The printable character that stands for each byte in a byte-level vocabulary: its own, or the next from U+0100 on."""
+def _byte_of() -> dict[int, int]:
+    """The byte for each printable character of a byte-level vocabulary: its own, or those left out from U+0100 on."""
     own = [byte for byte in range(256) if 33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174]
     others = [byte for byte in range(256) if byte not in own]
-    return {chr(byte): byte for byte in own} | {chr(256 + i): byte for i, byte in enumerate(others)}
+    return {byte: byte for byte in own} | {256 + i: byte for i, byte in enumerate(others)}
 
 
 _BYTE_OF = _byte_of()

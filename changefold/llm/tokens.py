@@ -39,9 +39,9 @@ class Encoder:
             return bytes_of(token.removesuffix(mark)) + (_END.encode() if token.endswith(mark) else b"")
 
         merged = ["".join(pair if isinstance(pair, list) else pair.split(" ")) for pair in model["merges"]]
-        single = [token for token in model["vocab"] if len(as_bytes(token)) == 1 and as_bytes(token) != _END.encode()]
-        ended = [token + mark for token in single if token + mark in model["vocab"]]
         # The end itself takes the place of the character's own token; it never stays alone.
+        single = [token for token in model["vocab"] if len(token) == 1 and bytes_of(token) != _END.encode()]
+        ended = [token + mark for token in single if token + mark in model["vocab"]]
         ranked = [*ended, *single, None, *merged]
         ranks = {_END.encode() if token is None else as_bytes(token): rank for rank, token in enumerate(ranked)}
         if len(ranks) != len(ranked):
