@@ -9,13 +9,14 @@ most buckets with others, which in a group of near copies is the text they deriv
 confirmed on the full sets. That settles a bucket whose classes are one component afterwards, or whose
 others are ruled out: the distance 1 - similarity is a metric, so that a class near a centre (at most
 0.2) cannot be linked with one far from it (more than 0.4). Classes of buckets that are not settled,
-as short texts around one common line make them, are dealt into finer buckets of more rows. These get
-centres, up to CENTRES at a time, among the classes outside their largest component, until every two
-of their classes have been compared or are linked through others. So pairs grow with the rows of
-buckets rather than with their squares, and nothing is capped.
+as short texts around one common line make them, are joined by what they differ in from their centre.
+Copies around a centre have most of their shingles in common with each other, but few of their
+differences, and linked ones that are not both near the centre must share a good part of these: pairs
+are those that share one of the rarest, enough of them to miss no link. So no two classes are paired
+because they are around the same centre alone, and nothing is capped.
 
-Two sets of similarity 0.8 share no bucket with a chance of (1 - 0.8 ** ROWS) ** (BINS / ROWS) = 5e-8,
-and no finer one with 2e-8.
+Two sets of similarity 0.8 share no bucket with a chance of (1 - 0.8 ** ROWS) ** (BINS / ROWS) = 5e-8.
+What follows the buckets is exact.
 
 Defined results: null texts and texts without words have the empty set, linked with nothing; a text
 with fewer words than a shingle has its whole sequence as its only one; a null doc_id is never the
@@ -35,11 +36,6 @@ from changefold.llm.components import components
 
 BINS = 128
 ROWS = 4
-#: The same for classes of buckets that one star does not settle.
-FINE_BINS = 3000
-FINE_ROWS = 12
-#: Centres that a finer bucket gets in one round.
-CENTRES = 16
 
 _ROLE = np.random.default_rng(99).integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -160,21 +156,9 @@ def _components(docs: DataFrame, classes: DataFrame, words: int, percent: int) -
     links = staged(_linked(measured, percent), "near-links")
     known = components(links)
 
-    nodes = staged(_unsettled(members, centres, measured, known, percent), "near-unsettled")
-    remaining = staged(_fine_members(sets.join(nodes, "node", "left_semi"), known), "near-remaining")
-    while not remaining.isEmpty():
-        centres = staged(_next_centres(remaining), "near-centres")
-        other = remaining.select("bucket", F.col("node").alias("b"), "n", F.col("component").alias("component_b"))
-        stars = centres.join(other, (centres["bucket"] == other["bucket"]) & (F.col("component") != F.col("component_b")))
-        fit = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")  # else sizes alone forbid a link
-        new = staged(_linked(_measured(_pairs(stars.where(fit)), sets), percent), "near-links")
-        if not new.isEmpty():
-            links = staged(links.unionByName(new), "near-links")
-            known = components(links)
-            remaining = _with_component(remaining.drop("component"), known)
-        tried = centres.select("bucket", F.col("a").alias("node"))
-        remaining = staged(_open_buckets(remaining.join(tried, ["bucket", "node"], "left_anti")), "near-remaining")
-    return known
+    open_ = staged(_unsettled(members, centres, measured, known, percent), "near-unsettled")
+    new = staged(_linked(_measured(_pairs(_candidates(open_, sets, percent)), sets), percent), "near-links")
+    return known if new.isEmpty() else components(links.unionByName(new))
 
 
 def _pairs(stars: DataFrame) -> DataFrame:
@@ -208,55 +192,63 @@ def _with_component(rows: DataFrame, known: DataFrame) -> DataFrame:
     return rows.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _open_buckets(rows: DataFrame) -> DataFrame:
-    """Rows of the buckets that have classes of more than one component."""
-    parts = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return rows.join(parts.where("low <> high").select("bucket"), "bucket", "left_semi").select("bucket", "node", "n", "component")
-
-
 def _unsettled(members: DataFrame, centres: DataFrame, measured: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Classes that may be linked with others of a bucket without having been compared with them."""
+    """centre, node, near and component of classes that may be linked with others around their bucket's centre without having been compared with them."""
     place = centres.join(members.select("bucket", "node"), "bucket").where("a <> node")
     pair = [F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")]
     place = place.select("bucket", "node", *pair).join(measured, ["a", "b"])
     near = 100 * F.col("common") >= percent * F.col("all")
     far = 100 * F.col("common") < (2 * percent - 100) * F.col("all")
-    place = _with_component(place.select("bucket", "node", near.alias("near"), (~near & ~far).alias("between")), known)
+    centre = F.when(F.col("a") == F.col("node"), F.col("b")).otherwise(F.col("a")).alias("centre")
+    place = _with_component(place.select("bucket", "node", centre, near.alias("near"), (~near & ~far).alias("between")), known)
     part = F.when(~F.col("near"), F.col("component"))
     parts = place.groupBy("bucket").agg(
         F.max("between").alias("mixed"), F.min("component").alias("low"), F.max("component").alias("high"),
         F.min(part).alias("far_low"), F.max(part).alias("far_high"),
     )
     parts = parts.where("CASE WHEN mixed THEN low <> high ELSE far_low <> far_high END").select("bucket", "mixed")
-    return place.join(parts, "bucket").where("mixed OR NOT near").select("node").distinct()
+    return place.join(parts, "bucket").where("mixed OR NOT near").select("centre", "node", "near", "component").distinct()
 
 
-def _fine_members(sets: DataFrame, known: DataFrame) -> DataFrame:
-    """bucket, node, n and component of classes in finer buckets that are not settled."""
+def _candidates(place: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a and b of the classes around one centre that may be linked, of different components and not both near it.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, sizes, buckets = [], [], []
-            for node, hashes in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = np.sort(hashes.values.to_numpy().view(np.uint64))
-                names = np.unique(bands(signature(own, FINE_BINS), FINE_ROWS))
-                buckets.append(names)
-                nodes.append(np.full(len(names), node, np.int64))
-                sizes.append(np.full(len(names), len(own), np.int64))
-            none = [np.zeros(0, np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x or none)) for x in (buckets, nodes, sizes)], ["bucket", "node", "n"])
-
-    spread = map_arrow(sets.select("node", "hashes"), run, "bucket long, node long, n long")
-    return _open_buckets(staged(_with_component(spread, known), "near-fine"))
-
-
-def _next_centres(remaining: DataFrame) -> DataFrame:
-    """bucket, a, n_a and component of up to CENTRES classes outside their bucket's largest component."""
-    parts = remaining.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"))
-    largest = parts.groupBy("bucket").agg(F.max(F.struct("members", "component"))["component"].alias("largest"))
-    rest = remaining.join(largest, "bucket").where("component <> largest")
-    rest = rest.withColumn("place", F.row_number().over(W.partitionBy("bucket").orderBy("node")))
-    return rest.where(F.col("place") <= CENTRES).select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), "component")
+    Sets of n and m shingles are linked when at most r * (n + m) are in one of them only, r being
+    (100 - percent) / (100 + percent). What they have apart from each other is what their differences
+    from the centre have, so that differences of d and e shingles must share (d + e - r * (n + m)) / 2.
+    ``d - r * n`` is at least ``-r * n_centre``, and more than ``r * n_centre`` for a class that is not
+    near: that bounds from below what a class must share with any other, which is never nothing. With
+    all differences around a centre in one order, rare shingles first, two that share so many meet in
+    their beginnings, where enough is left of both behind the first that they share.
+    """
+    centre = sets.select(F.col("node").alias("centre"), F.col("hashes").alias("hashes_centre"))
+    both = place.join(sets, "node").join(centre, "centre")
+    apart = F.concat(F.array_except("hashes", "hashes_centre"), F.array_except("hashes_centre", "hashes"))
+    sizes = [F.size("hashes").alias("n"), F.size("hashes_centre").alias("n_centre")]
+    apart = staged(both.select("centre", "node", "near", "component", *sizes, apart.alias("apart")), "near-apart")
+
+    rows = apart.select("centre", "node", "near", "component", "n", "n_centre", F.size("apart").alias("size"), F.explode("apart").alias("shingle"))
+    # Shingles that one component has alone come first in the order. They lead to nothing.
+    shared = rows.groupBy("centre", "shingle").agg(
+        F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    rows = rows.join(shared.where("low <> high").drop("low", "high"), ["centre", "shingle"])
+    own = W.partitionBy("centre", "node")
+    at = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("members", "shingle"))
+    excess = (100 + percent) * F.col("size").cast("long") - (100 - percent) * F.col("n").cast("long")
+    least = (100 - percent) * F.col("n_centre").cast("long")
+    rows = rows.withColumns({"left": F.col("size") - at + 1, "excess": excess, "least": least})
+    enough = lambda other: 2 * (100 + percent) * F.col("left") >= F.col("excess") + other
+    rows = rows.withColumns({"brief": enough(F.col("least") + 1), "long": ~F.col("near") & enough(-F.col("least"))})
+    rows = staged(rows.where("brief OR long").select("centre", "shingle", "node", "near", "component", "n", "left", "excess", "brief"), "near-beginnings")
+
+    x, y = rows.where("brief").alias("x"), rows.where("NOT near").alias("y")
+    same = (F.col("x.centre") == F.col("y.centre")) & (F.col("x.shingle") == F.col("y.shingle"))
+    once = F.col("x.near") | (F.col("y.brief") & (F.col("x.node") < F.col("y.node")))
+    fit = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")  # else sizes alone forbid a link
+    behind = 2 * (100 + percent) * F.least("x.left", "y.left") >= F.col("x.excess") + F.col("y.excess")
+    found = x.join(y, same & (F.col("x.component") != F.col("y.component")) & once & fit & behind)
+    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def one_of_each(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
