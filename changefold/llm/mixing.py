@@ -163,13 +163,27 @@ def mixed_documents(docs: DataFrame, pieces: DataFrame) -> DataFrame:
     runs = pieces.groupBy("doc_id", "copy", "round").agg(
         F.min("from_word").alias("from_word"), F.max("to_word").alias("to_word"), F.min("slot").alias("slot")
     )
+    runs = staged(runs, "mixing-runs").alias("r")
     hashed, copy, slot = (fresh(name, docs.columns) for name in ("text_hash", "copy", "slot"))
-    keyed = docs.withColumn(hashed, F.xxhash64("text")).withColumn(copy, copy_number(text_hash=hashed)).alias("d")
-    joined = keyed.join(runs.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col(f"d.{copy}") == F.col("r.copy")))
     first, last = F.col("r.from_word").cast("int"), F.col("r.to_word").cast("int")
     whole = (first == 0) & (last == word_count("d.text"))
     words = F.filter(F.split("d.text", SPACES), lambda w: w != "")
     text = F.when(whole, F.col("d.text")).otherwise(F.array_join(F.slice(words, first + 1, last - first), " "))
     new = {"text": text, "n_chars": F.char_length(text).cast("long")}
-    rows = joined.select(*(new.get(c, F.col(f"d.{c}")).alias(c) for c in docs.columns), F.col("r.slot").alias(slot))
+    same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id"))
+
+    def drawn(keyed: DataFrame, by: Column) -> DataFrame:
+        return keyed.alias("d").join(runs, by).select(*(new.get(c, F.col(f"d.{c}")).alias(c) for c in docs.columns), F.col("r.slot").alias(slot))
+
+    # Only rows that share a doc_id need numbers, so that the other texts move by doc_id no more than once.
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id")
+    shared = staged(shared, "mixing-shared").alias("s")
+    if shared.isEmpty():
+        rows = drawn(docs, same)
+    else:
+        given = docs.alias("g")
+        is_shared = F.col("g.doc_id").eqNullSafe(F.col("s.doc_id"))
+        keyed = given.join(shared, is_shared, "left_semi").withColumn(hashed, F.xxhash64("text"))
+        keyed = keyed.withColumn(copy, copy_number(text_hash=hashed))
+        rows = drawn(given.join(shared, is_shared, "left_anti"), same).unionByName(drawn(keyed, same & (F.col(f"d.{copy}") == F.col("r.copy"))))
     return rows.repartitionByRange(slot).sortWithinPartitions(slot).drop(slot)
